@@ -1,0 +1,18 @@
+"""A fresh folder for the datasets that a query writes and reads back."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def fresh_folder(spark: SparkSession) -> str:
+    """A new folder in the shared one that the cluster names; a local one in local mode."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.gettempdir()
+    return f"{shared.rstrip('/')}/ingested-{uuid.uuid4().hex}"
