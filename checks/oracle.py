@@ -11,7 +11,8 @@ TEXT_ORDERS = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdat
 CONFORMED_ORDERS = """
     SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey,
            CAST(o_orderdate AS DATE) AS o_orderdate,
-           CAST(o_totalprice AS DECIMAL(12, 2)) AS o_totalprice
+           CAST(o_totalprice AS DECIMAL(12, 2)) AS o_totalprice,
+           o_orderpriority
     FROM orders
 """
 COUNTS = """

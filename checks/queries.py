@@ -49,6 +49,7 @@ ORDERS_SCHEMA = json.dumps(
                 "name": "o_totalprice",
                 "type": {"type": "bytes", "logicalType": "decimal", "precision": 12, "scale": 2},
             },
+            {"name": "o_orderpriority", "type": ["null", "string"]},
         ],
     }
 )
@@ -295,7 +296,7 @@ def job_conformed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         checkColumn="o_custkey",
         lastValue="100",
         schema=name,
-        partitionKeys="o_orderdate",
+        partitionKeys="o_orderpriority",
         rebalance="true",
     )
     run(spark, endpoints, [copy], "source", "sink", INCREMENTALLY, schemas_path=folder)

@@ -5,10 +5,21 @@ from __future__ import annotations
 import json
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    NumericType,
+    StructField,
+    StructType,
+)
 
-from sluice.functions.columns import column
+from sluice.functions.columns import column, find_field
+
+_NULL_FLAGS = ("nullable", "containsNull", "valueContainsNull")
 
 
 def load_avro_schema(spark: SparkSession, path: str) -> StructType:
@@ -30,13 +41,15 @@ def avro_to_struct(spark: SparkSession, avro_schema: str) -> StructType:
         dtype = jvm.org.apache.spark.sql.avro.SchemaConverters.toSqlType(parsed).dataType()
     except Py4JJavaError as error:
         raise ValueError(f"not a usable Avro schema: {error.java_exception.getMessage()}") from error
-    described = json.loads(dtype.json())
+    described = json.loads(dtype.json(), object_hook=_allow_nulls)
     if not isinstance(described, dict) or described.get("type") != "struct":
         raise ValueError(f"the Avro schema must be a record, not {described}")
-    struct = StructType.fromJson(described)
-    for field in struct.fields:
-        field.nullable = True
-    return struct
+    return StructType.fromJson(described)
+
+
+def _allow_nulls(described: dict) -> dict:
+    """Without this a source that allows NULLs inside an array or struct could not be cast."""
+    return described | {key: True for key in _NULL_FLAGS if key in described}
 
 
 def conform(df: DataFrame, schema: StructType, on_error: str = "fail") -> DataFrame:
@@ -46,9 +59,32 @@ def conform(df: DataFrame, schema: StructType, on_error: str = "fail") -> DataFr
     """
     if on_error not in ("fail", "null"):
         raise ValueError(f"on_error must be 'fail' or 'null', not '{on_error}'")
-    fields = []
-    for field in schema.fields:
-        source = column(field.name)
-        cast = source.cast if on_error == "fail" else source.try_cast
-        fields.append(cast(field.dataType).alias(field.name))
-    return df.select(*fields)
+    convert = _cast if on_error == "fail" else _try_cast
+    return df.select(*[convert(df, field).alias(field.name) for field in schema.fields])
+
+
+def _cast(df: DataFrame, field: StructField) -> Column:
+    return column(field.name).cast(field.dataType)
+
+
+def _try_cast(df: DataFrame, field: StructField) -> Column:
+    """A cast that gives NULL for what does not fit.
+
+    Spark's own does so by raising and catching an exception per value, some twenty times the
+    cost of a cast that succeeds. Numbers that are clearly too large skip it.
+    """
+    value, source = column(field.name), find_field(df.schema, field.name)
+    cast, limit = value.try_cast(field.dataType), _magnitude(field.dataType)
+    if limit is None or source is None or not isinstance(source.dataType, NumericType):
+        return cast
+    # As doubles both sides may be rounded, but never past each other: whatever fits gets by.
+    return F.when(F.abs(value.cast("double")) <= F.lit(limit), cast)
+
+
+def _magnitude(dtype: DataType) -> float | None:
+    """A number that nothing of this type exceeds."""
+    if isinstance(dtype, DecimalType):
+        return 10.0 ** (dtype.precision - dtype.scale)
+    bits = {IntegerType: 31, LongType: 63}.get(type(dtype))
+    # Fractions are cut off, so a little more than the highest whole number still fits.
+    return 2.0**bits + 1 if bits else None

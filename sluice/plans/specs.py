@@ -192,6 +192,8 @@ def _check_job(job: TableJob, mode: str) -> None:
     if job.flag("balanceReads"):
         job.require("partitionColumn")
         job.require("numPartitions")
+    if job.flag("rebalance"):
+        job.require("partitionKeys")
     if job.flag("replacePartitions"):
         keys = [key.lower() for key in job.partition_keys]
         if mode != DAILY or job.require("checkColumn").strip().lower() not in keys:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +19,11 @@ WRITER_OPTIONS = ("compression", "maxRecordsPerFile")
 def resolve_format(spark: SparkSession, name: str) -> str:
     """The name under which this session knows a format. Only ``avro`` may need another."""
     name = name.strip()
-    if name.lower() != "avro":
-        return name
+    return _avro_name(spark) if name.lower() == "avro" else name
+
+
+@lru_cache(maxsize=8)
+def _avro_name(spark: SparkSession) -> str:
     try:
         spark.read.format("avro").schema("probe int").load([])
     except AnalysisException:
@@ -34,8 +39,11 @@ def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Bring rows of the same partition keys together, to write few and even files.
 
     This is a shuffle, so it is only done on request. Adaptive execution splits a key with
-    many rows over several tasks and puts small ones together.
+    many rows over several tasks and puts small ones together; without it, all rows of a key
+    would have to pass through one task.
     """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise ValueError("rebalance needs spark.sql.adaptive.enabled")
     return df.hint("rebalance", *keys)
 
 

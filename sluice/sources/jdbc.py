@@ -134,7 +134,12 @@ def read_jdbc(
 
 def time_cuts(lower: str, upper: str, parts: int) -> list[datetime]:
     """The inner limits of ``parts`` ranges of equal width."""
-    start, end = datetime.fromisoformat(lower), datetime.fromisoformat(upper)
+    try:
+        start, end = datetime.fromisoformat(lower), datetime.fromisoformat(upper)
+    except ValueError as error:
+        raise ValueError(f"the bounds of a timestamp column must be timestamps: {error}") from None
+    if start.tzinfo or end.tzinfo:
+        raise ValueError("the bounds of a column without zone cannot have one")
     if start > end:
         raise ValueError(f"lowerBound '{lower}' is behind upperBound '{upper}'")
     cuts = [start + (end - start) * i / parts for i in range(1, parts)]

@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(folder / "shared"))
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .getOrCreate()
     )

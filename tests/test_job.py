@@ -1,0 +1,195 @@
+from __future__ import annotations
+
+import json
+from datetime import datetime
+
+import pytest
+
+from helpers import data_files, database, file_sink, table_job
+from sluice import Endpoint, TableJob, observe_progress, read_progress, run, run_from_files
+from sluice.plans.job import ingest_table
+
+SCHEMA = json.dumps(
+    {
+        "type": "record",
+        "name": "t",
+        "fields": [
+            {"name": "name", "type": ["null", "string"]},
+            {"name": "day", "type": {"type": "int", "logicalType": "date"}},
+        ],
+    }
+)
+ROWS = [
+    (1, datetime(2024, 1, 9, 23, 59), "a"),
+    (2, datetime(2024, 1, 10), "b"),
+    (3, datetime(2024, 1, 10, 12), "c"),
+    (4, datetime(2024, 1, 11), "d"),
+]
+COLUMNS = "id int, day timestamp_ntz, name string"
+
+
+@pytest.fixture
+def source_table(spark):
+    return database(spark, ROWS, COLUMNS)
+
+
+def summary(result):
+    return [tuple(row) for row in result.collect()]
+
+
+def execute(spark, source, sink, jobs, mode, **more):
+    return run(spark, {"s": source, "k": sink}, jobs, "s", "k", mode, **more)
+
+
+def test_incremental_runs_continue(spark, source_table, tmp_path):
+    source, table = source_table
+    sink, last = file_sink(tmp_path), "0"
+    for expected in ((4, "4"), (0, "4"), (0, "4")):
+        job = table_job(table, "incrementally", checkColumn="id", lastValue=last, inclusive="false")
+        result = summary(execute(spark, source, sink, [job], "incrementally"))
+        assert result == [(table, *expected)]
+        last = result[0][2]
+    assert spark.read.parquet(f"{tmp_path}/{table}").count() == 4
+
+
+def test_boundary_rows_come_again_by_default(spark, source_table, tmp_path):
+    source, table = source_table
+    job = table_job(table, "incrementally", checkColumn="id", lastValue="4")
+    assert summary(execute(spark, source, file_sink(tmp_path), [job], "incrementally")) == [
+        (table, 1, "4")
+    ]
+
+
+@pytest.mark.parametrize("keep_clock", ["true", "false"])
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
+def test_last_value_of_a_time_can_be_used_again(spark, tmp_path, keep_clock, zone):
+    source, table = database(spark, ROWS, COLUMNS, preferTimestampNTZ=keep_clock)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        job = table_job(table, "incrementally", checkColumn="day", lastValue="2024-01-10 00:00:00")
+        result = ingest_table(spark, job, source, file_sink(tmp_path), "incrementally")
+        assert (result.rows, result.last_value) == (3, "2024-01-11 00:00:00")
+        job = TableJob("again", job.options | {"lastValue": result.last_value})
+        assert ingest_table(spark, job, source, file_sink(tmp_path), "incrementally").rows == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("rebalance", ["true", "false"])
+def test_schema_without_the_check_column(spark, source_table, tmp_path, rebalance):
+    source, table = source_table
+    (tmp_path / "t.avsc").write_text(SCHEMA)
+    job = table_job(
+        table,
+        "incrementally",
+        checkColumn="ID",
+        lastValue="2",
+        schema="t.avsc",
+        partitionKeys="day",
+        rebalance=rebalance,
+    )
+    sink = file_sink(tmp_path / "out")
+    result = execute(spark, source, sink, [job], "incrementally", schemas_path=str(tmp_path))
+    assert summary(result) == [(table, 3, "4")]
+    assert {name.split("/")[0] for name in data_files(tmp_path / "out" / table)} == {
+        "day=2024-01-10",
+        "day=2024-01-11",
+    }
+    back = spark.read.parquet(f"{tmp_path}/out/{table}")
+    assert back.columns == ["name", "day"] and back.count() == 3
+
+
+def test_schema_is_checked_before_any_table(spark, source_table, tmp_path):
+    source, table = source_table
+    (tmp_path / "t.avsc").write_text(SCHEMA)
+    jobs = [table_job(table), table_job("other", schema="t.avsc", partitionKeys="id")]
+    sink = file_sink(tmp_path / "out")
+    with pytest.raises(ValueError, match="not fields of its schema"):
+        execute(spark, source, sink, jobs, "completely", schemas_path=str(tmp_path))
+    with pytest.raises(ValueError, match="no schemas path"):
+        execute(spark, source, sink, jobs, "completely")
+    assert not (tmp_path / "out").exists()
+
+
+def test_daily_run(spark, source_table, tmp_path):
+    source, table = source_table
+    for whole_day, rows, last in (
+        ("false", 1, "2024-01-10 00:00:00"),
+        ("true", 2, "2024-01-10 12:00:00"),
+    ):
+        job = table_job(table, "daily", checkColumn="day", wholeDay=whole_day)
+        result = execute(spark, source, file_sink(tmp_path), [job], "daily", as_of="2024-01-11")
+        assert summary(result) == [(table, rows, last)]
+    assert spark.read.parquet(f"{tmp_path}/{table}").count() == 3
+
+
+def test_only_jobs_of_the_mode_run_in_their_order(spark, tmp_path):
+    (source, one), (_, two) = database(spark, ROWS, COLUMNS), database(spark, ROWS[:1], COLUMNS)
+    jobs = [table_job(two), table_job("absent", "daily", checkColumn="c"), table_job(one)]
+    result = execute(spark, source, file_sink(tmp_path), jobs, "completely")
+    assert summary(result) == [(two, 1, None), (one, 4, None)]
+    assert execute(spark, source, file_sink(tmp_path), jobs, "incrementally").isEmpty()
+
+
+def test_a_failing_table_ends_the_run(spark, source_table, tmp_path):
+    (source, one), (_, two) = source_table, database(spark, ROWS, COLUMNS)
+    jobs = [table_job(one), table_job("absent"), table_job(two)]
+    with pytest.raises(Exception, match="(?i)absent"):
+        execute(spark, source, file_sink(tmp_path), jobs, "completely")
+    assert [p.name for p in tmp_path.iterdir()] == [one]
+
+
+def test_custom_mode_reads_all_and_appends(spark, source_table, tmp_path):
+    source, table = source_table
+    for _ in range(2):
+        result = execute(
+            spark, source, file_sink(tmp_path), [table_job(table, "weekly")], "weekly", custom_modes=True
+        )
+        assert summary(result) == [(table, 4, None)]
+    assert spark.read.parquet(f"{tmp_path}/{table}").count() == 8
+
+
+def test_complete_run_gives_a_first_last_value(spark, source_table, tmp_path):
+    source, table = source_table
+    for check, last in (("id", "4"), ("absent", None)):
+        jobs = [table_job(table, checkColumn=check)]
+        result = execute(spark, source, file_sink(tmp_path), jobs, "completely")
+        assert summary(result) == [(table, 4, last)]
+
+
+def test_run_of_configuration_files(spark, source_table, tmp_path):
+    source, table = source_table
+
+    def item(name, **options):
+        listed = [{"name": key, "value": value} for key, value in options.items()]
+        return {"name": name, "options": listed}
+
+    endpoints = [item("db", **source.options), item("out", format="orc", location=f"{tmp_path}/out")]
+    tables = [item("first", tableName=table, mode="completely")]
+    for name, listed in (("endpoints", endpoints), ("tables", tables)):
+        (tmp_path / f"{name}.json").write_text(json.dumps({name: listed}, indent=1))
+    result = run_from_files(
+        spark,
+        endpointsConfigPath=f"{tmp_path}/endpoints.json",
+        tablesConfigPath=f"{tmp_path}/tables.json",
+        sourceName="db",
+        sinkName="out",
+        mode="completely",
+    )
+    assert summary(result) == [(table, 4, None)]
+    assert spark.read.orc(f"{tmp_path}/out/{table}").count() == 4
+
+
+def test_files_as_source(spark, tmp_path):
+    source = Endpoint("files", {"format": "parquet", "location": f"{tmp_path}/in"})
+    spark.range(5).write.parquet(f"{tmp_path}/in/t")
+    result = ingest_table(spark, table_job(), source, file_sink(tmp_path / "out"), "completely")
+    assert (result.rows, result.path) == (5, f"{tmp_path}/out/t")
+
+
+def test_progress_of_nothing(spark, tmp_path):
+    for df in (spark.range(0), spark.range(5).filter("false")):
+        observed, observation = observe_progress(df, "id")
+        observed.write.mode("overwrite").parquet(f"{tmp_path}/none")
+        assert read_progress(observation) == (0, None)
