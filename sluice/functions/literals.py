@@ -45,14 +45,10 @@ def typed_literal(
     if isinstance(dtype, StringType):
         return F.lit(text)
 
-    as_type, as_time = (
-        spark.range(1)
-        .select(
-            F.lit(text).try_cast(dtype).alias("as_type"),
-            F.lit(text).try_cast("timestamp_ntz").alias("as_time"),
-        )
-        .first()
-    )
+    # One literal row: the optimizer works this out by itself, no job runs.
+    given = spark.sql("SELECT text FROM VALUES (:text) AS given(text)", args={"text": text})
+    casts = [F.col("text").try_cast(dtype), F.col("text").try_cast("timestamp_ntz")]
+    as_type, as_time = given.select(*casts).collect()[0]
     if as_type is None:
         raise ValueError(f"'{text}' is not a value of type {dtype.simpleString()}")
 

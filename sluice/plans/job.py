@@ -15,12 +15,11 @@ from sluice.operators.progress import observe_progress, read_progress
 from sluice.plans.specs import (
     Endpoint,
     TableJob,
-    check_partition_keys,
     load_endpoints,
     load_tables,
     pick_endpoint,
-    validate,
 )
+from sluice.plans.validation import check_partition_keys, validate
 from sluice.sinks.files import spread_rows, write_table
 from sluice.sources import read_table, source_zone
 

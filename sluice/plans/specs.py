@@ -1,16 +1,11 @@
-"""Endpoints and table jobs: reading their JSON files and checking them before a run."""
+"""Endpoints and table jobs, and reading them from their JSON files."""
 
 from __future__ import annotations
 
-import warnings
-from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
-from pyspark.sql.types import StructType
-
-from sluice.functions.columns import find_field
 
 # The modes and the option names of the two configuration files.
 COMPLETELY = "completely"
@@ -135,88 +130,3 @@ def pick_endpoint(endpoints: dict[str, Endpoint], name: str) -> Endpoint:
 
 def select_jobs(tables: Iterable[TableJob], mode: str) -> list[TableJob]:
     return [job for job in tables if job.get("mode") == mode]
-
-
-def validate(
-    tables: list[TableJob], source: Endpoint, sink: Endpoint, mode: str, custom_modes: bool = False
-) -> list[TableJob]:
-    """Check everything that can be checked without the database; return the jobs to run.
-
-    With ``custom_modes`` a mode of any other name is a full read that appends.
-    """
-    if mode not in MODES and not custom_modes:
-        raise ValueError(f"unknown mode '{mode}'; the modes are {', '.join(MODES)}")
-    for job in tables:
-        own = job.require("mode")
-        if own not in MODES and not custom_modes:
-            raise ValueError(
-                f"table job '{job.name}' has the unknown mode '{own}';"
-                f" the modes are {', '.join(MODES)}"
-            )
-
-    from sluice.sinks.files import target_path
-    from sluice.sources import check_source
-
-    check_source(source)
-    for option in ("format", "location"):
-        try:
-            sink.require(option)
-        except ValueError as error:
-            raise ValueError(f"{error} to be a sink") from None
-
-    jobs = select_jobs(tables, mode)
-    for job in jobs:
-        _check_job(job, mode)
-    _warn_of_shared_targets([target_path(sink, job) for job in tables if job.get("tableName")])
-    return jobs
-
-
-def _check_job(job: TableJob, mode: str) -> None:
-    job.require("tableName")
-    if mode in (INCREMENTALLY, DAILY):
-        job.require("checkColumn")
-    if mode == INCREMENTALLY:
-        job.require("lastValue")
-    job.positive("numPartitions")
-    job.positive("batchSize")
-    for option in ("inclusive", "wholeDay", "lenientCasts", "rebalance", "replacePartitions"):
-        job.flag(option)
-
-    given = [option for option in SPLIT_OPTIONS if job.get(option) is not None]
-    if given and not job.splits_read and not job.flag("balanceReads"):
-        missing = [option for option in SPLIT_OPTIONS if option not in given]
-        warnings.warn(
-            f"table job '{job.name}' is read in one partition: {', '.join(missing)} missing",
-            stacklevel=3,
-        )
-    if job.flag("balanceReads"):
-        job.require("partitionColumn")
-        job.require("numPartitions")
-    if job.flag("rebalance"):
-        job.require("partitionKeys")
-    if job.flag("replacePartitions"):
-        keys = [key.lower() for key in job.partition_keys]
-        if mode != DAILY or job.require("checkColumn").strip().lower() not in keys:
-            raise ValueError(
-                f"table job '{job.name}': replacePartitions needs the mode {DAILY} and"
-                " the checkColumn among the partitionKeys"
-            )
-
-
-def check_partition_keys(job: TableJob, schema: StructType) -> None:
-    """Rows are partitioned after being conformed, so each key must be a schema field."""
-    missing = [key for key in job.partition_keys if find_field(schema, key) is None]
-    if missing:
-        raise ValueError(
-            f"table job '{job.name}': partitionKeys {missing} are not fields of its schema"
-        )
-
-
-def _warn_of_shared_targets(targets: list[str]) -> None:
-    shared = sorted(path for path, n in Counter(targets).items() if n > 1)
-    if shared:
-        warnings.warn(
-            f"several table jobs write to {', '.join(shared)};"
-            f" a run of mode {COMPLETELY} removes what the others appended there",
-            stacklevel=3,
-        )

@@ -40,7 +40,8 @@ def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
 
     This is a shuffle, so it is only done on request. Adaptive execution splits a key with
     many rows over several tasks and puts small ones together; without it, all rows of a key
-    would have to pass through one task.
+    would have to pass through one task. Have at least as many shuffle partitions as keys:
+    keys that share one are split together.
     """
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         raise ValueError("rebalance needs spark.sql.adaptive.enabled")

@@ -30,6 +30,10 @@ ORACLE_SESSION = (
 )
 ORACLE_DATES = ("oracle.jdbc.mapDateToTimestamp", "false")
 
+# Rows per round trip where no batchSize says otherwise. Drivers' own defaults are ten rows, or
+# all of a partition at once.
+ROWS_PER_TRIP = 1000
+
 # How finely the cut points of a balanced read are estimated, relative to all rows.
 _QUANTILE_ACCURACY = 10_000
 
@@ -78,9 +82,8 @@ def jdbc_options(source: Endpoint, job: TableJob) -> dict[str, str]:
     # the exception: its dialect in Spark cannot render literals of that type.
     keep_clock = source.flag("preferTimestampNTZ", not is_oracle(source))
     options["preferTimestampNTZ"] = str(keep_clock).lower()
-    rows_per_trip = job.positive("batchSize") or source.positive("batchSize")
-    if rows_per_trip:
-        options["fetchsize"] = str(rows_per_trip)
+    rows_per_trip = job.positive("batchSize") or source.positive("batchSize") or ROWS_PER_TRIP
+    options["fetchsize"] = str(rows_per_trip)
     return options
 
 

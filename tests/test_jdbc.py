@@ -87,6 +87,7 @@ def test_options_of_other_databases():
     assert jdbc_options(other(), table_job()) == {
         "driver": "a.Driver",
         "preferTimestampNTZ": "true",
+        "fetchsize": "1000",
     }
 
 

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from helpers import data_files, file_sink, table_job
-from sluice import resolve_format, write_table
+from sluice import observe_progress, read_progress, resolve_format, write_table
 from sluice.sinks.files import spread_rows
 
 
@@ -126,10 +126,12 @@ def test_default_write_has_a_file_per_task_and_key(spark, tmp_path):
 
 def test_rebalanced_write_splits_only_the_hot_key(spark, tmp_path, settings):
     settings("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    settings("spark.sql.shuffle.partitions", "100")
     hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 60)
     df = spark.range(0, 300_000, 1, 8).select(hot.alias("k"), "id", F.rand(1).alias("r"))
-    df = spread_rows(df, ["k"])
+    df, observation = observe_progress(spread_rows(df, ["k"]), "id")
     path = write_table(df, file_sink(tmp_path), table_job(partitionKeys="k"), "completely")
+    assert read_progress(observation) == (300_000, "299999")
     per_key = Counter(name.split("/")[0] for name in data_files(path))
     assert len(per_key) == 41
     assert per_key.pop("k=0") > 4 and max(per_key.values()) <= 3
