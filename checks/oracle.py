@@ -53,6 +53,7 @@ ORACLE: dict[str, str] = {
     "ingest_partitioned_date": DATED_ORDERS,
     "ingest_partitioned_incremental": NEW_ORDERS,
     "ingest_partitioned_balanced": NEW_ORDERS,
+    "ingest_partitioned_hot": ALL_LINEITEM,
     "conform_schema": CONFORMED_ORDERS,
     "conform_schema_lenient": (
         "SELECT o_orderkey, TRY_CAST(o_totalprice AS DECIMAL(7, 2)) AS o_totalprice FROM orders"

@@ -369,6 +369,13 @@ QUERIES: dict[str, Query] = {
         numPartitions="4",
         balanceReads="true",
     ),
+    "ingest_partitioned_hot": from_database(
+        "lineitem",
+        COMPLETELY,
+        partitionColumn="l_linenumber,l_orderkey",
+        numPartitions="16",
+        balanceReads="true",
+    ),
     "conform_schema": conform_schema,
     "conform_schema_lenient": conform_schema_lenient,
     "conform_types": conform_types,

@@ -10,6 +10,7 @@ from sluice.functions.days import previous_day
 from sluice.operators.filters import daily_filter, incremental_filter
 from sluice.plans.specs import DAILY, INCREMENTALLY, Endpoint, TableJob
 from sluice.sources import files, jdbc
+from sluice.sources.splits import clock_zone
 
 __all__ = ["check_source", "read_source", "read_table", "source_zone"]
 
@@ -21,7 +22,7 @@ def check_source(source: Endpoint) -> None:
 
 def source_zone(spark: SparkSession, source: Endpoint) -> str | None:
     """The zone in which the source's timestamps without a zone become instants."""
-    return None if files.is_files(source) else jdbc.clock_zone(spark)
+    return None if files.is_files(source) else clock_zone(spark)
 
 
 def read_source(

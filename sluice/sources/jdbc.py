@@ -7,17 +7,15 @@ from Catalyst, which renders them for the database at hand.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
-from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, StructField, TimestampNTZType, TimestampType
+from pyspark.sql.types import TimestampNTZType
 
-from sluice.functions.columns import column, require_field
+from sluice.functions.columns import require_field
 from sluice.functions.literals import unquote
 from sluice.plans.specs import SPLIT_OPTIONS, Endpoint, TableJob
 from sluice.sources.credentials import connection_properties
+from sluice.sources.splits import SplitColumn, balanced_ranges, time_cuts
 
 # Fixed values of Oracle connections: the URL form, the formats in which the session reads
 # dates and timestamps given as text (Spark gives partition bounds so), and the driver
@@ -34,9 +32,6 @@ ORACLE_DATES = ("oracle.jdbc.mapDateToTimestamp", "false")
 # all of a partition at once.
 ROWS_PER_TRIP = 1000
 
-# How finely the cut points of a balanced read are estimated, relative to all rows.
-_QUANTILE_ACCURACY = 10_000
-
 
 def is_oracle(source: Endpoint) -> bool:
     kind = source.get("dbType")
@@ -91,11 +86,6 @@ def _execute(statement: str) -> str:
     return "EXECUTE IMMEDIATE '" + statement.replace("'", "''") + "';"
 
 
-def clock_zone(spark: SparkSession) -> str:
-    """The zone in which JDBC drivers turn a clock time into an instant: the JVM's."""
-    return spark._jvm.java.util.TimeZone.getDefault().getID()
-
-
 def read_jdbc(
     spark: SparkSession,
     source: Endpoint,
@@ -105,8 +95,9 @@ def read_jdbc(
     """The table, read in parallel ranges of one column where the job asks for it.
 
     The bounds only set how wide the ranges are: the first and the last one are open, so all
-    rows are read. Every range is one task with one connection; a hot range is one long task,
-    so split by a column of many values (a key), or let ``balanceReads`` choose the ranges.
+    rows are read. Every range is one task with one connection, and a range with many rows is
+    one long task. ``balanceReads`` makes ranges of about as many rows each, counting only
+    the rows of the mode.
     """
     options = jdbc_options(source, job)
     url, properties = jdbc_url(source), connection_properties(spark, source)
@@ -119,73 +110,24 @@ def read_jdbc(
     if not (job.splits_read or balanced):
         return load()
 
-    rows = load()
-    field = require_field(rows, job.require("partitionColumn").strip(), "partitionColumn")
-    if job.splits_read and isinstance(field.dataType, TimestampNTZType):
+    rows, parts = load(), job.positive("numPartitions")
+    names = [job.require("partitionColumn").strip()]
+    if balanced:
+        # A second column, where one is given, splits single values with many rows.
+        names = [name.strip() for name in names[0].split(",")]
+    fields = [require_field(rows, name, "partitionColumn") for name in names]
+    if job.splits_read and isinstance(fields[0].dataType, TimestampNTZType):
         # Spark's own split refuses this type.
         lower, upper = unquote(job.require("lowerBound")), unquote(job.require("upperBound"))
-        cuts = time_cuts(lower, upper, job.positive("numPartitions"))
-        rows = load(predicates=range_predicates(spark, url, field, cuts))
+        ranges = SplitColumn(spark, url, fields[0]).ranges(time_cuts(lower, upper, parts))
+        rows = load(predicates=ranges)
     elif job.splits_read:
         split = {option: unquote(job.require(option)) for option in SPLIT_OPTIONS}
-        rows = load(split | {"partitionColumn": field.name})
+        rows = load(split | {"partitionColumn": fields[0].name})
     if balanced:
-        cuts = balanced_cuts(rows_of_mode(rows), field, job.positive("numPartitions"))
-        rows = load(predicates=range_predicates(spark, url, field, cuts))
+        columns = [SplitColumn(spark, url, field) for field in fields]
+        ranges = balanced_ranges(
+            rows_of_mode(rows), columns, parts, lambda found: rows_of_mode(load(predicates=found))
+        )
+        rows = load(predicates=ranges)
     return rows
-
-
-def time_cuts(lower: str, upper: str, parts: int) -> list[datetime]:
-    """The inner limits of ``parts`` ranges of equal width."""
-    try:
-        start, end = datetime.fromisoformat(lower), datetime.fromisoformat(upper)
-    except ValueError as error:
-        raise ValueError(f"the bounds of a timestamp column must be timestamps: {error}") from None
-    if start.tzinfo or end.tzinfo:
-        raise ValueError("the bounds of a column without zone cannot have one")
-    if start > end:
-        raise ValueError(f"lowerBound '{lower}' is behind upperBound '{upper}'")
-    cuts = [start + (end - start) * i / parts for i in range(1, parts)]
-    return sorted(set(cuts))
-
-
-def balanced_cuts(df: DataFrame, field: StructField, parts: int) -> list:
-    """The inner limits of ``parts`` ranges with about as many rows in each.
-
-    Reads this one column of the rows to ingest, summarised per partition before anything
-    moves. A value that fills several ranges by itself is given one.
-    """
-    shares = [i / parts for i in range(1, parts)]
-    if not shares:
-        return []
-    cuts = F.percentile_approx(column(field.name), shares, _QUANTILE_ACCURACY)
-    if isinstance(field.dataType, TimestampType):
-        zone = F.lit(clock_zone(df.sparkSession))
-        cuts = F.transform(cuts, lambda t: F.convert_timezone(None, zone, t.cast("timestamp_ntz")))
-    return sorted(set(df.agg(cuts.alias("cuts")).first().cuts or []))
-
-
-def range_predicates(
-    spark: SparkSession, url: str, field: StructField, cuts: list
-) -> list[str] | None:
-    """One condition per range, in the database's own SQL. Every row, NULLs too, meets one."""
-    if not cuts:
-        return None
-    dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
-    name = dialect.quoteIdentifier(field.name)
-    limits = [dialect.compileValue(_jvm_value(spark, cut, field.dataType)) for cut in cuts]
-    first, last = f"{name} < {limits[0]} OR {name} IS NULL", f"{name} >= {limits[-1]}"
-    inner = [f"{name} >= {low} AND {name} < {high}" for low, high in pairwise(limits)]
-    return [first, *inner, last]
-
-
-def _jvm_value(spark: SparkSession, value: object, dtype: DataType) -> object:
-    """The Java object from which Spark's JDBC dialects make a literal."""
-    java = spark._jvm.java
-    if isinstance(dtype, TimestampNTZType):
-        return java.time.LocalDateTime.parse(value.isoformat())
-    if isinstance(dtype, TimestampType):
-        return java.sql.Timestamp.valueOf(value.isoformat(sep=" "))
-    if isinstance(dtype, DateType):
-        return java.sql.Date.valueOf(value.isoformat())
-    return value

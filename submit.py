@@ -24,8 +24,9 @@ def main() -> None:
     for name in OPTIONAL:
         parser.add_argument(f"--{name}")
     parser.add_argument("--asOf", dest="as_of", help="the run's day, today in UTC if not given")
+    arguments = vars(parser.parse_args())
     spark = SparkSession.builder.appName("sluice").getOrCreate()
-    run_from_files(spark, **vars(parser.parse_args())).show(truncate=False)
+    run_from_files(spark, **arguments).show(truncate=False)
     spark.stop()
 
 

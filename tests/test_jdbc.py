@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -12,7 +13,8 @@ from checks import derby
 from helpers import database, plan_of, table_job
 from sluice import Endpoint, conform, read_table
 from sluice.sources.credentials import connection_properties
-from sluice.sources.jdbc import check_endpoint, jdbc_options, jdbc_url, time_cuts
+from sluice.sources.jdbc import check_endpoint, jdbc_options, jdbc_url
+from sluice.sources.splits import SplitColumn, balanced_ranges, time_cuts
 
 ORACLE = Endpoint(
     "ora",
@@ -221,11 +223,42 @@ def test_balanced_ranges(spark, bounds):
         assert rows_of(spark, source, partitionColumn=name, **options).count() == 400
 
 
-def test_balanced_ranges_around_a_hot_value(spark):
-    rows = [(7 if i % 3 == 0 else i,) for i in range(600)]
-    source, table = database(spark, rows, "k int")
-    df = rows_of(spark, source, tableName=table, partitionColumn="k", numPartitions="8", balanceReads="true")
-    assert sorted(r.k for r in df.collect()) == sorted(k for (k,) in rows)
+HOT_VALUES = {
+    "number": (7, lambda i: i, "int"),
+    "null": (None, lambda i: i, "int"),
+    "day": (date(2024, 1, 5), lambda i: date(2024, 1, 1 + i % 28), "date"),
+    "time": (datetime(2024, 1, 5), lambda i: datetime(2024, 1, 1 + i % 28), "timestamp_ntz"),
+}
+
+
+@pytest.mark.parametrize("kind", HOT_VALUES)
+def test_a_hot_value_is_split_by_a_second_column(spark, kind):
+    hot, other, type_name = HOT_VALUES[kind]
+    rows = [(hot if i % 3 == 0 else other(i), i if i % 7 else None) for i in range(1200)]
+    source, table = database(spark, rows, f"k {type_name}, id int")
+    options = {"tableName": table, "numPartitions": "12", "balanceReads": "true"}
+
+    alone = rows_per_partition(rows_of(spark, source, partitionColumn="k", **options))
+    assert sum(alone) == 1200 and max(alone) >= 400
+    df = rows_of(spark, source, partitionColumn="k, id", **options)
+    assert max(rows_per_partition(df)) <= 250
+    assert df.count() == 1200
+    assert Counter(map(tuple, df.collect())) == Counter(rows)
+
+
+def test_nothing_to_split_by(spark):
+    source, table = database(spark, [(None, 1), (None, 2), (None, None)], "k int, id int")
+    options = {"tableName": table, "numPartitions": "4", "balanceReads": "true"}
+    for names in ("k", "k,id", "id,k"):
+        assert rows_of(spark, source, partitionColumn=names, **options).count() == 3
+
+
+@pytest.mark.parametrize("value", ["NaN", "Infinity"])
+def test_cuts_are_finite(spark, value):
+    source = Endpoint("db", {"url": "jdbc:x:y"})
+    df = spark.range(10).select(F.lit(value).cast("double").alias("k"))
+    column = SplitColumn(spark, source.get("url"), df.schema["k"])
+    assert balanced_ranges(df, [column], 4, lambda found: df) is None
 
 
 def test_balanced_ranges_of_the_selected_rows(spark):
