@@ -199,7 +199,9 @@ def day_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Writing
 
 
-def round_trip(table: str, format: str = "parquet", mode: str = COMPLETELY, times: int = 1, **options):
+def round_trip(
+    table: str, format: str = "parquet", mode: str = COMPLETELY, times: int = 1, **options: str
+) -> Query:
     """Write the table ``times`` times and read the target."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,9 +55,9 @@ def typed_literal(
     if isinstance(dtype, DecimalType) and Decimal(text) != as_type:
         raise ValueError(f"'{text}' does not fit {dtype.simpleString()} without rounding")
     if isinstance(dtype, DateType) and as_time != datetime.combine(as_type, datetime.min.time()):
-        raise ValueError(f"'{text}' has a time of day, which a date column cannot be compared with")
+        raise ValueError(f"'{text}' has a time of day, which a date column does not")
     if isinstance(dtype, TimestampNTZType) and _ZONE_SUFFIX.search(text):
-        raise ValueError(f"'{text}' has a zone, which a column without zone cannot be compared with")
+        raise ValueError(f"'{text}' has a zone, which a {dtype.simpleString()} column does not")
     if isinstance(dtype, TimestampType) and zone and not _ZONE_SUFFIX.search(text):
         return F.lit(f"{as_time.isoformat(sep=' ')} {zone}").cast(dtype)
     return F.lit(text).cast(dtype)

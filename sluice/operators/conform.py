@@ -40,7 +40,8 @@ def avro_to_struct(spark: SparkSession, avro_schema: str) -> StructType:
         parsed = jvm.org.apache.avro.Schema.Parser().parse(avro_schema)
         dtype = jvm.org.apache.spark.sql.avro.SchemaConverters.toSqlType(parsed).dataType()
     except Py4JJavaError as error:
-        raise ValueError(f"not a usable Avro schema: {error.java_exception.getMessage()}") from error
+        reason = error.java_exception.getMessage()
+        raise ValueError(f"not a usable Avro schema: {reason}") from error
     described = json.loads(dtype.json(), object_hook=_allow_nulls)
     if not isinstance(described, dict) or described.get("type") != "struct":
         raise ValueError(f"the Avro schema must be a record, not {described}")

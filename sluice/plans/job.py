@@ -76,10 +76,14 @@ def run_from_files(
     mode: str,
     schemasPath: str | None = None,
     as_of: date | str | None = None,
+    custom_modes: bool = False,
 ) -> DataFrame:
     """``run`` with the endpoints and table jobs of two JSON files."""
-    endpoints, tables = load_endpoints(spark, endpointsConfigPath), load_tables(spark, tablesConfigPath)
-    return run(spark, endpoints, tables, sourceName, sinkName, mode, schemasPath, as_of)
+    endpoints = load_endpoints(spark, endpointsConfigPath)
+    tables = load_tables(spark, tablesConfigPath)
+    return run(
+        spark, endpoints, tables, sourceName, sinkName, mode, schemasPath, as_of, custom_modes
+    )
 
 
 def job_schema(

@@ -7,6 +7,7 @@ from functools import lru_cache
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.functions.columns import column
 from sluice.plans.specs import COMPLETELY, Endpoint, TableJob
 
 # Fixed value: the Avro format within Spark's SQL jar, for sessions without the Avro module.
@@ -43,9 +44,9 @@ def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     would have to pass through one task. Have at least as many shuffle partitions as keys:
     keys that share one are split together.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() != "true":
         raise ValueError("rebalance needs spark.sql.adaptive.enabled")
-    return df.hint("rebalance", *keys)
+    return df.hint("rebalance", *[column(key) for key in keys])
 
 
 def write_table(df: DataFrame, sink: Endpoint, job: TableJob, mode: str) -> str:

@@ -16,8 +16,7 @@ __all__ = ["check_source", "read_source", "read_table", "source_zone"]
 
 
 def check_source(source: Endpoint) -> None:
-    if not files.is_files(source):
-        jdbc.check_endpoint(source)
+    (files if files.is_files(source) else jdbc).check_endpoint(source)
 
 
 def source_zone(spark: SparkSession, source: Endpoint) -> str | None:

@@ -10,22 +10,32 @@ from sluice.plans.specs import Endpoint
 PROVIDER_PATH = "hadoop.security.credential.provider.path"
 
 
+def check_credentials(source: Endpoint) -> None:
+    """All or none: what is there must lead to a user and a password."""
+    if source.get("credentialProviderPath") and not _alias(source):
+        source.require("passwordAlias")
+    if _alias(source) or source.get("password") is not None:
+        source.require("user")
+
+
 def connection_properties(spark: SparkSession, source: Endpoint) -> dict[str, str]:
     """Reader properties; none if the connection URL carries the credentials itself.
 
     The password is either the option ``password`` or looked up by its alias
     (``passwordAlias``, or ``alias``) in a Hadoop credential store.
     """
-    user, password = source.get("user"), source.get("password")
-    alias = source.get("passwordAlias") or source.get("alias")
-    if password is None and alias:
-        password = _look_up(spark, alias, source)
-    if password is not None and not user:
-        source.require("user")
-    pairs = {"user": user, "password": password}
+    check_credentials(source)
+    password = source.get("password")
+    if password is None and _alias(source):
+        password = _look_up(spark, _alias(source), source)
+    pairs = {"user": source.get("user"), "password": password}
     return {name: value for name, value in pairs.items() if value is not None}
 
 
+def _alias(source: Endpoint) -> str | None:
+    return source.get("passwordAlias") or source.get("alias")
+
+
 def _look_up(spark: SparkSession, alias: str, source: Endpoint) -> str:
     # A copy, so that the session's own configuration stays as it is.
     conf = spark._jvm.org.apache.hadoop.conf.Configuration(spark._jsc.hadoopConfiguration())

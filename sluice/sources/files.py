@@ -7,12 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from sluice.plans.specs import Endpoint, TableJob
 from sluice.sinks.files import resolve_format
 
+# Formats that are read a second time, and whole, just to guess their types.
+UNTYPED = ("csv", "json", "text", "xml")
+
 
 def is_files(source: Endpoint) -> bool:
     database = any(source.get(option) for option in ("url", "dbType", "driver", "host"))
     return bool(source.get("format") and source.get("location")) and not database
 
 
+def check_endpoint(source: Endpoint) -> None:
+    name = source.require("format").strip().lower()
+    if name in UNTYPED:
+        raise ValueError(
+            f"endpoint '{source.name}': files of format '{name}' do not say their types;"
+            " a source needs a format that does, such as parquet, orc or avro"
+        )
+
+
 def read_files(spark: SparkSession, source: Endpoint, job: TableJob) -> DataFrame:
     """``location/tableName``, or ``location`` itself with ``{table}`` filled in."""
     location, table = source.require("location"), job.table_name

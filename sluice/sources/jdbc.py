@@ -14,7 +14,7 @@ from pyspark.sql.types import TimestampNTZType
 from sluice.functions.columns import require_field
 from sluice.functions.literals import unquote
 from sluice.plans.specs import SPLIT_OPTIONS, Endpoint, TableJob
-from sluice.sources.credentials import connection_properties
+from sluice.sources.credentials import check_credentials, connection_properties
 from sluice.sources.splits import SplitColumn, balanced_ranges, time_cuts
 
 # Fixed values of Oracle connections: the URL form, the formats in which the session reads
@@ -57,6 +57,7 @@ def jdbc_url(source: Endpoint) -> str:
 def check_endpoint(source: Endpoint) -> None:
     jdbc_url(source)
     source.require("driver")
+    check_credentials(source)
     source.positive("batchSize")
     if is_oracle(source) and source.flag("preferTimestampNTZ"):
         raise ValueError(

@@ -62,9 +62,13 @@ class SplitColumn:
         shares = [i / parts for i in range(1, parts)]
         cuts = F.percentile_approx(self.values, shares, ACCURACY)
         if isinstance(self._field.dataType, TimestampType):
-            # As the database's clock shows them.
+            # As the database's clock shows them, which is what its SQL compares.
             zone = F.lit(clock_zone(self._spark))
-            return F.transform(cuts, lambda t: F.convert_timezone(None, zone, t.cast("timestamp_ntz")))
+
+            def on_clock(cut: Column) -> Column:
+                return F.convert_timezone(None, zone, cut.cast("timestamp_ntz"))
+
+            return F.transform(cuts, on_clock)
         return cuts
 
     def _literal(self, value: object) -> str:

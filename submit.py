@@ -24,6 +24,12 @@ def main() -> None:
     for name in OPTIONAL:
         parser.add_argument(f"--{name}")
     parser.add_argument("--asOf", dest="as_of", help="the run's day, today in UTC if not given")
+    parser.add_argument(
+        "--customModes",
+        dest="custom_modes",
+        action="store_true",
+        help="take any other mode as a full read that appends",
+    )
     arguments = vars(parser.parse_args())
     spark = SparkSession.builder.appName("sluice").getOrCreate()
     run_from_files(spark, **arguments).show(truncate=False)

@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[4, 2]")  # a failed task gets a second try
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")

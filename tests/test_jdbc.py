@@ -128,9 +128,11 @@ def test_password_from_a_credential_store(spark, tmp_path):
 
 def test_filter_is_left_to_the_database(spark, sf_dir):
     source = derby.with_tables(spark, sf_dir, "orders")
-    df = rows_of(spark, source, "incrementally", tableName="orders", checkColumn="O_ORDERKEY", lastValue="7500")
+    key = {"tableName": "orders", "checkColumn": "O_ORDERKEY", "lastValue": "7500"}
+    df = rows_of(spark, source, "incrementally", **key)
     assert "*GreaterThanOrEqual(o_orderkey,7500)" in plan_of(df)
-    df = rows_of(spark, source, "daily", "1998-06-16", tableName="orders", checkColumn="o_orderdate")
+    day = {"tableName": "orders", "checkColumn": "o_orderdate"}
+    df = rows_of(spark, source, "daily", "1998-06-16", **day)
     assert "*EqualTo(o_orderdate,1998-06-15T00:00)" in plan_of(df)
     picked = conform(df, StructType.fromDDL("o_orderkey int"))
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan_of(picked)
@@ -165,7 +167,8 @@ def test_incomplete_split_reads_in_one_partition(spark):
 
 
 def test_unusable_splits(spark):
-    source, table = database(spark, [(1, "x", datetime(2024, 1, 1))], "k int, s string, t timestamp_ntz")
+    columns = "k int, s string, t timestamp_ntz"
+    source, table = database(spark, [(1, "x", datetime(2024, 1, 1))], columns)
     with pytest.raises(Exception, match="(?i)lower bound"):
         rows_of(spark, source, tableName=table, **SPLIT | {"lowerBound": "30"})
     with pytest.raises(Exception, match="should be numeric, date, or timestamp"):
@@ -185,7 +188,12 @@ def new_york(spark):
 
 
 TIMES = [(i, datetime(2024, 1, 1 + i, h)) for i in range(4) for h in (0, 12)] + [(9, None)]
-TIME_SPLIT = {"partitionColumn": "T", "lowerBound": "'2024-01-02'", "upperBound": "'2024-01-04'", "numPartitions": "2"}
+TIME_SPLIT = {
+    "partitionColumn": "T",
+    "lowerBound": "'2024-01-02'",
+    "upperBound": "'2024-01-04'",
+    "numPartitions": "2",
+}
 
 
 @pytest.mark.parametrize("keep_clock", ["true", "false"])
@@ -205,13 +213,15 @@ def test_whole_days_of_dates(spark):
     rows = [(1, date(2024, 1, 1)), (2, date(2024, 1, 2)), (3, None)]
     source, table = database(spark, rows, "i int, d date")
     for whole_day in ("true", "false"):
-        df = rows_of(spark, source, "daily", "2024-01-03", tableName=table, checkColumn="d", wholeDay=whole_day)
+        day = {"tableName": table, "checkColumn": "d", "wholeDay": whole_day}
+        df = rows_of(spark, source, "daily", "2024-01-03", **day)
         assert [r.i for r in df.collect()] == [2]
 
 
 @pytest.mark.parametrize("bounds", [{}, {"lowerBound": "0", "upperBound": "300"}])
 def test_balanced_ranges(spark, bounds):
-    rows = [(i * i, None if i % 50 == 0 else 0.5 * i, date(2024, 1, 1), datetime(2024, 1, 1)) for i in range(400)]
+    day, time = date(2024, 1, 1), datetime(2024, 1, 1)
+    rows = [(i * i, 0.5 * i if i % 50 else None, day, time) for i in range(400)]
     source, table = database(spark, rows, "k int, x double, d date, t timestamp_ntz")
     options = {"tableName": table, "numPartitions": "4", "balanceReads": "true"}
     even = rows_of(spark, source, partitionColumn="k", **options, **bounds)
@@ -263,15 +273,16 @@ def test_cuts_are_finite(spark, value):
 
 def test_balanced_ranges_of_the_selected_rows(spark):
     source, table = database(spark, [(k,) for k in range(1000)], "k int")
-    options = {"tableName": table, "partitionColumn": "k", "numPartitions": "4", "balanceReads": "true"}
-    df = rows_of(spark, source, "incrementally", checkColumn="k", lastValue="900", **options)
+    options = {"tableName": table, "numPartitions": "4", "balanceReads": "true"}
+    newer = {"checkColumn": "k", "lastValue": "900", "partitionColumn": "k"}
+    df = rows_of(spark, source, "incrementally", **newer, **options)
     assert max(rows_per_partition(df)) <= 26 and df.count() == 100
 
 
 def test_balanced_read_of_an_empty_table(spark):
     source, table = database(spark, [], "k int")
-    df = rows_of(spark, source, tableName=table, partitionColumn="k", numPartitions="4", balanceReads="true")
-    assert df.count() == 0
+    options = {"tableName": table, "numPartitions": "4", "balanceReads": "true"}
+    assert rows_of(spark, source, partitionColumn="k", **options).count() == 0
 
 
 @given(
@@ -287,7 +298,8 @@ def test_time_cuts(a, b, parts):
 
 
 def test_time_cuts_are_strides_of_equal_width():
-    assert time_cuts("2020-06-28", "2020-07-01", 3) == [datetime(2020, 6, 29), datetime(2020, 6, 30)]
+    days = [datetime(2020, 6, 29), datetime(2020, 6, 30)]
+    assert time_cuts("2020-06-28", "2020-07-01", 3) == days
     assert time_cuts("2020-06-28", "2020-07-01", 1) == []
     with pytest.raises(ValueError, match="behind"):
         time_cuts("2020-07-01", "2020-06-28", 3)

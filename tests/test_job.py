@@ -4,10 +4,13 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark import TaskContext
+from pyspark.sql import functions as F
 
 from helpers import data_files, database, file_sink, table_job
 from sluice import Endpoint, TableJob, observe_progress, read_progress, run, run_from_files
 from sluice.plans.job import ingest_table
+from sluice.sinks.files import spread_rows
 
 SCHEMA = json.dumps(
     {
@@ -142,10 +145,9 @@ def test_a_failing_table_ends_the_run(spark, source_table, tmp_path):
 
 def test_custom_mode_reads_all_and_appends(spark, source_table, tmp_path):
     source, table = source_table
+    jobs, sink = [table_job(table, "weekly")], file_sink(tmp_path)
     for _ in range(2):
-        result = execute(
-            spark, source, file_sink(tmp_path), [table_job(table, "weekly")], "weekly", custom_modes=True
-        )
+        result = execute(spark, source, sink, jobs, "weekly", custom_modes=True)
         assert summary(result) == [(table, 4, None)]
     assert spark.read.parquet(f"{tmp_path}/{table}").count() == 8
 
@@ -165,7 +167,8 @@ def test_run_of_configuration_files(spark, source_table, tmp_path):
         listed = [{"name": key, "value": value} for key, value in options.items()]
         return {"name": name, "options": listed}
 
-    endpoints = [item("db", **source.options), item("out", format="orc", location=f"{tmp_path}/out")]
+    target = {"format": "orc", "location": f"{tmp_path}/out"}
+    endpoints = [item("db", **source.options), item("out", **target)]
     tables = [item("first", tableName=table, mode="completely")]
     for name, listed in (("endpoints", endpoints), ("tables", tables)):
         (tmp_path / f"{name}.json").write_text(json.dumps({name: listed}, indent=1))
@@ -188,6 +191,30 @@ def test_files_as_source(spark, tmp_path):
     assert (result.rows, result.path) == (5, f"{tmp_path}/out/t")
 
 
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_repeated_tasks_count_once(spark, tmp_path, rebalance):
+    def lost_at_first(batches):
+        for i, batch in enumerate(batches):
+            if i and TaskContext.get().attemptNumber() == 0:
+                raise RuntimeError("lost")
+            yield batch
+
+    df = spark.range(0, 100_000, 1, 4).withColumn("k", F.col("id") % 3)
+    df = df.mapInArrow(lost_at_first, df.schema)
+    if rebalance:
+        df = spread_rows(df, ["k"])
+    observed, observation = observe_progress(df, "id")
+    observed.write.partitionBy("k").parquet(f"{tmp_path}/t")
+    assert read_progress(observation) == (100_000, "99999")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 100_000
+
+
+def test_files_must_know_their_types(spark, tmp_path):
+    source = Endpoint("files", {"format": "json", "location": str(tmp_path)})
+    with pytest.raises(ValueError, match="do not say their types"):
+        execute(spark, source, file_sink(tmp_path), [table_job()], "completely")
+
+
 def test_progress_of_nothing(spark, tmp_path):
     for df in (spark.range(0), spark.range(5).filter("false")):
         observed, observation = observe_progress(df, "id")

@@ -138,6 +138,13 @@ def test_rebalanced_write_splits_only_the_hot_key(spark, tmp_path, settings):
     assert spark.read.parquet(path).distinct().count() == 300_000
 
 
+def test_keys_of_any_name(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x", 2)], "`a.b` int, `c d` string, v int")
+    job = table_job(partitionKeys="a.b,c d")
+    path = write_table(spread_rows(df, job.partition_keys), file_sink(tmp_path), job, "daily")
+    assert data_files(path)[0].startswith("a.b=1/c d=x/")
+
+
 def test_rebalancing_needs_adaptive_execution(spark, settings):
     settings("spark.sql.adaptive.enabled", "false")
     with pytest.raises(ValueError, match="adaptive"):
