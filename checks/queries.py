@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import derby
-from checks.scratch import fresh_folder
 from sluice import (
     Endpoint,
     TableJob,
@@ -29,6 +28,7 @@ from sluice import (
     target_path,
 )
 from sluice.functions.days import format_day, parse_day, previous_day_of
+from sluice.functions.shared import fresh_folder
 from sluice.plans.specs import COMPLETELY, DAILY, INCREMENTALLY
 
 Query = Callable[[SparkSession, str], DataFrame]

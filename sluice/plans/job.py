@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import date
 
@@ -10,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from sluice.functions.columns import column, find_field
+from sluice.functions.shared import landed
 from sluice.operators.conform import conform, load_avro_schema
 from sluice.operators.progress import observe_progress, read_progress
 from sluice.plans.specs import (
+    DAILY,
     Endpoint,
     TableJob,
     load_endpoints,
@@ -20,8 +23,9 @@ from sluice.plans.specs import (
     pick_endpoint,
 )
 from sluice.plans.validation import check_partition_keys, validate
-from sluice.sinks.files import spread_rows, write_table
+from sluice.sinks.files import is_adaptive, spread_rows, write_table
 from sluice.sources import read_table, source_zone
+from sluice.sources.files import is_files
 
 # Carries the check column to the write where the schema does not keep it.
 _CHECK = "__check_value"
@@ -109,7 +113,11 @@ def ingest_table(
     schema: StructType | None = None,
     as_of: date | str | None = None,
 ) -> TableResult:
-    """Read, filter, conform and write one table: a single stage without a shuffle."""
+    """Read, filter, conform and write one table.
+
+    This is a single stage without a shuffle, unless the rows are spread by their partition
+    keys before they are written.
+    """
     rows = read_table(spark, source, job, mode, as_of)
     check = find_field(rows.schema, job.get("checkColumn", "").strip())
     observed = check.name if check else None
@@ -119,9 +127,27 @@ def ingest_table(
             schema = StructType([*schema.fields, rows.schema[_CHECK]])
             observed = _CHECK
         rows = conform(rows, schema, "null" if job.flag("lenientCasts") else "fail")
-    if job.flag("rebalance"):
-        rows = spread_rows(rows, job.partition_keys)
-    rows, observation = observe_progress(rows, observed, source_zone(spark, source))
-    path = write_table(rows.drop(_CHECK), sink, job, mode)
+    with ExitStack() as until_written:
+        if spreads_rows(spark, job, source, mode):
+            if not is_files(source):
+                rows = until_written.enter_context(landed(rows))
+            rows = spread_rows(rows, job.partition_keys)
+        zone = source_zone(spark, source)
+        rows, observation = observe_progress(rows, observed, zone)
+        path = write_table(rows.drop(_CHECK), sink, job, mode)
     count, last_value = read_progress(observation)
     return TableResult(job.table_name, count, last_value or job.get("lastValue"), path)
+
+
+def spreads_rows(spark: SparkSession, job: TableJob, source: Endpoint, mode: str) -> bool:
+    """Whether rows are shuffled by their partition keys: as ``rebalance`` says.
+
+    If it says nothing, rows of a database are not: its few read tasks write few files. File
+    datasets are read by many tasks, each of which would write a file per key it meets, so
+    their rows are; but not if the only key is the day that a daily run selects.
+    """
+    if job.get("rebalance") is not None:
+        return job.flag("rebalance")
+    single = {job.get("checkColumn", "").strip().lower()} if mode == DAILY else set()
+    keys = {key.lower() for key in job.partition_keys}
+    return is_files(source) and is_adaptive(spark) and not keys <= single

@@ -36,15 +36,19 @@ def target_path(sink: Endpoint, job: TableJob) -> str:
     return f"{sink.require('location')}/{job.table_name}"
 
 
+def is_adaptive(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.adaptive.enabled").lower() == "true"
+
+
 def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Bring rows of the same partition keys together, to write few and even files.
 
-    This is a shuffle, so it is only done on request. Adaptive execution splits a key with
-    many rows over several tasks and puts small ones together; without it, all rows of a key
-    would have to pass through one task. Have at least as many shuffle partitions as keys:
-    keys that share one are split together.
+    This is a shuffle. Adaptive execution splits a key with many rows over several tasks and
+    puts small ones together; without it, all rows of a key would have to pass through one
+    task. Have at least as many shuffle partitions as keys: keys that share one are split
+    together.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() != "true":
+    if not is_adaptive(df.sparkSession):
         raise ValueError("rebalance needs spark.sql.adaptive.enabled")
     return df.hint("rebalance", *[column(key) for key in keys])
 
@@ -52,9 +56,9 @@ def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
 def write_table(df: DataFrame, sink: Endpoint, job: TableJob, mode: str) -> str:
     """Write the rows and return the target path.
 
-    A complete copy replaces the target, anything else is added to it. Rows are written by
-    the tasks that read them; no shuffle takes place. With ``replacePartitions`` the
-    partitions found in the rows are replaced, which makes a repeated daily run harmless.
+    A complete copy replaces the target, anything else is added to it. With
+    ``replacePartitions`` the partitions found in the rows are replaced, which makes a
+    repeated daily run harmless.
     """
     path = target_path(sink, job)
     writer = df.write.format(resolve_format(df.sparkSession, sink.require("format")))

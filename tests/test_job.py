@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from helpers import data_files, database, file_sink, table_job
 from sluice import Endpoint, TableJob, observe_progress, read_progress, run, run_from_files
-from sluice.plans.job import ingest_table
+from sluice.functions.shared import fresh_folder
+from sluice.plans.job import ingest_table, spreads_rows
 from sluice.sinks.files import spread_rows
 
 SCHEMA = json.dumps(
@@ -191,6 +192,65 @@ def test_files_as_source(spark, tmp_path):
     assert (result.rows, result.path) == (5, f"{tmp_path}/out/t")
 
 
+def files_in(folder):
+    return len(data_files(folder))
+
+
+def test_rows_of_files_are_spread_by_key(spark, tmp_path):
+    source = Endpoint("files", {"format": "parquet", "location": f"{tmp_path}/in"})
+    keyed = spark.range(0, 400, 1, 4).select((F.col("id") % 5).alias("k"), "id")
+    keyed.write.parquet(f"{tmp_path}/in/t")
+    written = {}
+    for rebalance in ("unset", "true", "false"):
+        options = {"partitionKeys": "K"} | ({"rebalance": rebalance} if rebalance != "unset" else {})
+        sink = file_sink(tmp_path / rebalance)
+        assert ingest_table(spark, table_job(**options), source, sink, "completely").rows == 400
+        written[rebalance] = files_in(tmp_path / rebalance / "t")
+    assert written["unset"] == written["true"] == 5
+    assert written["false"] > 5
+
+
+def test_when_rows_are_spread(spark):
+    files = Endpoint("files", {"format": "parquet", "location": "/in"})
+    base = Endpoint("db", {"url": "jdbc:x:y", "driver": "d"})
+    cases = [
+        (files, "completely", {}, False),
+        (files, "completely", {"partitionKeys": "day"}, True),
+        (files, "completely", {"partitionKeys": "day", "rebalance": "false"}, False),
+        (files, "daily", {"partitionKeys": "DAY", "checkColumn": "day"}, False),
+        (files, "daily", {"partitionKeys": "day,k", "checkColumn": "day"}, True),
+        (files, "incrementally", {"partitionKeys": "day", "checkColumn": "day"}, True),
+        (base, "completely", {"partitionKeys": "day"}, False),
+        (base, "completely", {"partitionKeys": "day", "rebalance": "true"}, True),
+    ]
+    for source, mode, options, expected in cases:
+        assert spreads_rows(spark, table_job(mode=mode, **options), source, mode) == expected
+
+
+def test_rows_of_a_database_are_landed_before_they_are_spread(
+    spark, source_table, tmp_path, monkeypatch
+):
+    source, table = source_table
+    shared = tmp_path / "shared"
+    monkeypatch.setattr("sluice.functions.shared.fresh_folder", lambda spark: f"{shared}/rows")
+    job = table_job(table, partitionKeys="name", rebalance="true", checkColumn="id")
+    result = ingest_table(spark, job, source, file_sink(tmp_path / "out"), "completely")
+    assert (result.rows, result.last_value) == (4, "4")
+    assert files_in(tmp_path / "out" / table) == 4
+    assert shared.exists() and not list(shared.glob("[!.]*"))
+    with pytest.raises(Exception, match="(?i)nope"):
+        job = table_job(table, partitionKeys="nope", rebalance="true")
+        ingest_table(spark, job, source, file_sink(tmp_path / "out"), "completely")
+    assert not list(shared.glob("[!.]*"))
+
+
+def test_shared_folder(spark):
+    first, second = fresh_folder(spark), fresh_folder(spark)
+    assert first != second
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared is None or first.startswith(shared)
+
+
 @pytest.mark.parametrize("rebalance", [False, True])
 def test_repeated_tasks_count_once(spark, tmp_path, rebalance):
     def lost_at_first(batches):
