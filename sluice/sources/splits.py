@@ -43,9 +43,6 @@ class SplitColumn:
     def is_null(self) -> str:
         return f"{self.name} IS NULL"
 
-    def equals(self, value: object) -> str:
-        return f"{self.name} = {self._literal(value)}"
-
     def ranges(self, cuts: list, nulls_apart: bool = False) -> list[str] | None:
         """One condition per range between the cuts; NULLs belong to the first or get their own."""
         if not cuts:
@@ -123,38 +120,33 @@ def balanced_ranges(
         F.count(first.values).alias("known"),
     ).first()
     cuts = Counter(_finite(seen.cuts))
-    shares = {first.equals(cut): n for cut, n in cuts.items() if n > 1}
-    null_share = (seen.rows - seen.known) * parts // max(seen.rows, 1)
-    if null_share > 1:
-        shares[first.is_null] = null_share
-
-    ranges = first.ranges(sorted(cuts), nulls_apart=null_share > 1)
-    if not others or not shares or not ranges:
+    null_shares = (seen.rows - seen.known) * parts // max(seen.rows, 1)
+    ranges = first.ranges(sorted(cuts), nulls_apart=null_shares > 1)
+    if not ranges or not others:
         return ranges
 
-    second, hot = others[0], list(shares)
+    # How many even parts each range is worth: it starts with its cut, and a cut found several
+    # times is a value with that many parts.
+    shares = [null_shares] if null_shares > 1 else []
+    shares += [1, *(cuts[cut] for cut in sorted(cuts))]
+    hot = [i for i, share in enumerate(shares) if share > 1]
+    if not hot:
+        return ranges
+    second = others[0]
     found = (
-        load(hot)
+        load([ranges[i] for i in hot])
         .groupBy(F.spark_partition_id().alias("hot"))
         .agg(second.quantiles(parts).alias("cuts"))
         .collect()
     )
-    inner = {hot[row.hot]: _thinned(_finite(row.cuts), shares[hot[row.hot]]) for row in found}
-    # The range that holds a hot value starts with it.
-    starts = dict(zip(ranges, _starting_values(first, sorted(cuts), null_share > 1)))
+    inner = {hot[row.hot]: _finite(row.cuts) for row in found}
     split = []
-    for condition in ranges:
-        subranges = second.ranges(inner.get(starts[condition], [])) or []
-        split += [f"({condition}) AND ({sub})" for sub in subranges] or [condition]
+    for i, condition in enumerate(ranges):
+        within = second.ranges(_thinned(inner.get(i, []), shares[i]))
+        split += [f"({condition}) AND ({part})" for part in within] if within else [condition]
     return split
 
 
-def _starting_values(first: SplitColumn, cuts: list, nulls_apart: bool) -> list[str]:
-    """For each of the ranges, the condition for the value it starts with."""
-    leading = [first.is_null, ""] if nulls_apart else [""]
-    return leading + [first.equals(cut) for cut in cuts]
-
-
 def _thinned(cuts: list, parts: int) -> list:
     """Of many evenly spaced cuts those that are left for ``parts`` ranges."""
     return sorted({cuts[len(cuts) * i // parts] for i in range(1, parts)}) if cuts else []
