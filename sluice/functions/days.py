@@ -20,13 +20,14 @@ def to_day(value: date | datetime | str) -> date:
     return date.fromisoformat(value.strip())
 
 
-def previous_day(as_of: date | datetime | str | None = None) -> date:
-    """The day before ``as_of``; without it, the day before today in UTC.
+def run_day(as_of: date | datetime | str | None = None) -> date:
+    """``as_of``, or today in UTC. Giving it makes a daily run repeatable."""
+    return datetime.now(timezone.utc).date() if as_of is None else to_day(as_of)
+
 
-    Passing ``as_of`` makes a daily run repeatable.
-    """
-    today = datetime.now(timezone.utc).date() if as_of is None else to_day(as_of)
-    return today - timedelta(days=1)
+def previous_day(as_of: date | datetime | str | None = None) -> date:
+    """The day before ``as_of``; without it, the day before today in UTC."""
+    return run_day(as_of) - timedelta(days=1)
 
 
 def previous_day_of(column: Column) -> Column:

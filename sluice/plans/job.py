@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from sluice.functions.columns import column, find_field
+from sluice.functions.days import run_day
 from sluice.functions.shared import landed
 from sluice.operators.conform import conform, load_avro_schema
 from sluice.operators.progress import observe_progress, read_progress
@@ -61,6 +62,7 @@ def run(
     source, sink = pick_endpoint(endpoints, source_name), pick_endpoint(endpoints, sink_name)
     jobs = validate(list(tables), source, sink, mode, custom_modes)
     schemas = [job_schema(spark, job, schemas_path) for job in jobs]
+    as_of = run_day(as_of)  # the same for all tables, also if midnight passes meanwhile
     results = [
         ingest_table(spark, job, source, sink, mode, schema, as_of)
         for job, schema in zip(jobs, schemas)

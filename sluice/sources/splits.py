@@ -23,7 +23,10 @@ ACCURACY = 10_000
 
 
 def clock_zone(spark: SparkSession) -> str:
-    """The zone in which JDBC drivers turn a clock time into an instant: the JVM's."""
+    """The zone in which JDBC drivers turn a clock time into an instant: the JVM's.
+
+    Executors must have the same one as the driver, whose literals they are compared with.
+    """
     return spark._jvm.java.util.TimeZone.getDefault().getID()
 
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import derby
+from sluice_checks import derby
 from sluice import (
     Endpoint,
     TableJob,

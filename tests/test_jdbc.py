@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import Counter
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from hypothesis import given
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from checks import derby
+from sluice_checks import derby
 from helpers import database, plan_of, table_job
 from sluice import Endpoint, conform, read_table
 from sluice.sources.credentials import connection_properties
@@ -256,6 +257,29 @@ def test_a_hot_value_is_split_by_a_second_column(spark, kind):
     assert Counter(map(tuple, df.collect())) == Counter(rows)
 
 
+@pytest.mark.parametrize(
+    ("url", "type_name", "cut", "condition"),
+    [
+        ("jdbc:oracle:thin:@h", "date", date(2024, 1, 5), """"c" < {d '2024-01-05'}"""),
+        (
+            "jdbc:oracle:thin:@h",
+            "timestamp",
+            datetime(2024, 1, 5, 6, 7, 8, 90),
+            """"c" < {ts '2024-01-05 06:07:08.00009'}""",
+        ),
+        ("jdbc:mysql://h", "timestamp_ntz", datetime(2024, 1, 5), "`c` < '2024-01-05 00:00:00'"),
+        ("jdbc:postgresql://h", "date", date(2024, 1, 5), """"c" < '2024-01-05'"""),
+        ("jdbc:postgresql://h", "bigint", 2**40, '"c" < 1099511627776'),
+        ("jdbc:oracle:thin:@h", "decimal(38,0)", Decimal(10) ** 30, f'"c" < 1{"0" * 30}'),
+    ],
+)
+def test_ranges_in_the_language_of_the_database(spark, url, type_name, cut, condition):
+    field = StructType.fromDDL(f"c {type_name}")["c"]
+    first, last = SplitColumn(spark, url, field).ranges([cut])
+    assert first == condition + f" OR {condition.split(' ')[0]} IS NULL"
+    assert last == condition.replace("<", ">=")
+
+
 def test_nothing_to_split_by(spark):
     source, table = database(spark, [(None, 1), (None, 2), (None, None)], "k int, id int")
     options = {"tableName": table, "numPartitions": "4", "balanceReads": "true"}
