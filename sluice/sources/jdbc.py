@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import TimestampNTZType
 
-from sluice.functions.columns import require_field
+from sluice.functions.columns import column, require_field
 from sluice.functions.literals import unquote
 from sluice.plans.specs import SPLIT_OPTIONS, Endpoint, TableJob
 from sluice.sources.credentials import check_credentials, connection_properties
@@ -97,38 +97,37 @@ def read_jdbc(
 
     The bounds only set how wide the ranges are: the first and the last one are open, so all
     rows are read. Every range is one task with one connection, and a range with many rows is
-    one long task. ``balanceReads`` makes ranges of about as many rows each, counting only
-    the rows of the mode.
+    one long task. ``balanceReads`` needs no bounds and makes ranges of about as many rows
+    each, counting only the rows of the mode.
     """
     options = jdbc_options(source, job)
     url, properties = jdbc_url(source), connection_properties(spark, source)
 
-    def load(split: dict[str, str] | None = None, predicates: list[str] | None = None) -> DataFrame:
+    def load(
+        predicates: list[str] | None = None,
+        split: dict[str, str] | None = None,
+        table: str = job.table_name,
+    ) -> DataFrame:
         reader = spark.read.options(**options, **(split or {}))
-        return reader.jdbc(url, job.table_name, predicates=predicates, properties=properties)
+        return reader.jdbc(url, table, predicates=predicates, properties=properties)
 
     balanced = job.flag("balanceReads")
     if not (job.splits_read or balanced):
         return load()
 
     rows, parts = load(), job.positive("numPartitions")
-    names = [job.require("partitionColumn").strip()]
+    # A balanced read may name a second column, to split single values with many rows.
+    names = job.require("partitionColumn").split(",", maxsplit=1 if balanced else 0)
+    fields = [require_field(rows, name.strip(), "partitionColumn") for name in names]
+    columns = [SplitColumn(spark, url, field) for field in fields]
     if balanced:
-        # A second column, where one is given, splits single values with many rows.
-        names = [name.strip() for name in names[0].split(",")]
-    fields = [require_field(rows, name, "partitionColumn") for name in names]
-    if job.splits_read and isinstance(fields[0].dataType, TimestampNTZType):
+        last = columns[-1]
+        found = load(table=last.bounds_of(job.table_name))
+        bounds = found.select(*[last.on_clock(column(name)) for name in found.columns]).first()
+        return load(balanced_ranges(columns, parts, lambda some: rows_of_mode(load(some)), bounds))
+    if isinstance(fields[0].dataType, TimestampNTZType):
         # Spark's own split refuses this type.
         lower, upper = unquote(job.require("lowerBound")), unquote(job.require("upperBound"))
-        ranges = SplitColumn(spark, url, fields[0]).ranges(time_cuts(lower, upper, parts))
-        rows = load(predicates=ranges)
-    elif job.splits_read:
-        split = {option: unquote(job.require(option)) for option in SPLIT_OPTIONS}
-        rows = load(split | {"partitionColumn": fields[0].name})
-    if balanced:
-        columns = [SplitColumn(spark, url, field) for field in fields]
-        ranges = balanced_ranges(
-            rows_of_mode(rows), columns, parts, lambda found: rows_of_mode(load(predicates=found))
-        )
-        rows = load(predicates=ranges)
-    return rows
+        return load(columns[0].ranges(time_cuts(lower, upper, parts)))
+    split = {option: unquote(job.require(option)) for option in SPLIT_OPTIONS}
+    return load(split=split | {"partitionColumn": fields[0].name})

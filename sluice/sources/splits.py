@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime
-from itertools import pairwise
+from itertools import chain, pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,19 +57,26 @@ class SplitColumn:
             return [self.is_null, first, *inner, last]
         return [f"{first} OR {self.is_null}", *inner, last]
 
+    def bounds_of(self, table: str) -> str:
+        """A query by which the database finds the lowest and highest value: one row."""
+        return f"(SELECT MIN({self.name}) AS low, MAX({self.name}) AS high FROM {table}) bounds"
+
     def quantiles(self, parts: int) -> Column:
         """The values that cut the rows into equal parts; a frequent one comes repeatedly."""
         shares = [i / parts for i in range(1, parts)]
         cuts = F.percentile_approx(self.values, shares, ACCURACY)
-        if isinstance(self._field.dataType, TimestampType):
-            # As the database's clock shows them, which is what its SQL compares.
-            zone = F.lit(clock_zone(self._spark))
+        return F.transform(cuts, self.on_clock) if self._is_instant else cuts
 
-            def on_clock(cut: Column) -> Column:
-                return F.convert_timezone(None, zone, cut.cast("timestamp_ntz"))
+    def on_clock(self, value: Column) -> Column:
+        """An instant as the database's clock shows it, which is what its SQL compares."""
+        if not self._is_instant:
+            return value
+        zone = F.lit(clock_zone(self._spark))
+        return F.convert_timezone(None, zone, value.cast("timestamp_ntz"))
 
-            return F.transform(cuts, on_clock)
-        return cuts
+    @property
+    def _is_instant(self) -> bool:
+        return isinstance(self._field.dataType, TimestampType)
 
     def _literal(self, value: object) -> str:
         return str(self._dialect.compileValue(_jvm_value(self._spark, value, self._field.dataType)))
@@ -88,7 +95,7 @@ def _jvm_value(spark: SparkSession, value: object, dtype: DataType) -> object:
 
 
 def time_cuts(lower: str, upper: str, parts: int) -> list[datetime]:
-    """The inner limits of ``parts`` ranges of equal width."""
+    """``even_cuts`` between two timestamps given as text."""
     try:
         start, end = datetime.fromisoformat(lower), datetime.fromisoformat(upper)
     except ValueError as error:
@@ -97,35 +104,50 @@ def time_cuts(lower: str, upper: str, parts: int) -> list[datetime]:
         raise ValueError("the bounds of a column without zone cannot have one")
     if start > end:
         raise ValueError(f"lowerBound '{lower}' is behind upperBound '{upper}'")
-    cuts = [start + (end - start) * i / parts for i in range(1, parts)]
-    return sorted(set(cuts))
+    return even_cuts(start, end, parts)
+
+
+def even_cuts(low, high, parts: int) -> list:
+    """The inner limits of ``parts`` ranges of equal width, for numbers, dates and timestamps."""
+    steps = [(high - low) * i for i in range(1, parts)]
+    if isinstance(low, int):
+        return sorted({low + step // parts for step in steps})
+    return sorted({low + step / parts for step in steps})
 
 
 def balanced_ranges(
-    df: DataFrame,
     columns: list[SplitColumn],
     parts: int,
-    load: Callable[[list[str]], DataFrame],
+    load: Callable[[list[str] | None], DataFrame],
+    bounds: tuple,
 ) -> list[str] | None:
-    """Ranges of the first column with about as many rows of ``df`` in each.
+    """Ranges of the first column with about as many rows in each.
 
     A value that alone fills several ranges, NULL included, is split further by the second
-    column, if there is one. Reads just the column in question, summarised within each
-    partition; what reaches the driver is the cut points. ``load`` reads the rows that meet
-    each of some conditions, one partition per condition.
+    column, if there is one. ``load`` reads the rows that meet each of some conditions, one
+    partition per condition. What is read is just the column in question, in even strides
+    between the ``bounds`` of the last column, and summarised within each partition; what
+    reaches the driver is the cut points.
     """
     if parts == 1:
         return None
-    first, *others = columns
-    seen = df.agg(
-        first.quantiles(parts).alias("cuts"),
-        F.count(F.lit(1)).alias("rows"),
-        F.count(first.values).alias("known"),
-    ).first()
+    first, last = columns[0], columns[-1]
+    known = [limit for limit in _finite(bounds) if limit is not None]
+    strides = last.ranges(even_cuts(*known, parts)) if len(known) == 2 else None
+
+    seen = (
+        load(strides)
+        .agg(
+            first.quantiles(parts).alias("cuts"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count(first.values).alias("known"),
+        )
+        .first()
+    )
     cuts = Counter(_finite(seen.cuts))
     null_shares = (seen.rows - seen.known) * parts // max(seen.rows, 1)
     ranges = first.ranges(sorted(cuts), nulls_apart=null_shares > 1)
-    if not ranges or not others:
+    if not ranges or len(columns) == 1:
         return ranges
 
     # How many even parts each range is worth: it starts with its cut, and a cut found several
@@ -135,19 +157,27 @@ def balanced_ranges(
     hot = [i for i, share in enumerate(shares) if share > 1]
     if not hot:
         return ranges
-    second = others[0]
+    pieces = [_both([ranges[i]], strides) for i in hot]
+    which = F.floor(F.spark_partition_id() / F.lit(len(pieces[0])))
     found = (
-        load([ranges[i] for i in hot])
-        .groupBy(F.spark_partition_id().alias("hot"))
-        .agg(second.quantiles(parts).alias("cuts"))
+        load(list(chain(*pieces)))
+        .groupBy(which.alias("which"))
+        .agg(last.quantiles(parts).alias("cuts"))
         .collect()
     )
-    inner = {hot[row.hot]: _finite(row.cuts) for row in found}
-    split = []
-    for i, condition in enumerate(ranges):
-        within = second.ranges(_thinned(inner.get(i, []), shares[i]))
-        split += [f"({condition}) AND ({part})" for part in within] if within else [condition]
-    return split
+    inner = {hot[row.which]: _finite(row.cuts) for row in found}
+    split = [
+        _both([condition], last.ranges(_thinned(inner.get(i, []), shares[i])))
+        for i, condition in enumerate(ranges)
+    ]
+    return list(chain(*split))
+
+
+def _both(conditions: list[str], others: list[str] | None) -> list[str]:
+    """Each of the conditions together with each of the others, if there are any."""
+    if not others:
+        return conditions
+    return [f"({one}) AND ({other})" for one in conditions for other in others]
 
 
 def _thinned(cuts: list, parts: int) -> list:
@@ -155,5 +185,5 @@ def _thinned(cuts: list, parts: int) -> list:
     return sorted({cuts[len(cuts) * i // parts] for i in range(1, parts)}) if cuts else []
 
 
-def _finite(cuts: list | None) -> list:
+def _finite(cuts: Iterable | None) -> list:
     return [c for c in cuts or [] if not (isinstance(c, float) and not math.isfinite(c))]
