@@ -76,7 +76,9 @@ def _try_cast(df: DataFrame, field: StructField) -> Column:
     """
     value, source = column(field.name), find_field(df.schema, field.name)
     cast, limit = value.try_cast(field.dataType), _magnitude(field.dataType)
-    if limit is None or source is None or not isinstance(source.dataType, NumericType):
+    if limit is None or source is None or source.dataType == field.dataType:
+        return cast
+    if not isinstance(source.dataType, NumericType):
         return cast
     # As doubles both sides may be rounded, but never past each other: whatever fits gets by.
     return F.when(F.abs(value.cast("double")) <= F.lit(limit), cast)

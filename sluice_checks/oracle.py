@@ -82,7 +82,8 @@ ORACLE: dict[str, str] = {
     "sink_parquet": ALL_LINEITEM,
     "sink_orc": ALL_LINEITEM,
     "sink_avro": ALL_LINEITEM,
-    "sink_json": "SELECT * FROM nation",
+    "sink_json": ALL_ORDERS,
+    "sink_csv": ALL_ORDERS,
     "sink_overwrite_twice": ALL_ORDERS,
     "sink_append_twice": f"{ALL_ORDERS} UNION ALL {ALL_ORDERS}",
     "sink_partitioned_one": ALL_ORDERS,

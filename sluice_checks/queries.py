@@ -385,7 +385,8 @@ QUERIES: dict[str, Query] = {
     "sink_parquet": round_trip("lineitem", "parquet"),
     "sink_orc": round_trip("lineitem", "orc"),
     "sink_avro": round_trip("lineitem", "avro"),
-    "sink_json": round_trip("nation", "json"),
+    "sink_json": round_trip("orders", "json"),
+    "sink_csv": round_trip("orders", "csv"),
     "sink_overwrite_twice": round_trip("orders", times=2),
     "sink_append_twice": round_trip(
         "orders", mode=INCREMENTALLY, times=2, checkColumn="o_orderkey", lastValue="0"
