@@ -133,10 +133,12 @@ def balanced_ranges(
         return None
     first, last = columns[0], columns[-1]
     known = [limit for limit in _finite(bounds) if limit is not None]
-    strides = last.ranges(even_cuts(*known, parts)) if len(known) == 2 else None
+
+    def strides(number: int) -> list[str] | None:
+        return last.ranges(even_cuts(*known, number)) if len(known) == 2 else None
 
     seen = (
-        load(strides)
+        load(strides(parts))
         .agg(
             first.quantiles(parts).alias("cuts"),
             F.count(F.lit(1)).alias("rows"),
@@ -157,15 +159,15 @@ def balanced_ranges(
     hot = [i for i, share in enumerate(shares) if share > 1]
     if not hot:
         return ranges
-    pieces = [_both([ranges[i]], strides) for i in hot]
-    which = F.floor(F.spark_partition_id() / F.lit(len(pieces[0])))
+    pieces = [(i, one) for i in hot for one in _both([ranges[i]], strides(shares[i]))]
+    owners = F.array(*[F.lit(i) for i, _ in pieces])
     found = (
-        load(list(chain(*pieces)))
-        .groupBy(which.alias("which"))
+        load([condition for _, condition in pieces])
+        .groupBy(F.element_at(owners, F.spark_partition_id() + 1).alias("range"))
         .agg(last.quantiles(parts).alias("cuts"))
         .collect()
     )
-    inner = {hot[row.which]: _finite(row.cuts) for row in found}
+    inner = {row.range: _finite(row.cuts) for row in found}
     split = [
         _both([condition], last.ranges(_thinned(inner.get(i, []), shares[i])))
         for i, condition in enumerate(ranges)
