@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 from contextlib import ExitStack
 from dataclasses import dataclass
@@ -28,6 +29,8 @@ from sluice.sinks.files import is_adaptive, spread_rows, write_table
 from sluice.sources import read_table, source_zone
 from sluice.sources.files import is_files
 
+log = logging.getLogger(__name__)
+
 # Carries the check column to the write where the schema does not keep it.
 _CHECK = "__check_value"
 
@@ -56,17 +59,17 @@ def run(
     """Ingest the table jobs of this mode, one after another in their order.
 
     Everything is checked before the first table is touched. The first table that fails ends
-    the run; targets written until then stay. Returns one row per table: ``table_name``,
-    ``rows``, ``last_value``.
+    the run; targets written until then stay, and the log has their results. Returns one row
+    per table: ``table_name``, ``rows``, ``last_value``.
     """
     source, sink = pick_endpoint(endpoints, source_name), pick_endpoint(endpoints, sink_name)
     jobs = validate(list(tables), source, sink, mode, custom_modes)
     schemas = [job_schema(spark, job, schemas_path) for job in jobs]
     as_of = run_day(as_of)  # the same for all tables, also if midnight passes meanwhile
-    results = [
-        ingest_table(spark, job, source, sink, mode, schema, as_of)
-        for job, schema in zip(jobs, schemas)
-    ]
+    results = []
+    for job, schema in zip(jobs, schemas):
+        results.append(ingest_table(spark, job, source, sink, mode, schema, as_of))
+        log.info("%s", results[-1])
     return spark.createDataFrame(
         [(r.table_name, r.rows, r.last_value) for r in results],
         "table_name string, rows bigint, last_value string",

@@ -159,7 +159,7 @@ def balanced_ranges(
     hot = [i for i, share in enumerate(shares) if share > 1]
     if not hot:
         return ranges
-    pieces = [(i, one) for i in hot for one in _both([ranges[i]], strides(shares[i]))]
+    pieces = [(i, one) for i in hot for one in both([ranges[i]], strides(shares[i]))]
     owners = F.array(*[F.lit(i) for i, _ in pieces])
     found = (
         load([condition for _, condition in pieces])
@@ -169,13 +169,13 @@ def balanced_ranges(
     )
     inner = {row.range: _finite(row.cuts) for row in found}
     split = [
-        _both([condition], last.ranges(_thinned(inner.get(i, []), shares[i])))
+        both([condition], last.ranges(_thinned(inner.get(i, []), shares[i])))
         for i, condition in enumerate(ranges)
     ]
     return list(chain(*split))
 
 
-def _both(conditions: list[str], others: list[str] | None) -> list[str]:
+def both(conditions: list[str], others: list[str] | None) -> list[str]:
     """Each of the conditions together with each of the others, if there are any."""
     if not others:
         return conditions

@@ -97,6 +97,7 @@ ORACLE: dict[str, str] = {
     "job_daily_files": ORDERS_OF_DAY,
     "job_by_mode": COUNTS,
     "job_by_mode_files": COUNTS,
+    "job_configured_files": COUNTS,
     "job_conformed_files": f"{CONFORMED_ORDERS} WHERE o_custkey >= 100",
     "next_last_value": HIGHEST_KEY,
     "job_next_last_value": HIGHEST_KEY,

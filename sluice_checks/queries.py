@@ -25,6 +25,7 @@ from sluice import (
     read_table,
     resolve_format,
     run,
+    run_from_files,
     target_path,
 )
 from sluice.functions.days import format_day, parse_day, previous_day_of
@@ -231,11 +232,11 @@ def sink_replace_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Whole runs
 
 
-def write_schema(spark: SparkSession, text: str) -> tuple[str, str]:
-    """Put an Avro schema where a run looks for it: folder and name."""
-    folder, name = fresh_folder(spark), "orders.avsc"
+def write_file(spark: SparkSession, name: str, text: str) -> str:
+    """Put a configuration file where all executors reach it; returns its folder."""
+    folder = fresh_folder(spark)
     spark.range(1).select(F.lit(text)).write.text(f"{folder}/{name}")
-    return folder, name
+    return folder
 
 
 def daily_run(spark: SparkSession, source: Endpoint, like: DataFrame) -> DataFrame:
@@ -273,6 +274,29 @@ def job_by_mode_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_run(spark, exported(sf_dir))
 
 
+def as_json(key: str, *specs: Endpoint | TableJob) -> str:
+    def item(spec: Endpoint | TableJob) -> dict:
+        options = [{"name": name, "value": value} for name, value in spec.options.items()]
+        return {"name": spec.name, "options": options}
+
+    return json.dumps({key: [item(spec) for spec in specs]})
+
+
+def job_configured_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose endpoints and table jobs come from JSON files."""
+    endpoints = as_json("endpoints", exported(sf_dir), new_sink(spark, "orc"))
+    tables = as_json("tables", job("orders"), job("nation"), job("x", DAILY, checkColumn="y"))
+    result = run_from_files(
+        spark,
+        endpointsConfigPath=f"{write_file(spark, 'endpoints.json', endpoints)}/endpoints.json",
+        tablesConfigPath=f"{write_file(spark, 'tables.json', tables)}/tables.json",
+        sourceName="exported",
+        sinkName="target",
+        mode=COMPLETELY,
+    )
+    return result.select("table_name", "rows")
+
+
 def incremental_run(spark: SparkSession, source: Endpoint) -> DataFrame:
     endpoints = {"source": source, "sink": new_sink(spark)}
     tables = [job("orders", INCREMENTALLY, checkColumn="o_orderkey", lastValue=LAST_KEY)]
@@ -290,14 +314,14 @@ def job_next_last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_conformed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole run with filter, Avro schema and partitioned target."""
-    folder, name = write_schema(spark, ORDERS_SCHEMA)
+    folder = write_file(spark, "orders.avsc", ORDERS_SCHEMA)
     endpoints = {"source": exported(sf_dir), "sink": new_sink(spark, "avro")}
     copy = job(
         "orders",
         INCREMENTALLY,
         checkColumn="o_custkey",
         lastValue="100",
-        schema=name,
+        schema="orders.avsc",
         partitionKeys="o_orderpriority",
         rebalance="true",
     )
@@ -402,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "job_by_mode": job_by_mode,
     "job_by_mode_files": job_by_mode_files,
     "job_conformed_files": job_conformed_files,
+    "job_configured_files": job_configured_files,
     "next_last_value": next_last_value,
     "job_next_last_value": job_next_last_value,
 }
