@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import date
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -55,27 +58,53 @@ def run(
     schemas_path: str | None = None,
     as_of: date | str | None = None,
     custom_modes: bool = False,
+    tables_at_once: int = 1,
 ) -> DataFrame:
     """Ingest the table jobs of this mode, one after another in their order.
 
     Everything is checked before the first table is touched. The first table that fails ends
     the run; targets written until then stay, and the log has their results. Returns one row
     per table: ``table_name``, ``rows``, ``last_value``.
+
+    Tables read by few tasks leave a large cluster idle; with ``tables_at_once`` several are
+    in work at a time, but never two with the same target.
     """
     source, sink = pick_endpoint(endpoints, source_name), pick_endpoint(endpoints, sink_name)
     jobs = validate(list(tables), source, sink, mode, custom_modes)
     schemas = [job_schema(spark, job, schemas_path) for job in jobs]
     as_of = run_day(as_of)  # the same for all tables, also if midnight passes meanwhile
-    results = []
-    for job, schema in zip(jobs, schemas):
-        results.append(ingest_table(spark, job, source, sink, mode, schema, as_of))
-        log.info("%s", results[-1])
+
+    def ingest(numbers: list[int]) -> list[tuple[int, TableResult]]:
+        done = []
+        for i in numbers:
+            done.append((i, ingest_table(spark, jobs[i], source, sink, mode, schemas[i], as_of)))
+            log.info("%s", done[-1][1])
+        return done
+
+    results = [result for _, result in sorted(_in_turns(spark, ingest, jobs, tables_at_once))]
     return spark.createDataFrame(
         [(r.table_name, r.rows, r.last_value) for r in results],
         "table_name string, rows bigint, last_value string",
     )
 
 
+def _in_turns(spark: SparkSession, ingest: Callable, jobs: list[TableJob], at_once: int) -> list:
+    """Results of ``ingest`` for all jobs by number, where jobs of one target stay in order."""
+    if at_once <= 1 or len(jobs) <= 1:
+        return ingest(list(range(len(jobs))))
+    chains: dict[str, list[int]] = {}
+    for i, job in enumerate(jobs):
+        chains.setdefault(job.table_name, []).append(i)
+    with ThreadPoolExecutor(at_once) as pool:
+        work = inheritable_thread_target(spark)(ingest)
+        waiting = [pool.submit(work, chain) for chain in chains.values()]
+        try:
+            return [result for one in as_completed(waiting) for result in one.result()]
+        except BaseException:
+            pool.shutdown(cancel_futures=True)  # those in work come to their end
+            raise
+
+
 def run_from_files(
     spark: SparkSession,
     endpointsConfigPath: str,
@@ -85,14 +114,12 @@ def run_from_files(
     mode: str,
     schemasPath: str | None = None,
     as_of: date | str | None = None,
-    custom_modes: bool = False,
+    **more: Any,
 ) -> DataFrame:
     """``run`` with the endpoints and table jobs of two JSON files."""
     endpoints = load_endpoints(spark, endpointsConfigPath)
     tables = load_tables(spark, tablesConfigPath)
-    return run(
-        spark, endpoints, tables, sourceName, sinkName, mode, schemasPath, as_of, custom_modes
-    )
+    return run(spark, endpoints, tables, sourceName, sinkName, mode, schemasPath, as_of, **more)
 
 
 def job_schema(

@@ -30,6 +30,13 @@ def main() -> None:
         action="store_true",
         help="take any other mode as a full read that appends",
     )
+    parser.add_argument(
+        "--tablesAtOnce",
+        dest="tables_at_once",
+        type=int,
+        default=1,
+        help="how many tables are in work at a time",
+    )
     arguments = vars(parser.parse_args())
     spark = SparkSession.builder.appName("sluice").getOrCreate()
     run_from_files(spark, **arguments).show(truncate=False)

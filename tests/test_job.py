@@ -144,6 +144,20 @@ def test_a_failing_table_ends_the_run(spark, source_table, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == [one]
 
 
+def test_several_tables_at_once(spark, tmp_path):
+    (source, one), (_, two) = database(spark, ROWS, COLUMNS), database(spark, ROWS[:1], COLUMNS)
+    jobs = [table_job(one), table_job(two), table_job(one), table_job(two)]
+    with pytest.warns(UserWarning, match="several table jobs write to"):
+        result = execute(
+            spark, source, file_sink(tmp_path), jobs, "completely", tables_at_once=3
+        )
+    assert summary(result) == [(one, 4, None), (two, 1, None)] * 2
+    assert spark.read.parquet(f"{tmp_path}/{one}").count() == 4
+    jobs = [table_job("absent"), *(table_job(f"absent{i}") for i in range(9)), table_job(one)]
+    with pytest.raises(Exception, match="(?i)absent"):
+        execute(spark, source, file_sink(tmp_path / "b"), jobs, "completely", tables_at_once=2)
+
+
 def test_custom_mode_reads_all_and_appends(spark, source_table, tmp_path):
     source, table = source_table
     jobs, sink = [table_job(table, "weekly")], file_sink(tmp_path)
