@@ -29,3 +29,17 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir() -> str:
     return "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def change(spark):
+    """Changes session settings, which are put back afterwards."""
+    before = {}
+
+    def change(name, value):
+        before.setdefault(name, spark.conf.get(name))
+        spark.conf.set(name, value)
+
+    yield change
+    for name, value in before.items():
+        spark.conf.set(name, value)

@@ -71,14 +71,10 @@ def test_time_bounds(spark):
     ],
 )
 @pytest.mark.parametrize("ansi", ["true", "false"])
-def test_unusable_last_values_are_refused(spark, type_name, last, message, ansi):
-    before = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", ansi)
-    try:
-        with pytest.raises(ValueError, match=message):
-            incremental_filter(column_of(spark, type_name), "c", last)
-    finally:
-        spark.conf.set("spark.sql.ansi.enabled", before)
+def test_unusable_last_values_are_refused(spark, change, type_name, last, message, ansi):
+    change("spark.sql.ansi.enabled", ansi)
+    with pytest.raises(ValueError, match=message):
+        incremental_filter(column_of(spark, type_name), "c", last)
 
 
 def test_zone_of_the_source_clock(spark):

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluice_checks import derby
-from helpers import database, plan_of, table_job
-from sluice import Endpoint, conform, read_table
+from helpers import database, file_sink, plan_of, table_job
+from sluice import Endpoint, conform, ingest_table, read_table
 from sluice.sources.credentials import connection_properties
 from sluice.sources.jdbc import check_endpoint, jdbc_options, jdbc_url
 from sluice.sources.splits import SplitColumn, balanced_ranges, both, even_cuts, time_cuts
@@ -150,6 +150,59 @@ def test_text_day_is_left_to_the_database(spark):
     assert [r.id for r in df.collect()] == [1]
 
 
+CHARS = "day CHAR(12), short VARCHAR(12)"
+
+
+@pytest.mark.parametrize("padding", ["true", "false"])
+def test_char_columns(spark, tmp_path, change, padding):
+    change("spark.sql.readSideCharPadding", padding)
+    rows = [(1, "2024-01-10", "a"), (2, "2024-01-11", "b"), (3, "2024-01-12", "c")]
+    source, table = database(spark, rows, "id int, day string, short string", types=CHARS)
+    options = {"tableName": table, "checkColumn": "day"}
+    daily = rows_of(spark, source, "daily", "2024-01-11", **options)
+    assert "PushedFilters: [*IsNotNull(day), *EqualTo(day,2024-01-10)]" in plan_of(daily)
+    assert [tuple(row) for row in daily.collect()] == [(1, "2024-01-10  ", "a")]
+    newer = rows_of(spark, source, "incrementally", lastValue="2024-01-11", **options)
+    assert "*GreaterThanOrEqual(day,2024-01-11)" in plan_of(newer)
+    assert sorted(row.id for row in newer.collect()) == [2, 3]
+    split = {"partitionColumn": "id", "numPartitions": "2", "balanceReads": "true"}
+    newer = rows_of(spark, source, "incrementally", lastValue="2024-01-11", **options, **split)
+    assert newer.rdd.getNumPartitions() == 2 and newer.count() == 2
+
+    job = table_job(table, partitionKeys="short", rebalance="true")
+    sink = file_sink(tmp_path)
+    assert ingest_table(spark, job, source, sink, "completely").rows == 3
+    back = spark.read.parquet(f"{tmp_path}/{table}")
+    assert {field.name: field.metadata for field in back.schema}["day"] == {}
+    assert spark.conf.get("spark.sql.readSideCharPadding") == padding
+
+
+COMPARED = {
+    "smallint": "3",
+    "bigint": "3",
+    "double": "2.5",
+    "decimal(10,2)": "2.50",
+    "date": "2024-01-02",
+    "timestamp_ntz": "2024-01-02 03:04:05.123456",
+    "string": "2",
+    "boolean": "true",
+}
+
+
+@pytest.mark.parametrize("type_name", COMPARED)
+def test_comparisons_of_every_type_are_left_to_the_database(spark, type_name):
+    value = COMPARED[type_name]
+    df = spark.range(1).select(F.lit(value).cast(type_name).alias("c"))
+    source, table = derby.endpoint(spark, "tests"), f"typed_{type_name.split('(')[0]}"
+    derby.fill(spark, source, table, df)
+    for inclusive, rows in (("true", 1), ("false", 0)):
+        options = {"checkColumn": "c", "lastValue": value, "inclusive": inclusive}
+        newer = rows_of(spark, source, "incrementally", tableName=table, **options)
+        assert "PushedFilters: [*IsNotNull(c), *GreaterThan" in plan_of(newer)
+        assert "Filter (" not in plan_of(newer)
+        assert newer.count() == rows
+
+
 SPLIT = {"partitionColumn": "k", "lowerBound": "10", "upperBound": "20", "numPartitions": "4"}
 
 
@@ -181,14 +234,6 @@ def test_unusable_splits(spark):
         rows_of(spark, source, tableName=table, **SPLIT | {"partitionColumn": "t"})
 
 
-@pytest.fixture
-def new_york(spark):
-    before = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-    yield
-    spark.conf.set("spark.sql.session.timeZone", before)
-
-
 TIMES = [(i, datetime(2024, 1, 1 + i, h)) for i in range(4) for h in (0, 12)] + [(9, None)]
 TIME_SPLIT = {
     "partitionColumn": "T",
@@ -199,7 +244,8 @@ TIME_SPLIT = {
 
 
 @pytest.mark.parametrize("keep_clock", ["true", "false"])
-def test_times_do_not_depend_on_the_session_zone(spark, new_york, keep_clock):
+def test_times_do_not_depend_on_the_session_zone(spark, change, keep_clock):
+    change("spark.sql.session.timeZone", "America/New_York")
     source, table = database(spark, TIMES, "i int, t timestamp_ntz", preferTimestampNTZ=keep_clock)
     whole = rows_of(spark, source, tableName=table, **TIME_SPLIT)
     assert rows_per_partition(whole) == [5, 4]

@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from helpers import data_files, database, file_sink, table_job
 from sluice import Endpoint, TableJob, observe_progress, read_progress, run, run_from_files
@@ -66,18 +67,14 @@ def test_boundary_rows_come_again_by_default(spark, source_table, tmp_path):
 
 @pytest.mark.parametrize("keep_clock", ["true", "false"])
 @pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
-def test_last_value_of_a_time_can_be_used_again(spark, tmp_path, keep_clock, zone):
+def test_last_value_of_a_time_can_be_used_again(spark, tmp_path, change, keep_clock, zone):
     source, table = database(spark, ROWS, COLUMNS, preferTimestampNTZ=keep_clock)
-    before = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", zone)
-    try:
-        job = table_job(table, "incrementally", checkColumn="day", lastValue="2024-01-10 00:00:00")
-        result = ingest_table(spark, job, source, file_sink(tmp_path), "incrementally")
-        assert (result.rows, result.last_value) == (3, "2024-01-11 00:00:00")
-        job = TableJob("again", job.options | {"lastValue": result.last_value})
-        assert ingest_table(spark, job, source, file_sink(tmp_path), "incrementally").rows == 1
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", before)
+    change("spark.sql.session.timeZone", zone)
+    job = table_job(table, "incrementally", checkColumn="day", lastValue="2024-01-10 00:00:00")
+    result = ingest_table(spark, job, source, file_sink(tmp_path), "incrementally")
+    assert (result.rows, result.last_value) == (3, "2024-01-11 00:00:00")
+    job = TableJob("again", job.options | {"lastValue": result.last_value})
+    assert ingest_table(spark, job, source, file_sink(tmp_path), "incrementally").rows == 1
 
 
 @pytest.mark.parametrize("rebalance", ["true", "false"])
@@ -289,6 +286,32 @@ def test_files_must_know_their_types(spark, tmp_path):
         execute(spark, source, file_sink(tmp_path), [table_job()], "completely")
 
 
+def test_a_failed_write_adds_nothing(spark, tmp_path):
+    rows = [(i, "1" if i != 70 else "bad") for i in range(100)]
+    spark.createDataFrame(rows, "id int, v string").write.parquet(f"{tmp_path}/in/t")
+    source = Endpoint("files", {"format": "parquet", "location": f"{tmp_path}/in"})
+    sink, whole = file_sink(tmp_path / "out"), StructType.fromDDL("v int")
+    ok = table_job(mode="incrementally", checkColumn="id", lastValue="71")
+    assert ingest_table(spark, ok, source, sink, "incrementally", whole).rows == 29
+    all_rows = table_job(mode="incrementally", checkColumn="id", lastValue="0")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        ingest_table(spark, all_rows, source, sink, "incrementally", whole)
+    assert spark.read.parquet(f"{tmp_path}/out/t").count() == 29
+
+
+def test_strict_runs_add_up_to_the_whole_table(spark, tmp_path):
+    source = Endpoint("files", {"format": "parquet", "location": f"{tmp_path}/in"})
+    last, written = "-1", 0
+    for low, high in ((0, 10), (10, 10), (10, 35), (35, 36)):
+        spark.range(low, high).write.mode("append").parquet(f"{tmp_path}/in/t")
+        job = table_job(mode="incrementally", checkColumn="id", lastValue=last, inclusive="false")
+        result = ingest_table(spark, job, source, file_sink(tmp_path / "out"), "incrementally")
+        last, written = result.last_value, written + result.rows
+    assert (last, written) == ("35", 36)
+    copied = spark.read.parquet(f"{tmp_path}/out/t")
+    assert sorted(row.id for row in copied.collect()) == list(range(36))
+
+
 def test_progress_of_nothing(spark, tmp_path):
     for df in (spark.range(0), spark.range(5).filter("false")):
         observed, observation = observe_progress(df, "id")

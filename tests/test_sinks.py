@@ -11,20 +11,6 @@ from sluice import observe_progress, read_progress, resolve_format, write_table
 from sluice.sinks.files import spread_rows
 
 
-@pytest.fixture
-def settings(spark):
-    """Session settings that are put back afterwards."""
-    before = {}
-
-    def change(name, value):
-        before[name] = spark.conf.get(name)
-        spark.conf.set(name, value)
-
-    yield change
-    for name, value in before.items():
-        spark.conf.set(name, value)
-
-
 def keyed(spark, *pairs):
     return spark.createDataFrame(pairs, "k string, v int")
 
@@ -71,8 +57,8 @@ def test_only_a_complete_copy_replaces(spark, tmp_path):
 
 
 @pytest.mark.parametrize("session", ["static", "dynamic"])
-def test_a_complete_copy_leaves_no_old_partition(spark, tmp_path, settings, session):
-    settings("spark.sql.sources.partitionOverwriteMode", session)
+def test_a_complete_copy_leaves_no_old_partition(spark, tmp_path, change, session):
+    change("spark.sql.sources.partitionOverwriteMode", session)
     sink, job = file_sink(tmp_path), table_job(partitionKeys="k")
     write_table(keyed(spark, ("a", 1), ("b", 2)), sink, job, "completely")
     write_table(keyed(spark, ("b", 3)), sink, job, "completely")
@@ -124,9 +110,9 @@ def test_default_write_has_a_file_per_task_and_key(spark, tmp_path):
     assert len(data_files(path)) == 20
 
 
-def test_rebalanced_write_splits_only_the_hot_key(spark, tmp_path, settings):
-    settings("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
-    settings("spark.sql.shuffle.partitions", "100")
+def test_rebalanced_write_splits_only_the_hot_key(spark, tmp_path, change):
+    change("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    change("spark.sql.shuffle.partitions", "100")
     hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 60)
     df = spark.range(0, 300_000, 1, 8).select(hot.alias("k"), "id", F.rand(1).alias("r"))
     df, observation = observe_progress(spread_rows(df, ["k"]), "id")
@@ -145,7 +131,7 @@ def test_keys_of_any_name(spark, tmp_path):
     assert data_files(path)[0].startswith("a.b=1/c d=x/")
 
 
-def test_rebalancing_needs_adaptive_execution(spark, settings):
-    settings("spark.sql.adaptive.enabled", "false")
+def test_rebalancing_needs_adaptive_execution(spark, change):
+    change("spark.sql.adaptive.enabled", "false")
     with pytest.raises(ValueError, match="adaptive"):
         spread_rows(keyed(spark), ["k"])
