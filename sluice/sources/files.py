@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.functions.chars import read_as_text
 from sluice.plans.specs import Endpoint, TableJob
 from sluice.sinks.files import resolve_format
 
@@ -29,4 +30,5 @@ def read_files(spark: SparkSession, source: Endpoint, job: TableJob) -> DataFram
     """``location/tableName``, or ``location`` itself with ``{table}`` filled in."""
     location, table = source.require("location"), job.table_name
     path = location.replace("{table}", table) if "{table}" in location else f"{location}/{table}"
-    return spark.read.format(resolve_format(spark, source.require("format"))).load(path)
+    format = resolve_format(spark, source.require("format"))
+    return read_as_text(spark, lambda session: session.read.format(format).load(path))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import TimestampNTZType
 
+from sluice.functions.chars import read_as_text
 from sluice.functions.columns import column, require_field
 from sluice.functions.literals import unquote
 from sluice.plans.specs import SPLIT_OPTIONS, Endpoint, TableJob
@@ -32,9 +33,6 @@ ORACLE_DATES = ("oracle.jdbc.mapDateToTimestamp", "false")
 # all of a partition at once.
 ROWS_PER_TRIP = 1000
 
-# Fixed value: where Spark notes that a text column is CHAR(n) or VARCHAR(n).
-CHAR_MARK = "__CHAR_VARCHAR_TYPE_STRING"
-
 
 def is_oracle(source: Endpoint) -> bool:
     kind = source.get("dbType")
@@ -106,23 +104,18 @@ def read_jdbc(
     options = jdbc_options(source, job)
     url, properties = jdbc_url(source), connection_properties(spark, source)
 
-    def typed(
+    def load(
         predicates: list[str] | None = None,
         split: dict[str, str] | None = None,
         table: str = job.table_name,
     ) -> DataFrame:
-        reader = session.read.options(**options, **(split or {}))
-        return reader.jdbc(url, table, predicates=predicates, properties=properties)
-
-    def load(*args, **more) -> DataFrame:
-        return as_text(typed(*args, **more))
-
-    session = spark
-    rows = typed()
-    if pads_chars(rows):
-        session = unpadded(spark)
-        rows = typed()
-    rows = as_text(rows)
+        def read(session: SparkSession) -> DataFrame:
+            reader = session.read.options(**options, **(split or {}))
+            return reader.jdbc(url, table, predicates=predicates, properties=properties)
+
+        return read_as_text(spark, read)
+
+    rows = load()
     balanced = job.flag("balanceReads")
     if not (job.splits_read or balanced):
         return rows
@@ -143,31 +136,3 @@ def read_jdbc(
         return load(columns[0].ranges(time_cuts(lower, upper, parts)))
     split = {option: unquote(job.require(option)) for option in SPLIT_OPTIONS}
     return load(split=split | {"partitionColumn": fields[0].name})
-
-
-def pads_chars(df: DataFrame) -> bool:
-    """Whether Spark would pad CHAR columns of this table to their full length.
-
-    It does so by a function around the column, and filters no longer reach the database.
-    """
-    marks = [field.metadata.get(CHAR_MARK, "") for field in df.schema]
-    padding = df.sparkSession.conf.get("spark.sql.readSideCharPadding")
-    return padding.lower() == "true" and any(mark.startswith("char") for mark in marks)
-
-
-def unpadded(spark: SparkSession) -> SparkSession:
-    """A session with the same settings that takes CHAR values as the database gives them."""
-    session = spark.newSession()
-    for name, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(name):
-            session.conf.set(name, value)
-    session.conf.set("spark.sql.readSideCharPadding", "false")
-    return session
-
-
-def as_text(df: DataFrame) -> DataFrame:
-    """CHAR and VARCHAR columns as plain text, which is also how the target shall know them."""
-    marked = [field.name for field in df.schema if CHAR_MARK in field.metadata]
-    if not marked:
-        return df
-    return df.withColumns({name: column(name).alias(name, metadata={}) for name in marked})

@@ -8,8 +8,17 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from helpers import data_files, database, file_sink, table_job
-from sluice import Endpoint, TableJob, observe_progress, read_progress, run, run_from_files
+from helpers import data_files, database, file_sink, plan_of, table_job
+from sluice import (
+    Endpoint,
+    TableJob,
+    observe_progress,
+    read_progress,
+    read_table,
+    run,
+    run_from_files,
+)
+from sluice.functions.chars import CHAR_MARK
 from sluice.functions.shared import fresh_folder
 from sluice.plans.job import ingest_table, spreads_rows
 from sluice.sinks.files import spread_rows
@@ -280,6 +289,17 @@ def test_repeated_tasks_count_once(spark, tmp_path, rebalance):
     assert spark.read.parquet(f"{tmp_path}/t").count() == 100_000
 
 
+def test_char_columns_of_files(spark, tmp_path):
+    df = spark.sql("SELECT 1 AS id, '2024-01-10' AS day UNION ALL SELECT 2, '2024-01-11'")
+    marked = df.withColumn("day", F.col("day").alias("day", metadata={CHAR_MARK: "char(12)"}))
+    marked.write.parquet(f"{tmp_path}/in/t")
+    source = Endpoint("files", {"format": "parquet", "location": f"{tmp_path}/in"})
+    daily = table_job(mode="daily", checkColumn="day")
+    rows = read_table(spark, source, daily, "daily", "2024-01-11")
+    assert "PushedFilters: [IsNotNull(day), EqualTo(day,2024-01-10)]" in plan_of(rows)
+    assert [tuple(row) for row in rows.collect()] == [(1, "2024-01-10")]
+
+
 def test_files_must_know_their_types(spark, tmp_path):
     source = Endpoint("files", {"format": "json", "location": str(tmp_path)})
     with pytest.raises(ValueError, match="do not say their types"):
