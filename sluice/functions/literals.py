@@ -50,7 +50,7 @@ def typed_literal(
     casts = [F.col("text").try_cast(dtype), F.col("text").try_cast("timestamp_ntz")]
     as_type, as_time = given.select(*casts).collect()[0]
     if as_type is None:
-        raise ValueError(f"'{text}' is not a value of type {dtype.simpleString()}")
+        raise ValueError(f"'{text}' is not a value of type {dtype.simpleString()} by itself")
 
     if isinstance(dtype, DecimalType) and Decimal(text) != as_type:
         raise ValueError(f"'{text}' does not fit {dtype.simpleString()} without rounding")

@@ -2,34 +2,22 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.functions.columns import column
 from sluice.plans.specs import COMPLETELY, Endpoint, TableJob
 
-# Fixed value: the Avro format within Spark's SQL jar, for sessions without the Avro module.
-BUNDLED_AVRO = "org.apache.spark.sql.avro.AvroFileFormat"
+# Fixed value: Spark's Avro format by its class, which is there with or without the Avro module;
+# the short name is known only with it.
+AVRO = "org.apache.spark.sql.avro.AvroFileFormat"
 
 # Sink options handed to the writer.
 WRITER_OPTIONS = ("compression", "maxRecordsPerFile")
 
 
-def resolve_format(spark: SparkSession, name: str) -> str:
-    """The name under which this session knows a format. Only ``avro`` may need another."""
-    name = name.strip()
-    return _avro_name(spark) if name.lower() == "avro" else name
-
-
-@lru_cache(maxsize=8)
-def _avro_name(spark: SparkSession) -> str:
-    try:
-        spark.read.format("avro").schema("probe int").load([])
-    except AnalysisException:
-        return BUNDLED_AVRO
-    return "avro"
+def resolve_format(name: str) -> str:
+    """The name by which Spark knows a format; only ``avro`` has another."""
+    return AVRO if name.strip().lower() == "avro" else name.strip()
 
 
 def target_path(sink: Endpoint, job: TableJob) -> str:
@@ -61,7 +49,7 @@ def write_table(df: DataFrame, sink: Endpoint, job: TableJob, mode: str) -> str:
     repeated daily run harmless.
     """
     path = target_path(sink, job)
-    writer = df.write.format(resolve_format(df.sparkSession, sink.require("format")))
+    writer = df.write.format(resolve_format(sink.require("format")))
     for option in WRITER_OPTIONS:
         if sink.get(option):
             writer = writer.option(option, sink.get(option))

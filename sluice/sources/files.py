@@ -30,5 +30,5 @@ def read_files(spark: SparkSession, source: Endpoint, job: TableJob) -> DataFram
     """``location/tableName``, or ``location`` itself with ``{table}`` filled in."""
     location, table = source.require("location"), job.table_name
     path = location.replace("{table}", table) if "{table}" in location else f"{location}/{table}"
-    format = resolve_format(spark, source.require("format"))
+    format = resolve_format(source.require("format"))
     return read_as_text(spark, lambda session: session.read.format(format).load(path))

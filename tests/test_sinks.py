@@ -18,7 +18,7 @@ def keyed(spark, *pairs):
 def read(spark, sink, job, schema="k string, v int"):
     names = [part.split()[0] for part in schema.split(", ")]
     path = f"{sink.get('location')}/{job.table_name}"
-    reader = spark.read.format(resolve_format(spark, sink.get("format"))).schema(schema)
+    reader = spark.read.format(resolve_format(sink.get("format"))).schema(schema)
     return sorted(map(tuple, reader.load(path).select(*names).collect()))
 
 
@@ -31,9 +31,9 @@ def test_formats(spark, tmp_path, format):
     assert read(spark, sink, job) == [("a", 1), ("b", 2)]
 
 
-def test_only_avro_is_renamed(spark):
-    assert resolve_format(spark, "parquet") == "parquet"
-    assert "avro" in resolve_format(spark, "AVRO").lower()
+def test_only_avro_is_renamed():
+    assert resolve_format("parquet") == "parquet"
+    assert "avro" in resolve_format("AVRO").lower()
 
 
 @pytest.mark.parametrize("format", ["parquet", "orc", "avro"])
@@ -41,7 +41,7 @@ def test_arrays_and_times(spark, tmp_path, sf_dir, format):
     for table in ("embeddings", "events"):
         df, sink = spark.read.parquet(f"{sf_dir}/{table}.parquet"), file_sink(tmp_path, format)
         path = write_table(df, sink, table_job(table), "completely")
-        back = spark.read.format(resolve_format(spark, format)).load(path)
+        back = spark.read.format(resolve_format(format)).load(path)
         assert [t for _, t in back.dtypes] == [t for _, t in df.dtypes]
         assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
 
