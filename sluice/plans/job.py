@@ -28,9 +28,9 @@ from sluice.plans.specs import (
     pick_endpoint,
 )
 from sluice.plans.validation import check_partition_keys, validate
-from sluice.sinks.files import is_adaptive, spread_rows, write_table
+from sluice.sinks.files import is_adaptive, spread_rows, write_table, writes_many_files
 from sluice.sources import read_table, source_zone
-from sluice.sources.files import is_files
+from sluice.sources.files import is_columnar, is_files
 
 log = logging.getLogger(__name__)
 
@@ -160,7 +160,7 @@ def ingest_table(
             observed = _CHECK
         rows = conform(rows, schema, "null" if job.flag("lenientCasts") else "fail")
     with ExitStack() as until_written:
-        if spreads_rows(spark, job, source, mode):
+        if spreads_rows(rows, job, source, mode):
             if not is_files(source):
                 rows = until_written.enter_context(landed(rows))
             rows = spread_rows(rows, job.partition_keys)
@@ -171,15 +171,20 @@ def ingest_table(
     return TableResult(job.table_name, count, last_value or job.get("lastValue"), path)
 
 
-def spreads_rows(spark: SparkSession, job: TableJob, source: Endpoint, mode: str) -> bool:
+def spreads_rows(rows: DataFrame, job: TableJob, source: Endpoint, mode: str) -> bool:
     """Whether rows are shuffled by their partition keys: as ``rebalance`` says.
 
     If it says nothing, rows of a database are not: its few read tasks write few files. File
-    datasets are read by many tasks, each of which would write a file per key it meets, so
-    their rows are; but not if the only key is the day that a daily run selects.
+    datasets are read by many tasks, each of which writes a file per key it meets. So their
+    rows are if that would make many files, which in columnar formats is cheap to find out;
+    but not if the only key is the day that a daily run selects.
     """
     if job.get("rebalance") is not None:
         return job.flag("rebalance")
     single = {job.get("checkColumn", "").strip().lower()} if mode == DAILY else set()
-    keys = {key.lower() for key in job.partition_keys}
-    return is_files(source) and is_adaptive(spark) and not keys <= single
+    keys = job.partition_keys
+    if not is_files(source) or {key.lower() for key in keys} <= single:
+        return False
+    if not is_adaptive(rows.sparkSession):
+        return False
+    return not is_columnar(source) or writes_many_files(rows, keys)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.functions.columns import column
 from sluice.plans.specs import COMPLETELY, Endpoint, TableJob
@@ -11,6 +12,10 @@ from sluice.plans.specs import COMPLETELY, Endpoint, TableJob
 # the short name is known only with it.
 AVRO = "org.apache.spark.sql.avro.AvroFileFormat"
 
+# Files that a task may write on average before its rows are better spread by key. A task reads
+# 128 MB of a file dataset unless Spark is told otherwise.
+FILES_PER_TASK = 8
+
 # Sink options handed to the writer.
 WRITER_OPTIONS = ("compression", "maxRecordsPerFile")
 
@@ -41,6 +46,23 @@ def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.hint("rebalance", *[column(key) for key in keys])
 
 
+def writes_many_files(df: DataFrame, keys: list[str]) -> bool:
+    """Whether tasks that write the rows as they are would each write many small files.
+
+    Looks at the key columns alone, and merges a sketch per task.
+    """
+    key = F.xxhash64(*[column(name) for name in keys]).alias("key")
+    seen = (
+        df.select(F.spark_partition_id().alias("task"), key)
+        .agg(
+            F.approx_count_distinct("task").alias("tasks"),
+            F.approx_count_distinct(F.struct("task", "key")).alias("files"),
+        )
+        .first()
+    )
+    return seen.files > FILES_PER_TASK * seen.tasks
+
+
 def write_table(df: DataFrame, sink: Endpoint, job: TableJob, mode: str) -> str:
     """Write the rows and return the target path.
 

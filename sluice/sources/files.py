@@ -11,12 +11,19 @@ from sluice.sinks.files import resolve_format
 # Formats that are read a second time, and whole, just to guess their types.
 UNTYPED = ("csv", "json", "text", "xml")
 
+# Formats of which single columns can be read.
+COLUMNAR = ("parquet", "orc")
+
 
 def is_files(source: Endpoint) -> bool:
     database = any(source.get(option) for option in ("url", "dbType", "driver", "host"))
     return bool(source.get("format") and source.get("location")) and not database
 
 
+def is_columnar(source: Endpoint) -> bool:
+    return source.require("format").strip().lower() in COLUMNAR
+
+
 def check_endpoint(source: Endpoint) -> None:
     name = source.require("format").strip().lower()
     if name in UNTYPED:
