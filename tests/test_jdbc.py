@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from sluice_checks import derby
 from helpers import database, file_sink, plan_of, table_job
 from sluice import Endpoint, conform, ingest_table, read_table
+from sluice.functions.chars import _unpadded
 from sluice.sources.credentials import connection_properties
 from sluice.sources.jdbc import check_endpoint, jdbc_options, jdbc_url
 from sluice.sources.splits import SplitColumn, balanced_ranges, both, even_cuts, time_cuts
@@ -177,6 +178,17 @@ def test_char_columns(spark, tmp_path, change, padding):
     assert spark.conf.get("spark.sql.readSideCharPadding") == padding
 
 
+def test_the_session_without_padding_is_otherwise_the_same(spark, change):
+    change("spark.sql.session.timeZone", "Asia/Tokyo")
+    change("spark.sql.ansi.enabled", "false")
+    settings, same = spark.conf.getAll, _unpadded(spark).conf.getAll
+    padding = "spark.sql.readSideCharPadding"
+    copied = {name for name in settings if spark.conf.isModifiable(name)} - {padding}
+    assert len(copied) >= 2
+    assert {name: same[name] for name in copied} == {name: settings[name] for name in copied}
+    assert same[padding] == "false"
+
+
 COMPARED = {
     "smallint": "3",
     "bigint": "3",

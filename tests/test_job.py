@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark import TaskContext
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+import submit
 from helpers import data_files, database, file_sink, plan_of, table_job
 from sluice import (
     Endpoint,
@@ -23,6 +25,7 @@ from sluice.functions.chars import CHAR_MARK
 from sluice.functions.shared import fresh_folder
 from sluice.plans.job import ingest_table, spreads_rows
 from sluice.sinks.files import spread_rows, writes_many_files
+from sluice_checks.queries import as_json
 
 SCHEMA = json.dumps(
     {
@@ -185,27 +188,51 @@ def test_complete_run_gives_a_first_last_value(spark, source_table, tmp_path):
 def test_run_of_configuration_files(spark, source_table, tmp_path):
     source, table = source_table
 
-    def item(name, **options):
-        listed = [{"name": key, "value": value} for key, value in options.items()]
-        return {"name": name, "options": listed}
-
-    target = {"format": "orc", "location": f"{tmp_path}/out"}
-    endpoints = [item("db", **source.options), item("out", **target)]
-    tables = [item("first", tableName=table, mode="completely")]
-    for name, listed in (("endpoints", endpoints), ("tables", tables)):
-        (tmp_path / f"{name}.json").write_text(json.dumps({name: listed}, indent=1))
+    endpoints = as_json("endpoints", source, file_sink(tmp_path / "out", "orc"))
+    (tmp_path / "endpoints.json").write_text(endpoints)
+    (tmp_path / "tables.json").write_text(as_json("tables", table_job(table)))
     result = run_from_files(
         spark,
         endpointsConfigPath=f"{tmp_path}/endpoints.json",
         tablesConfigPath=f"{tmp_path}/tables.json",
-        sourceName="db",
-        sinkName="out",
+        sourceName="derby",
+        sinkName="target",
         mode="completely",
     )
     assert summary(result) == [(table, 4, None)]
     assert spark.read.orc(f"{tmp_path}/out/{table}").count() == 4
 
 
+def test_run_by_spark_submit(spark, tmp_path, monkeypatch, capsys):
+    location = f"{tmp_path}/in/{{table}}.parquet"
+    source = Endpoint("files", {"format": "parquet", "location": location})
+    spark.createDataFrame(ROWS, COLUMNS).write.parquet(f"{tmp_path}/in/t.parquet")
+    items = {
+        "endpoints": [source, file_sink(tmp_path / "out")],
+        "tables": [table_job("t", "daily", checkColumn="day", schema="t.avsc")],
+    }
+    (tmp_path / "t.avsc").write_text(SCHEMA)
+    for key, specs in items.items():
+        (tmp_path / f"{key}.json").write_text(as_json(key, *specs))
+    arguments = {
+        "endpointsConfigPath": f"{tmp_path}/endpoints.json",
+        "tablesConfigPath": f"{tmp_path}/tables.json",
+        "schemasPath": str(tmp_path),
+        "sourceName": "files",
+        "sinkName": "target",
+        "mode": "daily",
+        "asOf": "2024-01-11",
+    }
+    given = [part for name, value in arguments.items() for part in (f"--{name}", value)]
+    monkeypatch.setattr("sys.argv", ["submit.py", *given])
+    monkeypatch.setattr(SparkSession, "stop", lambda session: None)
+    submit.main()
+    assert "|t         |1   |2024-01-10 00:00:00|" in capsys.readouterr().out
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/out/t").collect()] == [
+        ("b", date(2024, 1, 10))
+    ]
+
+
 def test_files_as_source(spark, tmp_path):
     source = Endpoint("files", {"format": "parquet", "location": f"{tmp_path}/in"})
     spark.range(5).write.parquet(f"{tmp_path}/in/t")
