@@ -42,14 +42,15 @@ def daily_filter(
     """Rows of one day: equal to its midnight, or anywhere within it with ``whole_day``."""
     field = require_field(df, check_column, "check column")
     check, day = column(field.name), to_day(day)
-    start = _day_literal(day, field.dataType, zone)
+    start = day_literal(day, field.dataType, zone)
     if not whole_day:
         return df.filter(check == start)
-    end = _day_literal(day + timedelta(days=1), field.dataType, zone)
+    end = day_literal(day + timedelta(days=1), field.dataType, zone)
     return df.filter((check >= start) & (check < end))
 
 
-def _day_literal(day: date, dtype: DataType, zone: str | None) -> Column:
+def day_literal(day: date, dtype: DataType, zone: str | None = None) -> Column:
+    """The start of a day, to compare a column of this type with."""
     # Text is compared as text: a date literal would put a cast around the column, which
     # fails on the first malformed value and keeps the filter from being pushed down.
     if isinstance(dtype, StringType):

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from sluice.functions.columns import require_field
 from sluice.functions.days import previous_day
-from sluice.operators.filters import daily_filter, incremental_filter
+from sluice.functions.literals import typed_literal
+from sluice.operators.filters import daily_filter, day_literal, incremental_filter
 from sluice.plans.specs import DAILY, INCREMENTALLY, Endpoint, TableJob
 from sluice.sources import files, jdbc
 from sluice.sources.splits import clock_zone
@@ -34,7 +36,10 @@ def read_source(
     def rows_of_mode(df: DataFrame) -> DataFrame:
         return select_rows(df, source, job, mode, as_of)
 
-    return jdbc.read_jdbc(spark, source, job, rows_of_mode)
+    def start_of_mode(df: DataFrame) -> tuple[str, Column] | None:
+        return first_value(df, source, job, mode, as_of)
+
+    return jdbc.read_jdbc(spark, source, job, rows_of_mode, start_of_mode)
 
 
 def select_rows(
@@ -51,6 +56,20 @@ def select_rows(
     return daily_filter(df, check, previous_day(as_of), job.flag("wholeDay"), zone)
 
 
+def first_value(
+    df: DataFrame, source: Endpoint, job: TableJob, mode: str, as_of: date | str | None = None
+) -> tuple[str, Column] | None:
+    """The check column and the value at which the rows of the mode start."""
+    if mode not in (INCREMENTALLY, DAILY):
+        return None
+    spark = df.sparkSession
+    field = require_field(df, job.require("checkColumn").strip(), "check column")
+    zone = source_zone(spark, source)
+    if mode == INCREMENTALLY:
+        return field.name, typed_literal(spark, job.require("lastValue"), field.dataType, zone)
+    return field.name, day_literal(previous_day(as_of), field.dataType, zone)
+
+
 def read_table(
     spark: SparkSession, source: Endpoint, job: TableJob, mode: str, as_of: date | str | None = None
 ) -> DataFrame:

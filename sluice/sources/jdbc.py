@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from sluice.functions.chars import read_as_text
@@ -93,6 +94,7 @@ def read_jdbc(
     source: Endpoint,
     job: TableJob,
     rows_of_mode: Callable[[DataFrame], DataFrame] = lambda df: df,
+    start_of_mode: Callable[[DataFrame], tuple[str, Column] | None] = lambda df: None,
 ) -> DataFrame:
     """The table, read in parallel ranges of one column where the job asks for it.
 
@@ -128,7 +130,11 @@ def read_jdbc(
     if balanced:
         last = columns[-1]
         found = load(table=last.bounds_of(job.table_name))
-        bounds = found.select(*[last.on_clock(column(name)) for name in found.columns]).first()
+        low, high = (column(name) for name in found.columns)
+        name, start = start_of_mode(rows) or (None, None)
+        if name == fields[-1].name:
+            low = F.greatest(low, start)
+        bounds = found.select(last.on_clock(low), last.on_clock(high)).first()
         return load(balanced_ranges(columns, parts, lambda some: rows_of_mode(load(some)), bounds))
     if isinstance(fields[0].dataType, TimestampNTZType):
         # Spark's own split refuses this type.

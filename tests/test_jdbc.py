@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import duckdb
@@ -407,6 +407,38 @@ def test_balanced_ranges_of_the_selected_rows(spark):
     assert max(rows_per_partition(df)) <= 26 and df.count() == 100
 
 
+BOUNDS = {
+    "int": (lambda i: i, "incrementally", "80", (80, 89)),
+    "date": (lambda i: date(2024, 1, 1) + timedelta(i), "daily", None, None),
+    "timestamp_ntz": (lambda i: datetime(2024, 1, 1) + timedelta(i), "daily", None, None),
+}
+
+
+@pytest.mark.parametrize("type_name", BOUNDS)
+@pytest.mark.parametrize("keep_clock", ["true", "false"])
+def test_balanced_reads_start_where_the_mode_does(
+    spark, change, monkeypatch, type_name, keep_clock
+):
+    change("spark.sql.session.timeZone", "Asia/Tokyo")
+    value, mode, last, bounds = BOUNDS[type_name]
+    rows = [(value(i), i) for i in range(90)]
+    bounds = bounds or (value(10), value(89))
+    columns = f"k {type_name}, id int"
+    source, table = database(spark, rows, columns, preferTimestampNTZ=keep_clock)
+    looked = []
+
+    def spy(columns, parts, load, bounds):
+        looked.append(tuple(bounds))
+        return balanced_ranges(columns, parts, load, bounds)
+
+    monkeypatch.setattr("sluice.sources.jdbc.balanced_ranges", spy)
+    options = {"tableName": table, "numPartitions": "4", "balanceReads": "true"}
+    options |= {"checkColumn": "K", "partitionColumn": "k"} | ({"lastValue": last} if last else {})
+    df = rows_of(spark, source, mode, "2024-01-12", **options)
+    assert looked == [bounds]
+    assert sorted(r.id for r in df.collect()) == (list(range(80, 90)) if last else [10])
+
+
 def test_balanced_read_of_an_empty_table(spark):
     source, table = database(spark, [], "k int")
     options = {"tableName": table, "numPartitions": "4", "balanceReads": "true"}
