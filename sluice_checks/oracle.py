@@ -19,7 +19,10 @@ COUNTS = """
     SELECT 'orders' AS table_name, COUNT(*) AS "rows" FROM orders
     UNION ALL SELECT 'nation', COUNT(*) FROM nation
 """
-HIGHEST_KEY = "SELECT MAX(o_orderkey) AS last_value FROM orders WHERE o_orderkey >= 7500"
+# A run without rows keeps its last value; at sf0.001 there are none.
+HIGHEST_KEY = """
+    SELECT COALESCE(MAX(o_orderkey), 7500) AS last_value FROM orders WHERE o_orderkey >= 7500
+"""
 
 ORACLE: dict[str, str] = {
     "ingest_completely": ALL_ORDERS,
