@@ -161,7 +161,7 @@ def ingest_table(
         rows = conform(rows, schema, "null" if job.flag("lenientCasts") else "fail")
     with ExitStack() as until_written:
         if spreads_rows(rows, job, source, mode):
-            if not is_files(source):
+            if not is_files(source) and is_adaptive(spark):
                 rows = until_written.enter_context(landed(rows))
             rows = spread_rows(rows, job.partition_keys)
         zone = source_zone(spark, source)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,11 +40,12 @@ def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
 
     This is a shuffle. Adaptive execution splits a key with many rows over several tasks and
     puts small ones together; without it, all rows of a key would have to pass through one
-    task. Have at least as many shuffle partitions as keys: keys that share one are split
-    together.
+    task, so then the rows stay where they are. Have at least as many shuffle partitions as
+    keys: keys that share one are split together.
     """
     if not is_adaptive(df.sparkSession):
-        raise ValueError("rebalance needs spark.sql.adaptive.enabled")
+        warnings.warn("rows are not rebalanced without spark.sql.adaptive.enabled", stacklevel=2)
+        return df
     return df.hint("rebalance", *[column(key) for key in keys])
 
 
