@@ -14,7 +14,14 @@ from itertools import chain, pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, StructField, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    NumericType,
+    StructField,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from sluice.functions.columns import column
 
@@ -34,6 +41,11 @@ class SplitColumn:
     """A column to split by, in Spark and in the SQL of the database at a URL."""
 
     def __init__(self, spark: SparkSession, url: str, field: StructField):
+        if not isinstance(field.dataType, (NumericType, DateType, TimestampType, TimestampNTZType)):
+            raise ValueError(
+                f"partitionColumn '{field.name}' should be a number, date or timestamp,"
+                f" not {field.dataType.simpleString()}"
+            )
         self._spark, self._field = spark, field
         self._dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
         self.name = self._dialect.quoteIdentifier(field.name)

@@ -238,8 +238,12 @@ def test_unusable_splits(spark):
     source, table = database(spark, [(1, "x", datetime(2024, 1, 1))], columns)
     with pytest.raises(Exception, match="(?i)lower bound"):
         rows_of(spark, source, tableName=table, **SPLIT | {"lowerBound": "30"})
-    with pytest.raises(Exception, match="should be numeric, date, or timestamp"):
+    with pytest.raises(ValueError, match="'s' should be a number, date or timestamp, not string"):
         rows_of(spark, source, tableName=table, **SPLIT | {"partitionColumn": "s"})
+    for names in ("s", "k,s", "s,k"):
+        with pytest.raises(ValueError, match="'s' should be a number"):
+            balanced = {"numPartitions": "4", "balanceReads": "true", "partitionColumn": names}
+            rows_of(spark, source, tableName=table, **balanced)
     with pytest.raises(ValueError, match="'nope' is not a column"):
         rows_of(spark, source, tableName=table, **SPLIT | {"partitionColumn": "nope"})
     with pytest.raises(ValueError, match="must be timestamps"):
