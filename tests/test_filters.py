@@ -1,9 +1,11 @@
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, time, timedelta
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import plan_of
@@ -102,6 +104,25 @@ def test_day(spark):
         assert values(daily_filter(days, "c", "2024-01-10", whole_day)) == [date(2024, 1, 10)]
 
 
+TIMES = [datetime(2024, 1, 1) + timedelta(hours=7 * i, microseconds=i) for i in range(40)]
+
+
+@given(st.datetimes(datetime(2023, 12, 30), datetime(2024, 1, 15)), st.booleans())
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+def test_filters_equal_plain_comparisons(spark, moment, flag):
+    df = spark.createDataFrame([(t,) for t in TIMES], "c timestamp_ntz")
+    later = [t for t in TIMES if (t >= moment if flag else t > moment)]
+    assert values(incremental_filter(df, "c", moment, inclusive=flag)) == later
+    day = moment.date()
+    within = [t for t in TIMES if t.date() == day]
+    expected = within if flag else [t for t in within if t.time() == time()]
+    assert values(daily_filter(df, "c", day, whole_day=flag)) == expected
+    dates = spark.createDataFrame([(t.date(),) for t in TIMES], "c date")
+    assert values(incremental_filter(dates, "c", day, inclusive=flag)) == [
+        t.date() for t in TIMES if (t.date() >= day if flag else t.date() > day)
+    ]
+
+
 def test_day_kept_as_text(spark):
     df = column_of(spark, "string", "2024-01-10", "2024-01-10 09:30", "2024-01-11", "no day")
     assert values(daily_filter(df, "c", "2024-01-10")) == ["2024-01-10"]
