@@ -1,8 +1,8 @@
 """One query per operator, over the given tables.
 
-Queries named ``ingest_*`` and ``job_*`` read an embedded database that is filled from the
-given tables first, unless their name ends in ``_files``; those, and all others, read the
-Parquet files directly. Queries that write return the target as read back.
+Those built with ``from_database``, ``dated_orders`` or ``derby.with_tables`` read an embedded
+database, which is filled from the given tables first; all others read the Parquet files.
+Queries that write return the target as read back.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice_checks import derby
 from sluice import (
     Endpoint,
     TableJob,
@@ -31,6 +30,7 @@ from sluice import (
 from sluice.functions.days import format_day, parse_day, previous_day_of
 from sluice.functions.shared import fresh_folder
 from sluice.plans.specs import COMPLETELY, DAILY, INCREMENTALLY
+from sluice_checks import derby
 
 Query = Callable[[SparkSession, str], DataFrame]
 
