@@ -127,18 +127,21 @@ def read_jdbc(
     names = job.require("partitionColumn").split(",", maxsplit=1 if balanced else 0)
     fields = [require_field(rows, name.strip(), "partitionColumn") for name in names]
     columns = [SplitColumn(spark, url, field) for field in fields]
+    name, start = start_of_mode(rows) or (None, None)
     if balanced:
         last = columns[-1]
         found = load(table=last.bounds_of(job.table_name))
-        low, high = (column(name) for name in found.columns)
-        name, start = start_of_mode(rows) or (None, None)
+        low, high = (column(limit) for limit in found.columns)
         if name == fields[-1].name:
             low = F.greatest(low, start)
         bounds = found.select(last.on_clock(low), last.on_clock(high)).first()
         return load(balanced_ranges(columns, parts, lambda some: rows_of_mode(load(some)), bounds))
+
+    split = {option: unquote(job.require(option)) for option in SPLIT_OPTIONS}
+    lower, upper = split["lowerBound"], split["upperBound"]
+    if name == fields[0].name:
+        lower = columns[0].raised(lower, upper, start)
     if isinstance(fields[0].dataType, TimestampNTZType):
         # Spark's own split refuses this type.
-        lower, upper = unquote(job.require("lowerBound")), unquote(job.require("upperBound"))
         return load(columns[0].ranges(time_cuts(lower, upper, parts)))
-    split = {option: unquote(job.require(option)) for option in SPLIT_OPTIONS}
-    return load(split=split | {"partitionColumn": fields[0].name})
+    return load(split=split | {"partitionColumn": fields[0].name, "lowerBound": lower})

@@ -73,6 +73,23 @@ class SplitColumn:
         """A query by which the database finds the lowest and highest value: one row."""
         return f"(SELECT MIN({self.name}) AS low, MAX({self.name}) AS high FROM {table}) bounds"
 
+    def raised(self, lower: str, upper: str, start: Column) -> str:
+        """``lower``, or ``start`` where that lies between the bounds.
+
+        No row to ingest comes before ``start``; strides below it would all be empty.
+        """
+        dtype = self._field.dataType
+        kind = "bigint" if isinstance(dtype, NumericType) else "timestamp_ntz"
+        if isinstance(dtype, NumericType):
+            start = F.floor(start)
+        low, high, begin = (
+            c.try_cast(kind) for c in (F.lit(lower), F.lit(upper), self.on_clock(start))
+        )
+        text = begin.cast("date" if isinstance(dtype, DateType) else kind).cast("string")
+        # One literal row: the optimizer works this out by itself, no job runs.
+        row = self._spark.sql("SELECT * FROM VALUES (1) AS one(row)")
+        return row.select(F.when((begin > low) & (begin < high), text)).collect()[0][0] or lower
+
     def quantiles(self, parts: int) -> Column:
         """The values that cut the rows into equal parts; a frequent one comes repeatedly."""
         shares = [i / parts for i in range(1, parts)]

@@ -227,6 +227,38 @@ def test_bounds_never_drop_rows(spark):
     assert sorted(r.k for r in df.dropna().collect()) == list(range(40))
 
 
+STARTS = {
+    "int": (lambda i: i, "0", "100"),
+    "bigint": (lambda i: i, "'0'", "'100'"),
+    "decimal(10,2)": (Decimal, "0", "100"),
+    "date": (lambda i: date(2024, 1, 1) + timedelta(i), "2024-01-01", "2024-04-10"),
+    "timestamp_ntz": (
+        lambda i: datetime(2024, 1, 1) + timedelta(i),
+        "2024-01-01",
+        "'2024-04-10 00:00:00'",
+    ),
+}
+
+
+@pytest.mark.parametrize("keep_clock", ["true", "false"])
+@pytest.mark.parametrize("type_name", STARTS)
+def test_strides_start_where_the_mode_does(spark, change, type_name, keep_clock):
+    change("spark.sql.session.timeZone", "Asia/Tokyo")
+    value, lower, upper = STARTS[type_name]
+    rows = [(value(i), i) for i in range(120)]
+    columns = f"k {type_name}, id int"
+    source, table = database(spark, rows, columns, preferTimestampNTZ=keep_clock)
+    split = {"partitionColumn": "K", "lowerBound": lower, "upperBound": upper}
+    options = {"tableName": table, "checkColumn": "k", "numPartitions": "4", **split}
+    for last, counts in ((80, [5, 5, 5, 25]), (0, [25, 25, 25, 45]), (110, [10])):
+        df = rows_of(spark, source, "incrementally", lastValue=str(value(last)), **options)
+        assert rows_per_partition(df) == counts
+        assert sorted(r.id for r in df.collect()) == list(range(last, 120))
+        strict = {"lastValue": str(value(last)), "inclusive": "false", **options}
+        df = rows_of(spark, source, "incrementally", **strict)
+        assert sorted(r.id for r in df.collect()) == list(range(last + 1, 120))
+
+
 def test_incomplete_split_reads_in_one_partition(spark):
     source, table = database(spark, [(1,)], "k int")
     options = {k: v for k, v in SPLIT.items() if k != "upperBound"}
