@@ -25,8 +25,9 @@ from pyspark.sql.types import (
 
 from sluice.functions.columns import column
 
-# How finely quantiles are estimated, relative to all rows.
-ACCURACY = 10_000
+# How finely cuts are estimated: to a twentieth of a range. Finer sketches grow, and all of
+# them meet in one task.
+ACCURACY_PER_PART = 20
 
 
 def clock_zone(spark: SparkSession) -> str:
@@ -93,7 +94,7 @@ class SplitColumn:
     def quantiles(self, parts: int) -> Column:
         """The values that cut the rows into equal parts; a frequent one comes repeatedly."""
         shares = [i / parts for i in range(1, parts)]
-        cuts = F.percentile_approx(self.values, shares, ACCURACY)
+        cuts = F.percentile_approx(self.values, shares, ACCURACY_PER_PART * parts)
         return F.transform(cuts, self.on_clock) if self._is_instant else cuts
 
     def on_clock(self, value: Column) -> Column:
