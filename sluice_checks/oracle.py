@@ -6,8 +6,16 @@ ALL_ORDERS = "SELECT * FROM orders"
 ALL_LINEITEM = "SELECT * FROM lineitem"
 NEW_ORDERS = "SELECT * FROM orders WHERE o_orderkey >= 7500"
 ORDERS_OF_DAY = "SELECT * FROM orders WHERE o_orderdate = TIMESTAMP '1998-06-15 00:00:00'"
-DATED_ORDERS = "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders"
-TEXT_ORDERS = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders"
+DATED_ORDERS = """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+           CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+    FROM orders
+"""
+TEXT_ORDERS = """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+           CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority
+    FROM orders
+"""
 CONFORMED_ORDERS = """
     SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey,
            CAST(o_orderdate AS DATE) AS o_orderdate,
