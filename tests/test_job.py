@@ -24,7 +24,7 @@ from sluice import (
 from sluice.functions.chars import CHAR_MARK
 from sluice.functions.shared import fresh_folder
 from sluice.plans.job import ingest_table, spreads_rows
-from sluice.sinks.files import spread_rows, writes_many_files
+from sluice.sinks.files import spread_rows, write_table, writes_many_files
 from sluice_checks.queries import as_json
 
 SCHEMA = json.dumps(
@@ -281,6 +281,34 @@ def test_when_rows_are_spread(spark):
         assert spreads_rows(many, table_job(mode=mode, **options), source, mode) == expected
 
 
+@pytest.mark.parametrize("rebalance", ["true", "false"])
+def test_plan_of_a_copy(spark, source_table, tmp_path, monkeypatch, rebalance):
+    plans = []
+
+    def spy(df, *args):
+        plans.append(plan_of(df))
+        return write_table(df, *args)
+
+    monkeypatch.setattr("sluice.plans.job.write_table", spy)
+    source, table = source_table
+    files = Endpoint("files", {"format": "parquet", "location": f"{tmp_path}/in"})
+    spark.createDataFrame(ROWS, COLUMNS).write.parquet(f"{tmp_path}/in/{table}")
+    options = {"checkColumn": "id", "lastValue": "2", "partitionKeys": "name"}
+    job = table_job(table, "incrementally", rebalance=rebalance, **options)
+    schema = StructType.fromDDL("name string, day date")
+    for endpoint in (files, source):
+        ingest_table(spark, job, endpoint, file_sink(tmp_path / "out"), "incrementally", schema)
+    for plan in plans:
+        # The rows are observed above the shuffle, right below the write.
+        above, _, below = plan.partition("CollectMetrics")
+        assert below and "Exchange" not in above
+        assert ("REBALANCE_PARTITIONS_BY_COL" in below) == (rebalance == "true")
+        assert below.count("Exchange") == (rebalance == "true")
+    assert "GreaterThanOrEqual(id,2)" in plans[0]
+    # Rows of a database that are spread come from where they were landed.
+    assert ("JDBCRelation" in plans[1]) == (rebalance == "false")
+
+
 def test_files_are_counted_by_task(spark):
     ordered = spark.range(0, 1000, 1, 50)
     assert not writes_many_files(ordered.select(F.floor(F.col("id") / 20).alias("k")), ["k"])
