@@ -283,7 +283,7 @@ def as_json(key: str, *specs: Endpoint | TableJob) -> str:
 
 
 def job_configured_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run whose endpoints and table jobs come from JSON files."""
+    """A run whose endpoints and table jobs come from JSON files, two tables at a time."""
     endpoints = as_json("endpoints", exported(sf_dir), new_sink(spark, "orc"))
     tables = as_json("tables", job("orders"), job("nation"), job("x", DAILY, checkColumn="y"))
     result = run_from_files(
@@ -293,6 +293,7 @@ def job_configured_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         sourceName="exported",
         sinkName="target",
         mode=COMPLETELY,
+        tables_at_once=2,
     )
     return result.select("table_name", "rows")
 
