@@ -502,6 +502,16 @@ def test_even_cuts():
     assert even_cuts(0, 1, 1) == []
 
 
+@given(st.data(), st.integers(1, 60))
+def test_even_cuts_lie_between_the_bounds(data, parts):
+    kinds = [st.integers(-(10**18), 10**18), st.dates(), st.decimals(-1000, 1000, places=2)]
+    kind = data.draw(st.sampled_from(kinds))
+    low, high = sorted((data.draw(kind), data.draw(kind)))
+    cuts = even_cuts(low, high, parts)
+    assert cuts == sorted(set(cuts)) and len(cuts) <= parts - 1
+    assert all(low <= cut <= high for cut in cuts)
+
+
 def test_time_cuts_are_strides_of_equal_width():
     days = [datetime(2020, 6, 29), datetime(2020, 6, 30)]
     assert time_cuts("2020-06-28", "2020-07-01", 3) == days
