@@ -17,7 +17,7 @@ from sluice.functions.columns import column, require_field
 from sluice.functions.literals import unquote
 from sluice.plans.specs import SPLIT_OPTIONS, Endpoint, TableJob
 from sluice.sources.credentials import check_credentials, connection_properties
-from sluice.sources.splits import SplitColumn, balanced_ranges, time_cuts
+from sluice.sources.splits import SplitColumn, balanced_ranges, clock_zone, time_cuts
 
 # Fixed values of Oracle connections: the URL form, the formats in which the session reads
 # dates and timestamps given as text (Spark gives partition bounds so), and the driver
@@ -61,14 +61,24 @@ def check_endpoint(source: Endpoint) -> None:
     source.require("driver")
     check_credentials(source)
     source.positive("batchSize")
-    if is_oracle(source) and source.flag("preferTimestampNTZ"):
-        raise ValueError(
-            f"endpoint '{source.name}': preferTimestampNTZ must be false for Oracle, where"
-            " Spark cannot write literals of that type"
-        )
+    source.flag("preferTimestampNTZ")
+
+
+def keeps_clock(spark: SparkSession, url: str) -> bool:
+    """Whether timestamps without a zone can be read as such from this database.
+
+    Not every dialect in Spark can write literals of that type, and most keep the clock time
+    only where the JVM's zone is UTC. Asked here is the dialect itself.
+    """
+    moment = "2001-02-03 04:05:06"
+    dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+    clock = spark._jvm.java.time.LocalDateTime.parse(moment.replace(" ", "T"))
+    arrived = spark._jvm.java.sql.Timestamp.valueOf(moment)
+    literal = str(dialect.compileValue(clock))
+    return moment in literal and dialect.convertJavaTimestampToTimestampNTZ(arrived).equals(clock)
 
 
-def jdbc_options(source: Endpoint, job: TableJob) -> dict[str, str]:
+def jdbc_options(spark: SparkSession, source: Endpoint, job: TableJob) -> dict[str, str]:
     """Reader options except for the credentials and the split into partitions."""
     options = {"driver": source.require("driver")}
     if is_oracle(source):
@@ -76,10 +86,15 @@ def jdbc_options(source: Endpoint, job: TableJob) -> dict[str, str]:
         steps = " ".join(_execute(statement) for statement in ORACLE_SESSION)
         options["sessionInitStatement"] = f"BEGIN {steps} END;"
         options[ORACLE_DATES[0]] = ORACLE_DATES[1]
-    # Timestamps without a zone keep their clock time whatever the session's zone. Oracle is
-    # the exception: its dialect in Spark cannot render literals of that type.
-    keep_clock = source.flag("preferTimestampNTZ", not is_oracle(source))
-    options["preferTimestampNTZ"] = str(keep_clock).lower()
+    # So read, they do not depend on the session's zone; else they are instants of the JVM's.
+    possible = keeps_clock(spark, jdbc_url(source))
+    wanted = source.flag("preferTimestampNTZ", possible)
+    if wanted and not possible:
+        raise ValueError(
+            f"endpoint '{source.name}': preferTimestampNTZ must be false, as Spark would shift"
+            f" the times of this database, or could not compare them, in zone {clock_zone(spark)}"
+        )
+    options["preferTimestampNTZ"] = str(wanted).lower()
     rows_per_trip = job.positive("batchSize") or source.positive("batchSize") or ROWS_PER_TRIP
     options["fetchsize"] = str(rows_per_trip)
     return options
@@ -103,7 +118,7 @@ def read_jdbc(
     one long task. ``balanceReads`` needs no bounds and makes ranges of about as many rows
     each, counting only the rows of the mode.
     """
-    options = jdbc_options(source, job)
+    options = jdbc_options(spark, source, job)
     url, properties = jdbc_url(source), connection_properties(spark, source)
 
     def load(

@@ -72,8 +72,8 @@ def test_driver_is_required():
         check_endpoint(without(ORACLE, "driver"))
 
 
-def test_oracle_options():
-    assert jdbc_options(ORACLE, table_job()) == {
+def test_oracle_options(spark):
+    assert jdbc_options(spark, ORACLE, table_job()) == {
         "driver": "oracle.jdbc.driver.OracleDriver",
         "sessionInitStatement": (
             "BEGIN EXECUTE IMMEDIATE 'ALTER SESSION SET NLS_DATE_FORMAT = ''YYYY-MM-DD''';"
@@ -84,20 +84,21 @@ def test_oracle_options():
         "preferTimestampNTZ": "false",
         "fetchsize": "500",
     }
-    with pytest.raises(ValueError, match="preferTimestampNTZ"):
-        check_endpoint(Endpoint("ora", ORACLE.options | {"preferTimestampNTZ": "true"}))
+    with pytest.raises(ValueError, match="preferTimestampNTZ must be false"):
+        source = Endpoint("ora", ORACLE.options | {"preferTimestampNTZ": "true"})
+        jdbc_options(spark, source, table_job())
 
 
-def test_options_of_other_databases():
-    assert jdbc_options(other(), table_job()) == {
+def test_options_of_other_databases(spark):
+    assert jdbc_options(spark, other(), table_job()) == {
         "driver": "a.Driver",
         "preferTimestampNTZ": "true",
         "fetchsize": "1000",
     }
 
 
-def test_rows_per_round_trip():
-    assert jdbc_options(ORACLE, table_job(batchSize="9"))["fetchsize"] == "9"
+def test_rows_per_round_trip(spark):
+    assert jdbc_options(spark, ORACLE, table_job(batchSize="9"))["fetchsize"] == "9"
 
 
 def test_credentials_are_optional(spark):
@@ -291,6 +292,41 @@ TIME_SPLIT = {
 }
 
 
+@pytest.fixture
+def sao_paulo(spark):
+    zones = spark._jvm.java.util.TimeZone
+    before = zones.getDefault()
+    zones.setDefault(zones.getTimeZone("America/Sao_Paulo"))
+    yield
+    zones.setDefault(before)
+
+
+def test_times_under_another_jvm_zone(spark, change, sao_paulo, tmp_path):
+    change("spark.sql.session.timeZone", "Asia/Tokyo")
+    source, table = database(spark, TIMES, "i int, t timestamp_ntz")
+    assert jdbc_options(spark, source, table_job())["preferTimestampNTZ"] == "false"
+    postgres = other(url="jdbc:postgresql://h")
+    assert jdbc_options(spark, postgres, table_job())["preferTimestampNTZ"] == "true"
+    wrong = Endpoint("db", source.options | {"preferTimestampNTZ": "true"})
+    with pytest.raises(ValueError, match="would shift the times"):
+        rows_of(spark, wrong, tableName=table)
+
+    day = {"tableName": table, "checkColumn": "t"}
+    for split in ({}, TIME_SPLIT, TIME_SPLIT | {"balanceReads": "true"}):
+        whole = rows_of(spark, source, tableName=table, **split)
+        assert whole.count() == len(TIMES)
+        daily = rows_of(spark, source, "daily", "2024-01-03", **day, **split)
+        assert [r.i for r in daily.collect()] == [1]
+        within = rows_of(spark, source, "daily", "2024-01-03", wholeDay="true", **day, **split)
+        assert [r.i for r in within.collect()] == [1, 1]
+        last = {"lastValue": "2024-01-03 12:00:00"}
+        later = rows_of(spark, source, "incrementally", **last, **day, **split)
+        assert sorted(r.i for r in later.collect()) == [2, 3, 3]
+    job = table_job(table, "incrementally", checkColumn="t", **last)
+    result = ingest_table(spark, job, source, file_sink(tmp_path), "incrementally")
+    assert (result.rows, result.last_value) == (3, "2024-01-04 12:00:00")
+
+
 @pytest.mark.parametrize("keep_clock", ["true", "false"])
 def test_times_do_not_depend_on_the_session_zone(spark, change, keep_clock):
     change("spark.sql.session.timeZone", "America/New_York")
