@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import toxicity
+from sluice.llm import secrets, simhash, toxicity
 from sluice.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = secrets.train(secrets.findings(docs).where("label IS NOT NULL"))
+    return secrets.scan(docs, forest)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -32,6 +42,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op6_simhash": op6_simhash,
+    "op8_secrets": op8_secrets,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
