@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import toxicity
+from sluice.llm import mixing, secrets, simhash, toxicity
 from sluice.llm.common import stored
+from sluice.llm.queries import pack_documents
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,8 +23,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, model)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least id stays."""
+    return simhash.one_of_each(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay, with their secrets masked."""
+    forest = secrets.train(secrets.findings(docs).where("label IS NOT NULL"))
+    return secrets.redact(docs, forest)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.mix(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", mask_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 #: Trained models and tokenizers cannot be written in SQL.
 ORACLE_SQL: str | None = None

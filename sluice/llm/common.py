@@ -74,3 +74,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     marked = found.withColumn("words", words).withColumn("least", least).drop("words")
     row = F.max(F.struct("doc_id", "text")).alias("row")
     return marked.groupBy("label", "least").agg(row).select("row.*", "label")
+
+
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Stored rows with their place in the order, from 0. Sorted in ranges; only the number of
+    rows of each range (as many as there are shuffle partitions) comes to the driver."""
+    place = F.monotonically_increasing_id()
+    rows = stored(df.orderBy(*order).withColumn(name, place))
+    part, within = F.shiftright(name, 33), F.col(name).bitwiseAND((1 << 33) - 1)
+    sizes = sorted(map(tuple, rows.groupBy(part.alias("part")).count().collect()))
+    if not sizes:
+        return rows
+    before, pairs = 0, []
+    for number, size in sizes:
+        pairs += [F.lit(number), F.lit(before).cast("long")]
+        before += size
+    return rows.withColumn(name, F.element_at(F.create_map(*pairs), part) + within)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import secrets, simhash, toxicity
+from sluice.llm import mixing, packing, secrets, simhash, toxicity
 from sluice.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pack_documents(docs: DataFrame) -> DataFrame:
+    return packing.packed(
+        docs,
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sizes(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,8 +60,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_packing": op3_packing,
+    "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op8_secrets": op8_secrets,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_mixing": mixing.SQL,
+}
