@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import mixing, packing, search, secrets, simhash, toxicity
+from sluice.llm import mixing, packing, search, secrets, simhash, toxicity, urls
 from sluice.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_search": op1_search,
+    "op2_urls": op2_urls,
     "op3_packing": op3_packing,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
@@ -73,5 +78,6 @@ QUERIES: dict[str, Query] = {
 }
 ORACLE: dict[str, str] = {
     "op1_search": search.SQL,
+    "op2_urls": urls.sql(),
     "op5_mixing": mixing.SQL,
 }
