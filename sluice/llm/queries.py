@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import mixing, packing, search, secrets, simhash, toxicity, urls
+from sluice.llm import mixing, packing, quality, search, secrets, simhash, toxicity, urls
 from sluice.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,17 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs.select("doc_id", "text"), model, "score").select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.CUT).cast("int").alias("predicted"),
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
@@ -71,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op1_search": op1_search,
     "op2_urls": op2_urls,
     "op3_packing": op3_packing,
+    "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op8_secrets": op8_secrets,
