@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import mixing, packing, quality, search, secrets, simhash, toxicity, urls
+from sluice.llm import mixing, packing, quality, rules, search, secrets, simhash, toxicity, urls
 from sluice.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, forest)
 
 
+def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -86,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op8_secrets": op8_secrets,
+    "op9_rules": op9_rules,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {
