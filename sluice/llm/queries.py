@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import mixing, packing, quality, rules, search, secrets, simhash, toxicity, urls
+from sluice.llm import chat, mixing, packing, quality, rules, search, secrets, simhash, toxicity, urls
 from sluice.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     forest = secrets.train(secrets.findings(docs).where("label IS NOT NULL"))
@@ -89,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op7_chat": op7_chat,
     "op8_secrets": op8_secrets,
     "op9_rules": op9_rules,
     "op10_toxicity": op10_toxicity,
