@@ -185,7 +185,7 @@ def top_k(
     longest = queries.agg(F.max("norm")).first()[0]
     if limits[0] is None or longest is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    bound = min(math.ceil(limits[0] * longest) + 1, LIMIT)
+    bound = min(math.ceil(limits[0] * longest * (1 + 1e-9)) + 1, LIMIT)  # the norms are rounded
     asked = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("block", "ids", "values", "dims", "most")])
     asked = asked.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
 
