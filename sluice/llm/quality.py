@@ -133,9 +133,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "cells": cells})
 
     def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(batches, ignore_index=True).sort_values("doc_id")  # the same order in any rerun
+        rows = pd.concat([pd.DataFrame({"doc_id": [], "label": [], "cells": []}), *batches], ignore_index=True)
+        rows = rows.sort_values("doc_id")  # the same order in any rerun
         if rows["label"].nunique() == 2:
-            model = learn([np.asarray(c) for c in rows["cells"]], rows["label"].to_numpy())
+            model = learn([np.asarray(c) for c in rows["cells"]], rows["label"].to_numpy(int))
             out = pd.DataFrame({"cell": np.arange(CELLS), "ratio": model.ratio, "weight": model.weight})
             out = out[(out["ratio"] != 0) | (out["weight"] != 0)]
             yield pd.concat([out, pd.DataFrame({"cell": [-1], "ratio": [0.0], "weight": [model.bias]})])
