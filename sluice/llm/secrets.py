@@ -6,14 +6,15 @@ character classes, shares of digits, capitals and hex digits, distinct character
 dictionary words, parts of a path or address, and the neighbouring words: credential names, names
 of checksums and revisions, words of examples, an assignment.
 
-The forest is trained by ``pyspark.ml`` on labelled findings, at most ``PER_CLASS`` of each label (given,
-or else the corpus's own findings with the label that ``presumed`` finds certain: formats of known
+The forest is trained by ``pyspark.ml`` on labelled findings, at most ``PER_CLASS`` of each label: those given,
+or else the corpus's own findings with the label that ``presumed`` finds certain (formats of known
 issuers and assigned credentials are true, numbers, addresses and named checksums false; all others are
-left to the forest). Its trees become one expression, so that documents are judged where they are:
+left to the forest), and always some made-up ones of common forms (``exemplars``), since a
+corpus may lack a form. Its trees become one expression, so that documents are judged where they are:
 nothing is exploded, joined or shuffled.
 
-NULL and empty texts have no findings. Rows are kept, repeated ones too. Without both labels the presumed
-label decides.
+NULL and empty texts have no findings. Rows are kept, repeated ones too. Findings
+without both labels train on the made-up ones alone.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ import re
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import free_name
+from sluice.llm.common import free_name, stored
 
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Documents without a match have no candidate.
@@ -43,6 +44,8 @@ DICTIONARY = (
     "version test sample default config local server client service system public"
 ).split()
 ISSUED = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^sk_live_[A-Za-z0-9]{16,}$"
+#: Characters before and behind a candidate, of the neighbouring words, that its features look at.
+NEAR = 100
 NAMES = (
     "length transitions digits capitals hex distinct dictionary path address credential checksum example assigned"
 ).split()
@@ -60,14 +63,14 @@ def with_candidates(df: DataFrame, into: str, text: str = "text") -> DataFrame:
         def word(step: int) -> Column:
             return F.coalesce(F.get(F.col(tokens), x["position"] + step), F.lit(""))
 
-        value = F.regexp_replace(F.regexp_extract(x["token"], VALUE, 1), r"[.:\-]+$", "")
+        value = F.regexp_replace(F.regexp_extract(x["token"], VALUE, 1), r"(?<![.:\-])[.:\-]++$", "")
         return F.struct(
             x["position"].alias("position"),
             value.alias("value"),
             F.lower(
-                F.concat_ws(" ", word(-2), word(-1), F.regexp_replace(x["token"], VALUE, ""))
+                F.right(F.concat_ws(" ", word(-2), word(-1), F.regexp_replace(x["token"], VALUE, "")), F.lit(NEAR))
             ).alias("before"),
-            F.lower(word(1)).alias("after"),
+            F.lower(F.left(word(1), F.lit(NEAR))).alias("after"),
         )
 
     placed = F.transform(F.col(tokens), lambda t, i: F.struct(i.alias("position"), t.alias("token")))
@@ -134,20 +137,61 @@ def findings(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return rows.withColumn("label", presumed(F.col("value"), F.col("before")))
 
 
-def train(labelled: DataFrame, per_class: int = PER_CLASS) -> list[str] | None:
-    """The trees of a forest trained on ``features`` and ``label`` (0 or 1), as the lines in which
-    Spark describes them; None without both labels."""
+#: Sentences with a made-up key: ``{h}`` 64 hex digits, ``{u}`` 16 capitals and digits, ``{d}`` 16 digits.
+FORMS = (
+    (1, "use AKIA{u} to"),
+    (1, "password={h:18} and"),
+    (1, 'token = "{h:40}" then'),
+    (1, "api_key: {u}{h:16} for"),
+    (1, "secret={u}/{h:20} here"),
+    (1, "with ghp_{u}{h:20} set"),
+    (0, "at commit {h:40} we"),
+    (0, "sha256 {h:64} of"),
+    (0, "checksum: {h:32} file"),
+    (0, "mail u{h:6}.42@mail8.example.com to"),
+    (0, "the 10.{d:2}.57.238:8080 and"),
+    (0, "card {d:16} is"),
+    (0, "see https://www.example.com/page/{d:8}/{h:8} for"),
+    (0, "in images/file/post_{d:8}.png of"),
+    (0, "on 2024-01-{d:2}T03:04:05.{d:3} the"),
+    (0, "call 555-{d:4}-{d:4} or"),
+    (0, "your example key {u}{d:4} goes"),
+)
+PER_FORM = 60
+
+
+def exemplars(spark: SparkSession, per_form: int = PER_FORM) -> DataFrame:
+    """Made-up labelled findings of common forms, the same in each run."""
+    digest = F.sha2(F.concat(F.col("id").cast("string"), F.lit(" "), F.col("form")).cast("binary"), 256)
+    parts = {
+        "h": digest,
+        "u": F.upper(F.translate(F.reverse(digest), "01234", "ghjkm")),
+        "d": F.translate(digest, "abcdef", "314159"),
+    }
+    forms = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(form).alias("form")) for label, form in FORMS])
+    rows = spark.range(per_form, numPartitions=1).select("id", F.explode(forms).alias("x")).select("id", "x.*")
+    text = F.lit(None).cast("string")
+    for _, form in FORMS:
+        pieces = []
+        for piece in re.split(r"(\{\w(?::\d+)?\})", form):
+            slot = re.fullmatch(r"\{(\w)(?::(\d+))?\}", piece)
+            pieces.append(F.substring(parts[slot[1]], 1, int(slot[2] or 16)) if slot else F.lit(piece))
+        text = F.when(F.col("form") == form, F.concat(*pieces)).otherwise(text)
+    found = with_candidates(rows.select("label", text.alias("text")), "found")
+    found = found.select("label", F.explode("found").alias("x"))
+    return found.select(F.col("label").cast("int").alias("label"), "x.features", "x.value", "x.before")
+
+
+def train(labelled: DataFrame, per_class: int = PER_CLASS) -> list[str]:
+    """The trees of a forest trained on ``features`` and ``label`` (0 or 1) of the findings and the
+    exemplars, as the lines in which Spark describes them."""
     order = [F.xxhash64("features", "value"), F.col("value"), F.col("before")]
     parts = [labelled.where(F.col("label") == label).orderBy(*order).limit(per_class) for label in (0, 1)]
-    rows = parts[0].unionAll(parts[1]).select(F.col("label").cast("double").alias("label"), "features")
-    rows = rows.orderBy("label", "features").limit(2 * per_class).cache()
-    try:
-        if rows.select("label").distinct().count() < 2:
-            return None
-        forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="vector")
-        return forest.fit(rows.withColumn("vector", array_to_vector("features"))).toDebugString.splitlines()
-    finally:
-        rows.unpersist()
+    columns = [F.col("label").cast("double").alias("label"), "features"]
+    rows = parts[0].unionAll(parts[1]).select(columns).unionAll(exemplars(labelled.sparkSession).select(columns))
+    rows = stored(rows.orderBy("label", "features").coalesce(1))  # twice per_class and the exemplars at most
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="vector")
+    return forest.fit(rows.withColumn("vector", array_to_vector("features"))).toDebugString.splitlines()
 
 
 def votes(lines: list[str], features: Column) -> Column:
@@ -169,30 +213,25 @@ def votes(lines: list[str], features: Column) -> Column:
     return sum(trees[1:], trees[0]) / float(len(trees))
 
 
-def judged(df: DataFrame, forest: list[str] | None, into: str, text: str = "text") -> DataFrame:
+def judged(df: DataFrame, forest: list[str], into: str, text: str = "text") -> DataFrame:
     """``df`` with an array of (position, value, score) of all candidates in the column ``into``."""
     found = free_name(df, f"{into}_found")
 
-    def score(x: Column) -> Column:
-        if forest is None:
-            return F.coalesce(presumed(x["value"], x["before"]), F.lit(0)).cast("double")
-        return votes(forest, x["features"])
-
     scored = F.transform(
         F.col(found),
-        lambda x: F.struct(x["position"].alias("position"), x["value"].alias("value"), score(x).alias("score")),
+        lambda x: F.struct(x["position"].alias("position"), x["value"].alias("value"), votes(forest, x["features"]).alias("score")),
     )
     return with_candidates(df, found, text).withColumn(into, scored).drop(found)
 
 
-def scan(df: DataFrame, forest: list[str] | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(df: DataFrame, forest: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``position`` (token, from 0), ``value``, ``score``, ``is_secret`` of every candidate."""
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = judged(rows, forest, "found").select("doc_id", F.explode("found").alias("x"))
     return rows.select("doc_id", "x.*", (F.col("x.score") >= CUT).alias("is_secret"))
 
 
-def redact(df: DataFrame, forest: list[str] | None, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
+def redact(df: DataFrame, forest: list[str], text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``df`` in its own columns with ``MASK`` for every secret; ``n_chars``, if there is such a
     column, becomes the new length where the text changed."""
     name, old = free_name(df, "findings"), F.col(text)
