@@ -11,8 +11,8 @@
 2. Search. One scan finds all maximal scoring segments of a document (Ruzzo and Tompa). Tokens
    that score below zero only count through the sums between the others.
 3. Calibration. A segment of score S among n tokens has the expected number of chance segments
-   ``E = K n exp(-lambda S)`` (Karlin and Altschul); lambda and K come from clean documents of a quarter of the
-   sample, scored by counts of the rest (the final scores count all of it). A document's evidence is the sum of -ln E over its
+   ``E = K n exp(-lambda S)`` (Karlin and Altschul); lambda and K come from clean documents of the
+   quarter of the sample that was not counted. A document's evidence is the sum of -ln E over its
    segments with E < 1. The score is a logistic curve of the evidence that passes ``CUT`` at
    the value that separates the calibration documents best.
 
@@ -115,17 +115,13 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
 
 
 def count_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts by cell of toxic and clean documents, and of those with ``counted`` alone."""
     for batch in batches:
-        counts = np.zeros((2, 2, CELLS), np.int64)
-        for text, label, counted in zip(batch["text"], batch["label"], batch["counted"]):
+        counts = np.zeros((2, CELLS), np.int64)
+        for text, label in zip(batch["text"], batch["label"]):
             cells = [c for token in tokens_of(text) for c in cells_of(token)]
-            np.add.at(counts[int(counted), int(label)], cells, 1)
-        cell = np.flatnonzero(counts.any(axis=(0, 1)))
-        rest, some = counts[:, :, cell]
-        yield pd.DataFrame(
-            {"cell": cell, "toxic": some[1] + rest[1], "clean": some[0] + rest[0], "some_toxic": some[1], "some_clean": some[0]}
-        )
+            np.add.at(counts[int(label)], cells, 1)
+        cell = np.flatnonzero(counts.any(axis=0))
+        yield pd.DataFrame({"cell": cell, "toxic": counts[1, cell], "clean": counts[0, cell]})
 
 
 def evidence_of(scores: np.ndarray, spread: float, chance: float) -> tuple[float, list[tuple[float, int, int]]]:
@@ -156,24 +152,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     spark = docs.sparkSession
     counted = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)) != 0
     sample = stored(labelled_sample(docs, labels, label, per_class).select("text", "label", counted.alias("counted")))
-    names = ("toxic", "clean", "some_toxic", "some_clean")
     counts = (
-        sample.mapInPandas(count_cells, "cell long, " + ", ".join(f"{n} long" for n in names))
+        sample.where("counted")
+        .select("text", "label")
+        .mapInPandas(count_cells, "cell long, toxic long, clean long")
         .groupBy("cell")
-        .agg(*[F.sum(n).alias(n) for n in names])
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .toArrow()  # CELLS rows at most
     )
-    table = {n: np.zeros(CELLS, np.float32) for n in names}
-    for n in names:
-        table[n][counts["cell"].to_numpy()] = counts[n].to_numpy()
-    if not table["some_toxic"].any() or not table["some_clean"].any():
+    toxic, clean = np.zeros(CELLS, np.float32), np.zeros(CELLS, np.float32)
+    cell = counts["cell"].to_numpy()
+    toxic[cell], clean[cell] = counts["toxic"].to_numpy(), counts["clean"].to_numpy()
+    if not toxic.any() or not clean.any():
         return None
-
-    def model_of(toxic: np.ndarray, clean: np.ndarray) -> Model:
-        total = toxic.sum(dtype=np.float64), clean.sum(dtype=np.float64)
-        return Model(toxic, clean, float(total[0] / (total[0] + total[1])))
-
-    model = model_of(table["some_toxic"], table["some_clean"])
+    total = toxic.sum(dtype=np.float64), clean.sum(dtype=np.float64)
+    model = Model(toxic, clean, float(total[0] / (total[0] + total[1])))
     shared = spark.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,9 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     # The part of the sample that was not counted: a quarter of a bounded number of documents.
     rows = sample.where("NOT counted").select("text", "label").mapInPandas(measure, kind).collect()
     calibrate(model, rows)
-    whole = model_of(table["toxic"], table["clean"])
-    whole.spread, whole.chance, whole.slope, whole.middle = model.spread, model.chance, model.slope, model.middle
-    return whole
+    return model
 
 
 def calibrate(model: Model, rows: list) -> None:
