@@ -4,7 +4,7 @@ from sluice.functions.days import previous_day
 from sluice.operators.conform import avro_to_struct, conform, load_avro_schema
 from sluice.operators.filters import daily_filter, incremental_filter
 from sluice.operators.progress import observe_progress, read_progress
-from sluice.plans.job import TableResult, ingest_table, run, run_from_files
+from sluice.plans.job import RunError, TableResult, ingest_table, run, run_from_files
 from sluice.plans.specs import Endpoint, TableJob, load_endpoints, load_tables
 from sluice.plans.validation import validate
 from sluice.sinks.files import resolve_format, target_path, write_table
@@ -12,6 +12,7 @@ from sluice.sources import read_source, read_table
 
 __all__ = [
     "Endpoint",
+    "RunError",
     "TableJob",
     "TableResult",
     "avro_to_struct",

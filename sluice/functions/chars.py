@@ -35,9 +35,15 @@ def _pads_chars(df: DataFrame) -> bool:
 
 def _unpadded(spark: SparkSession) -> SparkSession:
     """A session with the same settings that leaves CHAR values alone."""
+    return with_settings(spark, {"spark.sql.readSideCharPadding": "false"})
+
+
+def with_settings(spark: SparkSession, other: dict[str, str]) -> SparkSession:
+    """A session with the same settings but for the given ones."""
     session = spark.newSession()
     for name, value in spark.conf.getAll.items():
         if spark.conf.isModifiable(name):
             session.conf.set(name, value)
-    session.conf.set("spark.sql.readSideCharPadding", "false")
+    for name, value in other.items():
+        session.conf.set(name, value)
     return session

@@ -8,7 +8,6 @@ SQL of their own.
 from __future__ import annotations
 
 import re
-from datetime import datetime
 from decimal import Decimal
 
 from pyspark.sql import Column, SparkSession
@@ -47,17 +46,18 @@ def typed_literal(
 
     # One literal row: the optimizer works this out by itself, no job runs.
     given = spark.sql("SELECT text FROM VALUES (:text) AS given(text)", args={"text": text})
-    casts = [F.col("text").try_cast(dtype), F.col("text").try_cast("timestamp_ntz")]
+    # As text: Python has no years behind 9999, which plain numbers may look like.
+    casts = [F.col("text").try_cast(kind).cast("string") for kind in (dtype, "timestamp_ntz")]
     as_type, as_time = given.select(*casts).collect()[0]
     if as_type is None:
         raise ValueError(f"'{text}' is not a value of type {dtype.simpleString()} by itself")
 
-    if isinstance(dtype, DecimalType) and Decimal(text) != as_type:
+    if isinstance(dtype, DecimalType) and Decimal(text) != Decimal(as_type):
         raise ValueError(f"'{text}' does not fit {dtype.simpleString()} without rounding")
-    if isinstance(dtype, DateType) and as_time != datetime.combine(as_type, datetime.min.time()):
+    if isinstance(dtype, DateType) and as_time != f"{as_type} 00:00:00":
         raise ValueError(f"'{text}' has a time of day, which a date column does not")
     if isinstance(dtype, TimestampNTZType) and _ZONE_SUFFIX.search(text):
         raise ValueError(f"'{text}' has a zone, which a {dtype.simpleString()} column does not")
     if isinstance(dtype, TimestampType) and zone and not _ZONE_SUFFIX.search(text):
-        return F.lit(f"{as_time.isoformat(sep=' ')} {zone}").cast(dtype)
+        return F.lit(f"{as_time} {zone}").cast(dtype)
     return F.lit(text).cast(dtype)

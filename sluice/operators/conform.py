@@ -24,9 +24,11 @@ _NULL_FLAGS = ("nullable", "containsNull", "valueContainsNull")
 
 def load_avro_schema(spark: SparkSession, path: str) -> StructType:
     """The columns described by an Avro schema file on any path Spark can read."""
-    rows = spark.read.text(path, wholetext=True).take(1)
+    rows = spark.read.text(path, wholetext=True).take(2)
     if not rows:
         raise ValueError(f"the Avro schema '{path}' is empty")
+    if len(rows) > 1:
+        raise ValueError(f"'{path}' matches several files; an Avro schema is one")
     try:
         return avro_to_struct(spark, rows[0].value)
     except ValueError as error:

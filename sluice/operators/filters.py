@@ -7,6 +7,7 @@ file reader. Rows whose check column is NULL are never selected.
 
 from __future__ import annotations
 
+import warnings
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +33,16 @@ def incremental_filter(
     return df.filter(check >= bound if inclusive else check > bound)
 
 
+def limit_filter(
+    df: DataFrame, check_column: str, highest: str | None, zone: str | None = None
+) -> DataFrame:
+    """Rows up to a mark that was found before; none without one."""
+    field = require_field(df, check_column, "check column")
+    if highest is None:
+        return df.limit(0)
+    return df.filter(column(field.name) <= typed_literal(df.sparkSession, highest, field.dataType, zone))
+
+
 def daily_filter(
     df: DataFrame,
     check_column: str,
@@ -44,6 +55,12 @@ def daily_filter(
     check, day = column(field.name), to_day(day)
     start = day_literal(day, field.dataType, zone)
     if not whole_day:
+        if isinstance(field.dataType, (TimestampType, TimestampNTZType)):
+            warnings.warn(
+                f"only rows at midnight are taken of '{field.name}', which has times of day;"
+                " wholeDay=true takes all of the day",
+                stacklevel=2,
+            )
         return df.filter(check == start)
     end = day_literal(day + timedelta(days=1), field.dataType, zone)
     return df.filter((check >= start) & (check < end))

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import DoubleType, FloatType, StringType, TimestampType
 
 from sluice.functions.columns import column, require_field
 
 
 def observe_progress(
-    df: DataFrame, check_column: str | None = None, zone: str | None = None
+    df: DataFrame, check_column: str | None = None
 ) -> tuple[DataFrame, Observation]:
     """``df`` with its row count and highest check value being observed.
 
@@ -25,7 +25,7 @@ def observe_progress(
     observation = Observation()
     metrics = [F.count(F.lit(1)).alias("rows")]
     if check_column:
-        metrics.append(_highest(df, check_column, zone).cast("string").alias("last_value"))
+        metrics.append(_highest(df, check_column).alias("last_value"))
     return df.observe(observation, *metrics), observation
 
 
@@ -35,10 +35,21 @@ def read_progress(observation: Observation) -> tuple[int, str | None]:
     return int(seen["rows"]), seen.get("last_value")
 
 
-def _highest(df: DataFrame, check_column: str, zone: str | None) -> Column:
+def highest_mark(df: DataFrame, check_column: str) -> str | None:
+    """The highest check value right now, found by the source: one row."""
+    return df.agg(_highest(df, check_column).alias("last_value")).first()[0]
+
+
+def _highest(df: DataFrame, check_column: str) -> Column:
+    """The highest check value as text that a typed literal reads back exactly."""
     field = require_field(df, check_column, "check column")
-    highest = F.max(column(field.name))
-    if isinstance(field.dataType, TimestampType) and zone:
-        # Shown as the source's clock shows it, so that it can be the next run's lastValue.
-        return F.convert_timezone(None, F.lit(zone), highest.cast("timestamp_ntz"))
-    return highest
+    value = column(field.name)
+    if isinstance(field.dataType, (DoubleType, FloatType)):
+        value = F.when(~F.isnan(value), value)  # nothing comes behind NaN
+    highest = F.max(value)
+    if isinstance(field.dataType, TimestampType):
+        # With its offset, so that neither another zone nor a repeated hour changes it.
+        return F.date_format(highest, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx")
+    if isinstance(field.dataType, StringType):
+        return F.concat(F.lit("'"), highest, F.lit("'"))  # one pair of quotes is dropped
+    return highest.cast("string")

@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from sluice.functions.columns import column, find_field
-from sluice.functions.days import run_day
+from sluice.functions.days import previous_day, run_day
 from sluice.functions.shared import landed
 from sluice.operators.conform import conform, load_avro_schema
-from sluice.operators.progress import observe_progress, read_progress
+from sluice.operators.filters import limit_filter
+from sluice.operators.progress import highest_mark, observe_progress, read_progress
 from sluice.plans.specs import (
     DAILY,
+    INCREMENTALLY,
     Endpoint,
     TableJob,
     load_endpoints,
@@ -28,9 +30,9 @@ from sluice.plans.specs import (
     pick_endpoint,
 )
 from sluice.plans.validation import check_partition_keys, validate
-from sluice.sinks.files import is_adaptive, spread_rows, write_table, writes_many_files
+from sluice.sinks.files import spread_rows, write_table
 from sluice.sources import read_table, source_zone
-from sluice.sources.files import is_columnar, is_files
+from sluice.sources.files import is_files
 
 log = logging.getLogger(__name__)
 
@@ -48,6 +50,15 @@ class TableResult:
     path: str
 
 
+class RunError(RuntimeError):
+    """A run that a table ended; ``results`` are those of the tables that were finished."""
+
+    def __init__(self, results: list[TableResult], cause: Exception):
+        self.results = results
+        done = "; ".join(f"{r.table_name}: {r.rows} rows, lastValue {r.last_value}" for r in results)
+        super().__init__(f"{cause}\nFinished until then: {done or 'none'}")
+
+
 def run(
     spark: SparkSession,
     endpoints: dict[str, Endpoint],
@@ -63,8 +74,9 @@ def run(
     """Ingest the table jobs of this mode, one after another in their order.
 
     Everything is checked before the first table is touched. The first table that fails ends
-    the run; targets written until then stay, and the log has their results. Returns one row
-    per table: ``table_name``, ``rows``, ``last_value``.
+    the run by a ``RunError``; targets written until then stay, and the error has their
+    results, with the marks to continue from. Returns one row per table: ``table_name``,
+    ``rows``, ``last_value``.
 
     Tables read by few tasks leave a large cluster idle; with ``tables_at_once`` several are
     in work at a time, but never two with the same target.
@@ -74,22 +86,26 @@ def run(
     schemas = [job_schema(spark, job, schemas_path) for job in jobs]
     as_of = run_day(as_of)  # the same for all tables, also if midnight passes meanwhile
 
-    def ingest(numbers: list[int]) -> list[tuple[int, TableResult]]:
-        done = []
-        for i in numbers:
-            done.append((i, ingest_table(spark, jobs[i], source, sink, mode, schemas[i], as_of)))
-            log.info("%s", done[-1][1])
-        return done
+    finished: dict[int, TableResult] = {}
 
-    results = [result for _, result in sorted(_in_turns(spark, ingest, jobs, tables_at_once))]
+    def ingest(numbers: list[int]) -> None:
+        for i in numbers:
+            finished[i] = ingest_table(spark, jobs[i], source, sink, mode, schemas[i], as_of)
+            log.info("%s", finished[i])
+
+    try:
+        _in_turns(spark, ingest, jobs, tables_at_once)
+    except Exception as error:
+        raise RunError([finished[i] for i in sorted(finished)], error) from error
+    results = [finished[i] for i in sorted(finished)]
     return spark.createDataFrame(
         [(r.table_name, r.rows, r.last_value) for r in results],
         "table_name string, rows bigint, last_value string",
     )
 
 
-def _in_turns(spark: SparkSession, ingest: Callable, jobs: list[TableJob], at_once: int) -> list:
-    """Results of ``ingest`` for all jobs by number, where jobs of one target stay in order."""
+def _in_turns(spark: SparkSession, ingest: Callable, jobs: list[TableJob], at_once: int) -> None:
+    """Runs ``ingest`` for all jobs by number, where jobs of one target stay in order."""
     if at_once <= 1 or len(jobs) <= 1:
         return ingest(list(range(len(jobs))))
     chains: dict[str, list[int]] = {}
@@ -99,7 +115,8 @@ def _in_turns(spark: SparkSession, ingest: Callable, jobs: list[TableJob], at_on
         work = inheritable_thread_target(spark)(ingest)
         waiting = [pool.submit(work, chain) for chain in chains.values()]
         try:
-            return [result for one in as_completed(waiting) for result in one.result()]
+            for one in as_completed(waiting):
+                one.result()
         except BaseException:
             pool.shutdown(cancel_futures=True)  # those in work come to their end
             raise
@@ -148,11 +165,18 @@ def ingest_table(
     """Read, filter, conform and write one table.
 
     This is a single stage without a shuffle, unless the rows are spread by their partition
-    keys before they are written.
+    keys before they are written. An incremental run of a database first asks it for the highest
+    check value, and copies nothing behind that.
     """
     rows = read_table(spark, source, job, mode, as_of)
     check = find_field(rows.schema, job.get("checkColumn", "").strip())
     observed = check.name if check else None
+    limited = mode == INCREMENTALLY and not is_files(source)
+    if limited:
+        # Ranges are read at different moments. Rows that come meanwhile are left to the next run,
+        # also where one range would still see those above others that no range did.
+        limit = highest_mark(rows, check.name)
+        rows = limit_filter(rows, check.name, limit, source_zone(spark, source))
     if schema is not None:
         if check:
             rows = rows.withColumn(_CHECK, column(check.name))
@@ -160,31 +184,27 @@ def ingest_table(
             observed = _CHECK
         rows = conform(rows, schema, "null" if job.flag("lenientCasts") else "fail")
     with ExitStack() as until_written:
-        if spreads_rows(rows, job, source, mode):
-            if not is_files(source) and is_adaptive(spark):
+        if spreads_rows(job, source):
+            if not is_files(source):
                 rows = until_written.enter_context(landed(rows))
             rows = spread_rows(rows, job.partition_keys)
-        zone = source_zone(spark, source)
-        rows, observation = observe_progress(rows, observed, zone)
-        path = write_table(rows.drop(_CHECK), sink, job, mode)
+        rows, observation = observe_progress(rows, observed)
+        day = previous_day(as_of) if mode == DAILY else None
+        path = write_table(rows.drop(_CHECK), sink, job, mode, day)
     count, last_value = read_progress(observation)
-    return TableResult(job.table_name, count, last_value or job.get("lastValue"), path)
+    last_value = limit if limited else last_value
+    if last_value is None:
+        last_value = job.get("lastValue")
+    return TableResult(job.table_name, count, last_value, path)
 
 
-def spreads_rows(rows: DataFrame, job: TableJob, source: Endpoint, mode: str) -> bool:
+def spreads_rows(job: TableJob, source: Endpoint) -> bool:
     """Whether rows are shuffled by their partition keys: as ``rebalance`` says.
 
     If it says nothing, rows of a database are not: its few read tasks write few files. File
-    datasets are read by many tasks, each of which writes a file per key it meets. So their
-    rows are if that would make many files, which in columnar formats is cheap to find out;
-    but not if the only key is the day that a daily run selects.
+    datasets are read by many tasks, each of which would write a file per key it meets, so
+    theirs are.
     """
     if job.get("rebalance") is not None:
         return job.flag("rebalance")
-    single = {job.get("checkColumn", "").strip().lower()} if mode == DAILY else set()
-    keys = job.partition_keys
-    if not is_files(source) or {key.lower() for key in keys} <= single:
-        return False
-    if not is_adaptive(rows.sparkSession):
-        return False
-    return not is_columnar(source) or writes_many_files(rows, keys)
+    return is_files(source) and bool(job.partition_keys)

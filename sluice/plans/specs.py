@@ -82,8 +82,9 @@ class TableJob(_Spec):
 
     @property
     def splits_read(self) -> bool:
-        """Whether the four options of a parallel read are all there."""
-        return all(self.get(option) is not None for option in SPLIT_OPTIONS)
+        """Whether the options of a parallel read are there: column and number, both bounds or none."""
+        column, lower, upper, number = (self.get(option) is not None for option in SPLIT_OPTIONS)
+        return column and number and lower == upper
 
 
 def load_endpoints(spark: SparkSession, path: str) -> dict[str, Endpoint]:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import warnings
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sluice.functions.columns import column
 from sluice.plans.specs import COMPLETELY, Endpoint, TableJob
@@ -14,10 +13,6 @@ from sluice.plans.specs import COMPLETELY, Endpoint, TableJob
 # the short name is known only with it.
 AVRO = "org.apache.spark.sql.avro.AvroFileFormat"
 
-# Files that a task may write on average before its rows are better spread by key. A task reads
-# 128 MB of a file dataset unless Spark is told otherwise.
-FILES_PER_TASK = 8
-
 # Sink options handed to the writer.
 WRITER_OPTIONS = ("compression", "maxRecordsPerFile")
 
@@ -40,38 +35,39 @@ def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
 
     This is a shuffle. Adaptive execution splits a key with many rows over several tasks and
     puts small ones together; without it, all rows of a key would have to pass through one
-    task, so then the rows stay where they are. Have at least as many shuffle partitions as
-    keys: keys that share one are split together.
+    task, so that is refused. Have at least as many shuffle partitions as keys: keys that
+    share one are split together.
     """
     if not is_adaptive(df.sparkSession):
-        warnings.warn("rows are not rebalanced without spark.sql.adaptive.enabled", stacklevel=2)
-        return df
+        raise ValueError(
+            "rows are only spread by their partition keys with spark.sql.adaptive.enabled;"
+            " enable it or set rebalance=false"
+        )
     return df.hint("rebalance", *[column(key) for key in keys])
 
 
-def writes_many_files(df: DataFrame, keys: list[str]) -> bool:
-    """Whether tasks that write the rows as they are would each write many small files.
-
-    Looks at the key columns alone, and merges a sketch per task.
-    """
-    key = F.xxhash64(*[column(name) for name in keys]).alias("key")
-    seen = (
-        df.select(F.spark_partition_id().alias("task"), key)
-        .agg(
-            F.approx_count_distinct("task").alias("tasks"),
-            F.approx_count_distinct(F.struct("task", "key")).alias("files"),
-        )
-        .first()
-    )
-    return seen.files > FILES_PER_TASK * seen.tasks
+def remove_day(spark: SparkSession, path: str, key: str, day: date) -> None:
+    """Delete the folders of a day, whatever is below them: those of the first partition key with
+    the day as their value, or any time of that day."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return
+    start = f"{key}={day.isoformat()}".lower()
+    for status in files.listStatus(folder):
+        name = status.getPath().getName().lower()
+        if status.isDirectory() and (name == start or name.startswith((f"{start} ", f"{start}t"))):
+            files.delete(status.getPath(), True)
 
 
-def write_table(df: DataFrame, sink: Endpoint, job: TableJob, mode: str) -> str:
+def write_table(
+    df: DataFrame, sink: Endpoint, job: TableJob, mode: str, day: date | None = None
+) -> str:
     """Write the rows and return the target path.
 
     A complete copy replaces the target, anything else is added to it. With
-    ``replacePartitions`` the partitions found in the rows are replaced, which makes a
-    repeated daily run harmless.
+    ``replacePartitions`` all that the target holds of ``day`` goes first, so that a repeated
+    daily run gives what a single one does, also where rows have moved or are gone.
     """
     path = target_path(sink, job)
     writer = df.write.format(resolve_format(sink.require("format")))
@@ -81,9 +77,11 @@ def write_table(df: DataFrame, sink: Endpoint, job: TableJob, mode: str) -> str:
     if mode == COMPLETELY:
         # Whatever the session says: a complete copy leaves no partition of the old one.
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
-    elif job.flag("replacePartitions"):
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
+        if job.flag("replacePartitions"):
+            if day is None:
+                raise ValueError("replacePartitions needs the day whose rows are replaced")
+            remove_day(df.sparkSession, path, job.partition_keys[0], day)
         writer = writer.mode("append")
     if job.partition_keys:
         writer = writer.partitionBy(*job.partition_keys)

@@ -114,8 +114,8 @@ def read_jdbc(
     """The table, read in parallel ranges of one column where the job asks for it.
 
     The bounds only set how wide the ranges are: the first and the last one are open, so all
-    rows are read. Every range is one task with one connection, and a range with many rows is
-    one long task. ``balanceReads`` needs no bounds and makes ranges of about as many rows
+    rows are read. Without bounds the database is asked for the lowest and highest value. Every
+    range is one task with one connection, and a range with many rows is one long task. ``balanceReads`` needs no bounds and makes ranges of about as many rows
     each, counting only the rows of the mode.
     """
     options = jdbc_options(spark, source, job)
@@ -152,11 +152,17 @@ def read_jdbc(
         bounds = found.select(last.on_clock(low), last.on_clock(high)).first()
         return load(balanced_ranges(columns, parts, lambda some: rows_of_mode(load(some)), bounds))
 
-    split = {option: unquote(job.require(option)) for option in SPLIT_OPTIONS}
-    lower, upper = split["lowerBound"], split["upperBound"]
+    if job.get("lowerBound") is None:
+        found = load(table=columns[0].bounds_of(job.table_name))
+        lower, upper = found.select(*columns[0].as_bounds(*map(column, found.columns))).first()
+        if lower is None or upper is None:
+            return rows
+    else:
+        lower, upper = (unquote(job.require(option)) for option in SPLIT_OPTIONS[1:3])
     if name == fields[0].name:
         lower = columns[0].raised(lower, upper, start)
     if isinstance(fields[0].dataType, TimestampNTZType):
         # Spark's own split refuses this type.
         return load(columns[0].ranges(time_cuts(lower, upper, parts)))
-    return load(split=split | {"partitionColumn": fields[0].name, "lowerBound": lower})
+    bounds = {"lowerBound": lower, "upperBound": upper}
+    return load(split={"partitionColumn": fields[0].name, "numPartitions": str(parts)} | bounds)

@@ -74,6 +74,13 @@ class SplitColumn:
         """A query by which the database finds the lowest and highest value: one row."""
         return f"(SELECT MIN({self.name}) AS low, MAX({self.name}) AS high FROM {table}) bounds"
 
+    def as_bounds(self, low: Column, high: Column) -> list[Column]:
+        """Bounds found by the database as Spark's reader takes them: text, whole numbers."""
+        if isinstance(self._field.dataType, NumericType):
+            whole = (F.floor(low), F.ceil(high))
+            return [value.try_cast("bigint").cast("string") for value in whole]
+        return [self.on_clock(value).cast("string") for value in (low, high)]
+
     def raised(self, lower: str, upper: str, start: Column) -> str:
         """``lower``, or ``start`` where that lies between the bounds.
 

@@ -23,6 +23,12 @@ CONFORMED_ORDERS = """
            o_orderpriority
     FROM orders
 """
+MOVED_ORDERS = """
+    SELECT o_orderkey, o_custkey,
+           CASE WHEN o_orderkey % 2 = 0 THEN 'moved' ELSE o_orderstatus END AS o_orderstatus,
+           o_totalprice, o_orderdate, o_orderpriority
+    FROM orders
+"""
 COUNTS = """
     SELECT 'orders' AS table_name, COUNT(*) AS "rows" FROM orders
     UNION ALL SELECT 'nation', COUNT(*) FROM nation
@@ -62,6 +68,8 @@ ORACLE: dict[str, str] = {
     "ingest_partitioned_numeric": ALL_ORDERS,
     "ingest_partitioned_time": ALL_ORDERS,
     "ingest_partitioned_date": DATED_ORDERS,
+    "ingest_partitioned_narrow": ALL_ORDERS,
+    "ingest_partitioned_daily": ORDERS_OF_DAY,
     "ingest_partitioned_incremental": NEW_ORDERS,
     "ingest_partitioned_balanced": NEW_ORDERS,
     "ingest_partitioned_hot": ALL_LINEITEM,
@@ -104,6 +112,43 @@ ORACLE: dict[str, str] = {
         "SELECT * FROM orders WHERE o_orderdate"
         " IN (TIMESTAMP '1998-06-14 00:00:00', TIMESTAMP '1998-06-15 00:00:00')"
     ),
+    "replace_day_moved_keys": f"""
+        SELECT * FROM ({MOVED_ORDERS}) AS t
+        WHERE o_orderdate IN (TIMESTAMP '1998-06-14 00:00:00', TIMESTAMP '1998-06-15 00:00:00')
+    """,
+    "replace_day_emptied": (
+        f"SELECT * FROM ({MOVED_ORDERS}) AS t WHERE o_orderdate = TIMESTAMP '1998-06-14 00:00:00'"
+    ),
+    "source_evolved_files": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+               CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority
+        FROM orders
+    """,
+    "source_partitioned_files": (
+        "SELECT o_orderkey, lpad(CAST(o_custkey % 12 AS VARCHAR), 3, '0') AS k FROM orders"
+    ),
+    "daily_whole_day_partitioned": (
+        "SELECT * FROM events"
+        " WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-11 00:00:00'"
+    ),
+    "incremental_text_continues": """
+        SELECT o_orderkey,
+               concat(' ', chr(39), lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), chr(39), ' ') AS mark
+        FROM orders
+    """,
+    "incremental_instant_continues": """
+        SELECT o_orderkey,
+               strftime(TIMESTAMP '2024-06-01 12:00:00' + to_seconds(o_orderkey), '%Y-%m-%d %H:%M:%S')
+                   AS mark
+        FROM orders
+    """,
+    # NaN is above every mark, so the second run takes it again.
+    "incremental_double_continues": """
+        SELECT o_orderkey, CASE WHEN o_orderkey = 699 THEN 'NaN' ELSE o_orderkey || '.0' END AS mark
+        FROM orders
+        UNION ALL SELECT o_orderkey, 'NaN' FROM orders WHERE o_orderkey = 699
+    """,
+    "job_targets_files": "SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey",
     "job_daily": ORDERS_OF_DAY,
     "job_daily_files": ORDERS_OF_DAY,
     "job_by_mode": COUNTS,

@@ -143,8 +143,6 @@ def ingest_partitioned_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, table = dated_orders(spark, sf_dir)
     split = {
         "partitionColumn": "o_orderdate",
-        "lowerBound": "1993-01-01",
-        "upperBound": "1998-01-01",
         "numPartitions": "4",
     }
     return read_table(spark, source, job(table, **split), COMPLETELY)
@@ -229,6 +227,90 @@ def sink_replace_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(spark, sink, daily, read_table(spark, source, daily, COMPLETELY))
 
 
+def moved_day(spark: SparkSession, sf_dir: str, second: str) -> DataFrame:
+    """Two days copied twice with the order status below them; in between the rows change."""
+    sink, source = new_sink(spark), new_sink(spark)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    daily = job(
+        "orders",
+        DAILY,
+        checkColumn="o_orderdate",
+        partitionKeys="o_orderdate,o_orderstatus",
+        replacePartitions="true",
+    )
+    status = F.when(F.col("o_orderkey") % 2 == 0, "moved").otherwise(F.col("o_orderstatus"))
+    for rows in (orders, orders.withColumn("o_orderstatus", status).where(second)):
+        rows.write.mode("overwrite").parquet(target_path(source, daily))
+        for as_of in ("1998-06-15", ORDER_DAY_AFTER):
+            ingest_table(spark, daily, source, sink, DAILY, as_of=as_of)
+    return read_back(spark, sink, daily, orders)
+
+
+def replace_day_moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return moved_day(spark, sf_dir, "true")
+
+
+def replace_day_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return moved_day(spark, sf_dir, "o_orderdate <> TIMESTAMP '1998-06-15 00:00:00'")
+
+
+def source_evolved_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset whose later files have a column more."""
+    source, orders = new_sink(spark), spark.read.parquet(f"{sf_dir}/orders.parquet")
+    copy, half = job("orders"), F.col("o_orderkey") % 2 == 0
+    orders.where(half).drop("o_orderpriority").write.parquet(target_path(source, copy))
+    orders.where(~half).write.mode("append").parquet(target_path(source, copy))
+    return read_table(spark, source, copy, COMPLETELY).select(orders.columns)
+
+
+def source_partitioned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset in folders whose names look like numbers but are not."""
+    source, orders = new_sink(spark), spark.read.parquet(f"{sf_dir}/orders.parquet")
+    copy, key = job("orders"), F.format_string("%03d", F.col("o_custkey") % 12)
+    rows = orders.select("o_orderkey", key.alias("k"))
+    rows.write.partitionBy("k").parquet(target_path(source, copy))
+    return read_table(spark, source, copy, COMPLETELY)
+
+
+def daily_whole_day_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, sink = exported(sf_dir), new_sink(spark)
+    daily = job("events", DAILY, checkColumn="ts", wholeDay="true", partitionKeys="ts")
+    ingest_table(spark, daily, source, sink, DAILY, as_of=EVENT_DAY_AFTER)
+    return read_back(spark, sink, daily, read_table(spark, source, daily, COMPLETELY))
+
+
+def continued(check: str, first: str, *zones: str) -> Query:
+    """Two strict runs over orders that arrive in two halves: the target is the whole."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source, sink = new_sink(spark), new_sink(spark)
+        orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+        orders = orders.select("o_orderkey", F.expr(check).alias("mark"))
+        last, zone = first, spark.conf.get("spark.sql.session.timeZone")
+        halves = (F.col("o_orderkey") < SPLIT_KEY, F.col("o_orderkey") >= SPLIT_KEY)
+        for half, own_zone in zip(halves, zones):
+            strict = {"checkColumn": "mark", "lastValue": last, "inclusive": "false"}
+            copy = job("orders", INCREMENTALLY, **strict)
+            orders.where(half).write.mode("append").parquet(target_path(source, copy))
+            spark.conf.set("spark.sql.session.timeZone", own_zone)
+            try:
+                last = ingest_table(spark, copy, source, sink, INCREMENTALLY).last_value
+            finally:
+                spark.conf.set("spark.sql.session.timeZone", zone)
+        rows = read_back(spark, sink, copy, orders)
+        return rows.select("o_orderkey", rows["mark"].cast("string").alias("mark"))
+
+    return query
+
+
+SPLIT_KEY = 700
+# Blanks and quotes around the text, in the order of the keys.
+QUOTED = """concat(" '", format_string('%09d', o_orderkey), "' ")"""
+MOMENT = "timestamp_seconds(o_orderkey + 1717243200)"
+# The highest value of the first half is NaN.
+MEASURE = f"if(o_orderkey = {SPLIT_KEY - 1}, double('NaN'), double(o_orderkey))"
+
+
 # Whole runs
 
 
@@ -266,6 +348,15 @@ def complete_run(spark: SparkSession, source: Endpoint) -> DataFrame:
     return result.select("table_name", "rows")
 
 
+def job_targets_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run over several tables has written."""
+    source, sink = exported(sf_dir), new_sink(spark, "orc")
+    tables = [job("region"), job("nation")]
+    run(spark, {"source": source, "sink": sink}, tables, "source", "sink", COMPLETELY)
+    region, nation = (spark.read.orc(target_path(sink, table)) for table in tables)
+    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
+
+
 def job_by_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_run(spark, derby.with_tables(spark, sf_dir, "orders", "nation"))
 
@@ -364,8 +455,6 @@ QUERIES: dict[str, Query] = {
         "orders",
         COMPLETELY,
         partitionColumn="o_orderkey",
-        lowerBound="0",
-        upperBound="15000",
         numPartitions="4",
     ),
     "ingest_partitioned_time": from_database(
@@ -377,14 +466,29 @@ QUERIES: dict[str, Query] = {
         numPartitions="4",
     ),
     "ingest_partitioned_date": ingest_partitioned_date,
+    # Bounds far inside the values: the outer ranges are open, so all rows come.
+    "ingest_partitioned_narrow": from_database(
+        "orders",
+        COMPLETELY,
+        partitionColumn="o_orderkey",
+        lowerBound="100",
+        upperBound="200",
+        numPartitions="4",
+    ),
+    "ingest_partitioned_daily": from_database(
+        "orders",
+        DAILY,
+        as_of=ORDER_DAY_AFTER,
+        checkColumn="o_orderdate",
+        partitionColumn="o_orderkey",
+        numPartitions="4",
+    ),
     "ingest_partitioned_incremental": from_database(
         "orders",
         INCREMENTALLY,
         checkColumn="o_orderkey",
         lastValue=LAST_KEY,
         partitionColumn="o_orderkey",
-        lowerBound="0",
-        upperBound="15000",
         numPartitions="4",
     ),
     "ingest_partitioned_balanced": from_database(
@@ -422,6 +526,17 @@ QUERIES: dict[str, Query] = {
         "lineitem", partitionKeys="l_returnflag, l_linestatus", rebalance="true"
     ),
     "sink_replace_day": sink_replace_day,
+    "replace_day_moved_keys": replace_day_moved_keys,
+    "replace_day_emptied": replace_day_emptied,
+    "source_evolved_files": source_evolved_files,
+    "source_partitioned_files": source_partitioned_files,
+    "daily_whole_day_partitioned": daily_whole_day_partitioned,
+    "incremental_text_continues": continued(QUOTED, "''", "UTC", "UTC"),
+    "incremental_instant_continues": continued(
+        MOMENT, "2000-01-01 00:00:00Z", "UTC", "America/New_York"
+    ),
+    "incremental_double_continues": continued(MEASURE, "-1", "UTC", "UTC"),
+    "job_targets_files": job_targets_files,
     "job_daily": job_daily,
     "job_daily_files": job_daily_files,
     "job_by_mode": job_by_mode,

@@ -7,6 +7,7 @@ spark-submit --py-files sluice.zip submit.py --endpointsConfigPath ... --tablesC
 from __future__ import annotations
 
 import argparse
+import logging
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,7 @@ def main() -> None:
         help="how many tables are in work at a time",
     )
     arguments = vars(parser.parse_args())
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     spark = SparkSession.builder.appName("sluice").getOrCreate()
     run_from_files(spark, **arguments).show(truncate=False)
     spark.stop()

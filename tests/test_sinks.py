@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from datetime import date
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -89,12 +90,40 @@ def test_unknown_partition_key(spark, tmp_path):
     assert not data_files(tmp_path)
 
 
-def test_replaced_partitions(spark, tmp_path):
+DAY = date(2024, 1, 10)
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "timestamp_ntz"])
+def test_a_replaced_day(spark, tmp_path, kind):
     sink = file_sink(tmp_path)
+    job = table_job(mode="daily", partitionKeys="d,k", checkColumn="d", replacePartitions="true")
+
+    def day(text, *pairs):
+        df = keyed(spark, *pairs).withColumn("d", F.lit(text).cast(kind))
+        write_table(df, sink, job, "daily", date.fromisoformat(text))
+
+    day("2024-01-10", ("a", 1), ("b", 2))
+    day("2024-01-11", ("a", 7))
+    assert read(spark, sink, job) == [("a", 1), ("a", 7), ("b", 2)]
+    day("2024-01-10", ("c", 1))  # one row has another second key, the other is gone
+    assert read(spark, sink, job) == [("a", 7), ("c", 1)]
+    day("2024-01-10")
+    assert read(spark, sink, job) == [("a", 7)]
+
+
+def test_a_replaced_day_with_times(spark, tmp_path):
+    sink = file_sink(tmp_path)
+    job = table_job(mode="daily", partitionKeys="D", checkColumn="d", replacePartitions="true")
+    for times in (["2024-01-10 01:00:00", "2024-01-10 02:30:00.5"], ["2024-01-10 02:00:00"]):
+        rows = spark.createDataFrame([("a", i, t) for i, t in enumerate(times)], "k string, v int, d string")
+        write_table(rows.withColumn("d", F.col("d").cast("timestamp_ntz")), sink, job, "daily", DAY)
+    assert read(spark, sink, job) == [("a", 0)]
+
+
+def test_replacing_needs_the_day(spark, tmp_path):
     job = table_job(mode="daily", partitionKeys="k", checkColumn="k", replacePartitions="true")
-    write_table(keyed(spark, ("a", 1), ("b", 2)), sink, job, "daily")
-    write_table(keyed(spark, ("b", 3), ("c", 4)), sink, job, "daily")
-    assert read(spark, sink, job) == [("a", 1), ("b", 3), ("c", 4)]
+    with pytest.raises(ValueError, match="day"):
+        write_table(keyed(spark, ("a", 1)), file_sink(tmp_path), job, "daily")
 
 
 def test_writer_options(spark, tmp_path):
@@ -133,6 +162,5 @@ def test_keys_of_any_name(spark, tmp_path):
 
 def test_rebalancing_needs_adaptive_execution(spark, change):
     change("spark.sql.adaptive.enabled", "false")
-    with pytest.warns(UserWarning, match="adaptive"):
-        df = spread_rows(keyed(spark, ("a", 1)), ["k"])
-    assert "Exchange" not in plan_of(df) and df.count() == 1
+    with pytest.raises(ValueError, match="adaptive"):
+        spread_rows(keyed(spark, ("a", 1)), ["k"])
