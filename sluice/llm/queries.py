@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
+    import public_tokenizers  # where the vocabulary files are on this machine
+
     return packing.packed(
         docs,
         public_tokenizers.path("byte_bpe_50k.json"),
