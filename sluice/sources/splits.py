@@ -7,6 +7,7 @@ decide how even the parts become. Spark reads each condition in a task of its ow
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterable
 from datetime import datetime
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
     NumericType,
     StructField,
     TimestampNTZType,
@@ -25,9 +29,13 @@ from pyspark.sql.types import (
 
 from sluice.functions.columns import column
 
-# How finely cuts are estimated: to a twentieth of a range. Finer sketches grow, and all of
-# them meet in one task.
-ACCURACY_PER_PART = 20
+# Size of the sketches by which cuts are estimated, whatever the number of ranges: some hundred
+# kilobytes each, right to less than a thousandth of the rows.
+SKETCH = 4096
+
+# Cuts taken from one sketch of all rows, about the finest that it can tell. Finer ones come from a
+# sketch for each range between these.
+COARSE = 64
 
 
 def clock_zone(spark: SparkSession) -> str:
@@ -98,11 +106,53 @@ class SplitColumn:
         row = self._spark.sql("SELECT * FROM VALUES (1) AS one(row)")
         return row.select(F.when((begin > low) & (begin < high), text)).collect()[0][0] or lower
 
-    def quantiles(self, parts: int) -> Column:
-        """The values that cut the rows into equal parts; a frequent one comes repeatedly."""
-        shares = [i / parts for i in range(1, parts)]
-        cuts = F.percentile_approx(self.values, shares, ACCURACY_PER_PART * parts)
-        return F.transform(cuts, self.on_clock) if self._is_instant else cuts
+    def sketch(self) -> Column:
+        """A summary of the values, of bounded size, for ``quantiles``."""
+        if self._is_whole:
+            return F.kll_sketch_agg_bigint(self._as_number(), F.lit(SKETCH))
+        value = self._as_number()
+        finite = F.abs(value) < F.lit(math.inf)  # neither infinite nor NaN
+        return F.kll_sketch_agg_double(F.when(finite, value), F.lit(SKETCH))
+
+    def quantiles(self, sketch: str, parts: int) -> Column:
+        """The values that cut the rows into equal parts; a frequent one comes repeatedly. NULL
+        if there is none."""
+        kind = "bigint" if self._is_whole else "double"
+        number = F.call_function(f"kll_sketch_get_n_{kind}", F.col(sketch))
+        shares = F.lit([i / parts for i in range(1, parts)])
+        cuts = F.call_function(f"kll_sketch_get_quantile_{kind}", F.col(sketch), shares)
+        return F.when(number > 0, F.transform(cuts, self._from_number))
+
+    @property
+    def _is_whole(self) -> bool:
+        return not isinstance(self._field.dataType, (DecimalType, DoubleType, FloatType))
+
+    def _as_number(self) -> Column:
+        """The value as a whole number or a double: days for dates, microseconds for times."""
+        dtype, value = self._field.dataType, self.values
+        if isinstance(dtype, DateType):
+            return F.unix_date(value).cast("bigint")
+        if isinstance(dtype, TimestampType):
+            return F.unix_micros(value)
+        if isinstance(dtype, TimestampNTZType):
+            seconds = F.hour(value) * 3600 + F.minute(value) * 60 + F.extract(F.lit("SECOND"), value)
+            day = F.unix_date(value.cast("date")).cast("bigint")
+            return day * 86_400_000_000 + (seconds * 1_000_000).cast("bigint")
+        return value.cast("bigint" if self._is_whole else "double")
+
+    def _from_number(self, number: Column) -> Column:
+        dtype = self._field.dataType
+        if isinstance(dtype, DateType):
+            return F.date_from_unix_date(number.cast("int"))
+        if isinstance(dtype, TimestampType):
+            return self.on_clock(F.timestamp_micros(number))
+        if isinstance(dtype, TimestampNTZType):
+            # Whole days and the rest apart: the clock has no zone.
+            day = F.floor(number / F.lit(86_400_000_000)).cast("int")
+            rest = (number - day.cast("bigint") * 86_400_000_000).cast("decimal(18,6)") / 1_000_000
+            since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), rest.cast("decimal(18,6)"))
+            return F.date_from_unix_date(day).cast("timestamp_ntz") + since
+        return number.cast(dtype)
 
     def on_clock(self, value: Column) -> Column:
         """An instant as the database's clock shows it, which is what its SQL compares."""
@@ -163,27 +213,33 @@ def balanced_ranges(
     A value that alone fills several ranges, NULL included, is split further by the second
     column, if there is one. ``load`` reads the rows that meet each of some conditions, one
     partition per condition. What is read is just the column in question, in even strides
-    between the ``bounds`` of the last column, and summarised within each partition; what
-    reaches the driver is the cut points.
+    between the ``bounds`` of the last column, and summarised within each partition by a sketch
+    of bounded size. All sketches meet for a few coarse cuts; finer ones take a second pass, in
+    strides between the coarse cuts, whose sketches meet by range. What reaches the driver is
+    about one cut per range.
     """
     if parts == 1:
         return None
     first, last = columns[0], columns[-1]
-    known = [limit for limit in _finite(bounds) if limit is not None]
+    known = _finite(bounds)
 
     def strides(number: int) -> list[str] | None:
         return last.ranges(even_cuts(*known, number)) if len(known) == 2 else None
 
+    coarse = min(parts, COARSE)
     seen = (
         load(strides(parts))
         .agg(
-            first.quantiles(parts).alias("cuts"),
+            first.sketch().alias("sketch"),
             F.count(F.lit(1)).alias("rows"),
             F.count(first.values).alias("known"),
         )
+        .select(first.quantiles("sketch", coarse).alias("cuts"), "rows", "known")
         .first()
     )
     cuts = Counter(_finite(seen.cuts))
+    if parts > coarse and cuts:
+        cuts = _finer(first, cuts, -(-parts // coarse), load)
     null_shares = (seen.rows - seen.known) * parts // max(seen.rows, 1)
     ranges = first.ranges(sorted(cuts), nulls_apart=null_shares > 1)
     if not ranges or len(columns) == 1:
@@ -197,21 +253,49 @@ def balanced_ranges(
     if not hot:
         return ranges
     pieces = [(i, one) for i in hot for one in both([ranges[i]], strides(shares[i]))]
-    owners = F.array(*[F.lit(i) for i, _ in pieces])
+    owners, most = F.lit([i for i, _ in pieces]), max(shares)
+    share = F.element_at(F.lit(shares), F.col("range") + 1)
     found = (
         load([condition for _, condition in pieces])
         .groupBy(F.element_at(owners, F.spark_partition_id() + 1).alias("range"))
-        .agg(last.quantiles(parts).alias("cuts"))
+        .agg(last.sketch().alias("sketch"))
+        .select("range", last.quantiles("sketch", most).alias("cuts"))
+        # Of evenly spaced cuts those that the range needs: as many as it is worth.
+        .select(
+            "range",
+            F.transform(
+                F.sequence(F.lit(1), share - 1),
+                lambda i: F.element_at("cuts", F.floor(i * most / share).cast("int")),
+            ).alias("cuts"),
+        )
         .collect()
     )
-    inner = {row.range: _finite(row.cuts) for row in found}
-    split = [
-        both([condition], last.ranges(_thinned(inner.get(i, []), shares[i])))
-        for i, condition in enumerate(ranges)
-    ]
+    inner = {row.range: sorted(set(_finite(row.cuts))) for row in found}
+    split = [both([condition], last.ranges(inner.get(i, []))) for i, condition in enumerate(ranges)]
     return list(chain(*split))
 
 
+def _finer(first: SplitColumn, coarse: Counter, pieces: int, load: Callable) -> Counter:
+    """Cuts of ``pieces`` parts in each range between coarse cuts, those included."""
+    limits = sorted(coarse)
+    steps = [low_high for low_high in pairwise(limits)]
+    reading = sorted({*limits, *chain(*[even_cuts(low, high, pieces) for low, high in steps])})
+    # The range between limits in which each partition lies; the first partition is below all.
+    owners = [0, *[bisect_right(limits, cut) for cut in reading]]
+    found = (
+        load(first.ranges(reading))
+        .groupBy(F.element_at(F.lit(owners), F.spark_partition_id() + 1).alias("range"))
+        .agg(first.sketch().alias("sketch"))
+        .select(first.quantiles("sketch", pieces).alias("cuts"))
+        .collect()
+    )
+    cuts = Counter(chain(*[_finite(row.cuts) for row in found]))
+    for cut, times in coarse.items():
+        # A value that is several coarse cuts fills the ranges between them.
+        cuts[cut] += 1 + (times - 1) * pieces
+    return cuts
+
+
 def both(conditions: list[str], others: list[str] | None) -> list[str]:
     """Each of the conditions together with each of the others, if there are any."""
     if not others:
@@ -219,10 +303,6 @@ def both(conditions: list[str], others: list[str] | None) -> list[str]:
     return [f"({one}) AND ({other})" for one in conditions for other in others]
 
 
-def _thinned(cuts: list, parts: int) -> list:
-    """Of many evenly spaced cuts those that are left for ``parts`` ranges."""
-    return sorted({cuts[len(cuts) * i // parts] for i in range(1, parts)}) if cuts else []
-
-
 def _finite(cuts: Iterable | None) -> list:
-    return [c for c in cuts or [] if not (isinstance(c, float) and not math.isfinite(c))]
+    known = [c for c in cuts or [] if c is not None]
+    return [c for c in known if not (isinstance(c, float) and not math.isfinite(c))]

@@ -441,6 +441,38 @@ def test_every_row_meets_one_condition(spark, first, second, cuts, inner_cuts, n
     assert duck.sql(f"SELECT COUNT(*) FROM t WHERE {hits} <> 1").fetchall() == [(0,)]
 
 
+@pytest.mark.parametrize("parts", [100, 300])
+def test_many_balanced_ranges(spark, parts):
+    """Cuts of a skewed column, found in two levels; a third of the rows has one value."""
+    value = F.when(F.col("id") % 3 == 0, 5_000_000).otherwise((F.col("id") * F.col("id")) % 10_000_019)
+    df = spark.range(0, 300_000, 1, 8).select(value.alias("k"), "id")
+    columns = [SplitColumn(spark, "jdbc:x:y", df.schema[name]) for name in ("k", "id")]
+
+    def load(conditions):
+        if conditions is None:
+            return df
+        which = F.lit(0)
+        for i, condition in reversed(list(enumerate(conditions))):
+            which = F.when(F.expr(condition.replace('"', "`")), i).otherwise(which)
+        # A partition for each condition, as the reader has them.
+        rows = df.withColumn("part", which).repartitionByRange(len(conditions), "part")
+        return rows if len(conditions) < 3 else spread(rows, len(conditions))
+
+    def spread(rows, n):
+        keyed = rows.rdd.map(lambda r: (r.part, (r.k, r.id))).partitionBy(n, int).values()
+        return spark.createDataFrame(keyed, "k long, id long")
+
+    ranges = balanced_ranges(columns[:1], parts, load, (0, 10_000_019))
+    assert 0.5 * parts <= len(ranges) <= 1.2 * parts
+    duck = duckdb.connect()
+    table = df.toPandas()
+    duck.register("t", table)
+    counts = [duck.sql(f"SELECT count(*) FROM t WHERE {c}").fetchall()[0][0] for c in ranges]
+    counts.sort()
+    assert sum(counts) == 300_000 and counts[-1] >= 100_000  # the one value, whole
+    assert counts[-2] <= 1.6 * 300_000 / parts
+
+
 def test_nothing_to_split_by(spark):
     source, table = database(spark, [(None, 1), (None, 2), (None, None)], "k int, id int")
     options = {"tableName": table, "numPartitions": "4", "balanceReads": "true"}
