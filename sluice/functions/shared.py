@@ -6,10 +6,17 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _own_folder() -> tempfile.TemporaryDirectory:
+    """For local mode, where driver and tasks are one process; gone when that ends."""
+    return tempfile.TemporaryDirectory(prefix="sluice-")
+
+
 def fresh_folder(spark: SparkSession) -> str:
     """An unused path in the shared folder of the cluster; in local mode it may be any folder."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -17,7 +24,7 @@ def fresh_folder(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.gettempdir()
+        shared = _own_folder().name
     return f"{shared.rstrip('/')}/sluice-{uuid.uuid4().hex}"
 
 
