@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +15,34 @@ from sluice.functions.shared import fresh_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+class Lexicon(dict):
+    """Numbers for words, given when they are first asked for, and values made once for each.
+
+    ``kinds`` are the type codes of the values that ``make`` gives. Emptied between two texts once it
+    holds ``most`` words.
+    """
+
+    def __init__(self, make: Callable, kinds: str, most: int = 300_000):
+        super().__init__()
+        self.make, self.columns, self.most = make, [array(kind) for kind in kinds], most
+
+    def __missing__(self, word) -> int:
+        for column, value in zip(self.columns, self.make(word)):
+            column.append(value)
+        self[word] = number = len(self)
+        return number
+
+    def look_up(self, words: list) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The numbers of the words of one text, and their values."""
+        if len(self) > self.most:
+            self.clear()
+            self.columns = [array(column.typecode) for column in self.columns]
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if not len(words):
+            return numbers, [np.zeros(0, column.typecode) for column in self.columns]
+        return numbers, [np.frombuffer(column, column.typecode)[numbers] for column in self.columns]
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder (``spark.checkpoint.dir``) and read from there.
 

@@ -16,7 +16,6 @@ score is 0.5. All rows are kept, repeated ones included.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import free_name, labelled_sample
+from sluice.llm.common import Lexicon, free_name, labelled_sample
 
 BITS = 18
 CELLS = 1 << BITS
@@ -34,38 +33,46 @@ ROUNDS, COST, SEED = 20, 1.0, 11
 CUT = 0.5
 #: How steep the score is in the distance from the plane.
 STEEP = 4.0
-BLANKS = re.compile(r"[\x20\x09-\x0D]+")
-REMEMBERED = 200_000
 
 
-class Shapes(dict):
-    """Shapes of words, made when first asked for."""
+#: Mixed into the hashes of n-grams of each kind.
+KINDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
+STEP = np.uint64(0xD6E8FEB86659FD93)
+SAME = np.uint64(zlib.crc32(b"="))
 
-    def __missing__(self, word: str) -> str:
-        out, last = [], ""
-        for c in word:
-            kind = "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "c" if c.isalpha() else c
-            if kind != last:
-                out.append(kind)
-            last = kind
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = shape = "".join(out)
-        return shape
 
+def shape_of(word: str) -> str:
+    out, last = [], ""
+    for c in word:
+        kind = "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "c" if c.isalpha() else c
+        if kind != last:
+            out.append(kind)
+        last = kind
+    return "".join(out)
 
-def cells_of(text: str | None, shapes: Shapes) -> np.ndarray:
+
+def hashes_of(raw: bytes) -> tuple[int, int]:
+    """Hashes of a word in lower case and of its shape."""
+    word = raw.decode()
+    return zlib.crc32(word.lower().encode()), zlib.crc32(shape_of(word).encode(), 1)
+
+
+def lexicon() -> Lexicon:
+    return Lexicon(hashes_of, "QQ")
+
+
+def cells_of(text: str | None, known: Lexicon) -> np.ndarray:
     """The cells of all n-grams of a text, each once, in order."""
-    words = [w for w in BLANKS.split(text or "") if w]
-    forms = list(map(shapes.__getitem__, words))
-    for place in range(1, len(words)):
-        if words[place] == words[place - 1]:
-            forms[place] = "="
-    small = [w.lower() for w in words]
-    grams = {("w", w) for w in small} | {("p", *x) for x in zip(small, small[1:])}
-    grams |= {("s", x) for x in forms} | {("s", *x) for x in zip(forms, forms[1:])}
-    grams |= {("s", *x) for x in zip(forms, forms[1:], forms[2:])}
-    return np.unique(np.array([zlib.crc32(" ".join(g).encode()) & (CELLS - 1) for g in grams], np.int64))
+    numbers, (words, shapes) = known.look_up((text or "").encode().split())  # at the six blanks alone
+    shapes[1:][numbers[1:] == numbers[:-1]] = SAME
+    grams = [words, words[:-1] * STEP + words[1:], shapes, shapes[:-1] * STEP + shapes[1:]]
+    grams.append((shapes[:-2] * STEP + shapes[1:-1]) * STEP + shapes[2:])
+    marked = np.zeros(CELLS, bool)
+    for kind, gram in zip(KINDS, grams):
+        mixed = (gram + kind) * STEP
+        mixed ^= mixed >> np.uint64(29)
+        marked[(mixed * kind) >> np.uint64(64 - BITS)] = True
+    return np.flatnonzero(marked)
 
 
 def ratios(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
@@ -127,9 +134,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     """Learn from at most ``per_class`` documents of each label; None without both labels."""
 
     def indicated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shapes = Shapes()
+        known = lexicon()
         for batch in batches:
-            cells = [cells_of(text, shapes) for text in batch["text"]]
+            cells = [cells_of(text, known) for text in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "cells": cells})
 
     def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -161,9 +168,9 @@ def score(df: DataFrame, model: Model | None, text: str = "text") -> Column:
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        shapes, learnt = Shapes(), shared.value
+        known, learnt = lexicon(), shared.value
         for batch in batches:
-            yield pd.Series([learnt.score(cells_of(value, shapes)) for value in batch], dtype=float)
+            yield pd.Series([learnt.score(cells_of(value, known)) for value in batch], dtype=float)
 
     return scored(F.col(text))
 

@@ -15,12 +15,21 @@ def test_accuracy_on_held_out_rows(spark, tables):
 
 
 def test_ngrams_of_a_text():
-    shapes = quality.Shapes()
-    assert [shapes[w] for w in ("Word", "a1b", "x###", "|", "É!!", "漢字")] == ["Aa", "a0a", "a###".replace("###", "#"), "|", "A!", "c"]
-    once, twice = quality.cells_of("one two", shapes), quality.cells_of("one two one two one", shapes)
+    known = quality.lexicon()
+    words = ("Word", "a1b", "x###", "|", "É!!", "漢字")
+    assert [quality.shape_of(w) for w in words] == ["Aa", "a0a", "a#", "|", "A!", "c"]
+    once, twice = quality.cells_of("one two", known), quality.cells_of("one two one two one", known)
     assert set(once) < set(twice)
-    assert len(quality.cells_of(None, shapes)) == len(quality.cells_of(" \n", shapes)) == 0
-    assert len(quality.cells_of("a a a a a a", shapes)) == len(quality.cells_of("a a a a a a a a a", shapes))
+    assert len(quality.cells_of(None, known)) == len(quality.cells_of(" \n", known)) == 0
+    assert len(quality.cells_of("a a a a a a", known)) == len(quality.cells_of("a a a a a a a a a", known))
+
+
+def test_a_full_lexicon_is_emptied_between_texts():
+    text = " ".join(f"w{i % 70} x{i}" for i in range(300))
+    known = quality.lexicon()
+    small = quality.Lexicon(quality.hashes_of, "QQ", most=10)
+    for _ in range(3):
+        assert (quality.cells_of(text, known) == quality.cells_of(text, small)).all()
 
 
 def test_ratios():
