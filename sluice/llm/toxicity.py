@@ -22,6 +22,7 @@ every score is 0. All rows are kept, repeated ones included.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import free_name, labelled_sample, stored
+from sluice.llm.common import Lexicon, free_name, labelled_sample, stored
 
 TOKEN = re.compile(r"[^\W\d_]+")
 BITS = 20
@@ -44,8 +45,6 @@ CUT = 0.7
 PER_CLASS = 10_000
 #: Candidates for lambda.
 LAMBDAS = np.round(np.arange(0.1, 2.01, 0.1), 1)
-#: Scores remembered per task; the memory is emptied when it is full.
-REMEMBERED = 300_000
 
 
 def tokens_of(text: str | None) -> list[str]:
@@ -61,33 +60,20 @@ def cells_of(token: str) -> tuple[int, int, int]:
     )
 
 
-class Scores(dict):
-    """Scores by token, computed when first asked for."""
+def score_of(token: str, toxic: np.ndarray, clean: np.ndarray, base: float) -> float:
+    rate = base
+    for cell in cells_of(token):
+        bad = float(toxic[cell]) + PRIOR * rate
+        good = float(clean[cell]) + PRIOR * (1 - rate)
+        rate = bad / (bad + good)
+    odds = math.log(bad / good) - math.log(base / (1 - base))
+    error = math.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
+    return min(max(odds - error - DRIFT, -MOST), MOST)
 
-    def __init__(self, toxic: np.ndarray, clean: np.ndarray, rate: float):
-        super().__init__()
-        self.toxic, self.clean, self.rate = toxic, clean, rate
 
-    def __missing__(self, token: str) -> float:
-        rate = self.rate
-        for cell in cells_of(token):
-            toxic = float(self.toxic[cell]) + PRIOR * rate
-            clean = float(self.clean[cell]) + PRIOR * (1 - rate)
-            rate = toxic / (toxic + clean)
-        odds = np.log(toxic / clean) - np.log(self.rate / (1 - self.rate))
-        error = np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
-        score = float(np.clip(odds - error - DRIFT, -MOST, MOST))
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[token] = score
-        return score
-
-
-def scored(words: list[str], known: Scores) -> np.ndarray:
-    scores = np.fromiter(map(known.__getitem__, words), np.float64, len(words))
-    for place in np.flatnonzero(scores[1:] == scores[:-1]).tolist():
-        if words[place] == words[place + 1]:
-            scores[place + 1] = -DRIFT
+def scored(tokens: list[str], known: Lexicon) -> np.ndarray:
+    numbers, (scores,) = known.look_up(tokens)
+    scores[1:][numbers[1:] == numbers[:-1]] = -DRIFT
     return scores
 
 
@@ -139,8 +125,8 @@ class Model:
         self.toxic, self.clean, self.rate = toxic, clean, rate
         self.spread, self.chance, self.slope, self.middle = spread, chance, slope, middle
 
-    def scores(self) -> Scores:
-        return Scores(self.toxic, self.clean, self.rate)
+    def scores(self) -> Lexicon:
+        return Lexicon(lambda token: (score_of(token, self.toxic, self.clean, self.rate),), "d")
 
     def probability(self, evidence):
         shift = np.log(CUT / (1 - CUT))
