@@ -7,7 +7,6 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from sluice.llm import simhash
 from sluice.llm.graph import components
