@@ -22,7 +22,7 @@ class Lexicon(dict):
     holds ``most`` words.
     """
 
-    def __init__(self, make: Callable, kinds: str, most: int = 300_000):
+    def __init__(self, make: Callable, kinds: str, most: int = 100_000):
         super().__init__()
         self.make, self.columns, self.most = make, [array(kind) for kind in kinds], most
 
