@@ -1,7 +1,9 @@
 """Secret scan: candidates by shape, false positives removed by a random forest. No Python on the rows.
 
-A candidate is what ends a blank-separated token as a run of 12 or more key characters with a digit, or
-of 16 capitals, without quotes and an assignment before it. Its features: length, transitions between
+A candidate is any run of 12 or more key characters with a digit, or of 16 capitals, in a blank-separated
+token, so that JSON, query strings and lists give one for each value. Quotes, an assignment and leading names
+with a colon (``password:``) are not part of it, but of the text before. A key within a path or an
+address is not told from it. Its features: length, transitions between
 character classes, shares of digits, capitals and hex digits, distinct characters, coverage by
 dictionary words, parts of a path or address, and the neighbouring words: credential names, names
 of checksums and revisions, words of examples, an assignment.
@@ -32,8 +34,21 @@ BLANKS = r"[\x20\x09-\x0D]+"
 #: Documents without a match have no candidate.
 HINT = r"[0-9]|[A-Z]{16}"
 CLASS = r"A-Za-z0-9+/_@.:\-"
-#: Possessive and only tried where a run starts: linear in the length of the token.
-VALUE = rf"(?<![{CLASS}])([{CLASS}]{{12,}}+={{0,2}}+)[^A-Za-z0-9]*+$"
+#: Letters and up to three digits at their end, which is not what keys look like.
+NAME = r"(?![A-Z]{16})[A-Za-z][A-Za-z_.\-]*+[0-9]{0,3}+"
+ASSIGNED = r"[\"']?[A-Za-z0-9+/_\-]"
+#: Possessive and only tried where a run starts: linear in the length of the token. Not a name that something is
+#: assigned to; ``=`` ends a run unless something is assigned by it.
+VALUE = (
+    rf"(?<![{CLASS}])(?!{NAME}(?:[\"']?={ASSIGNED}|[\"']:))"
+    rf"([{CLASS}]{{12,}}+(?:={{1,2}}+(?!{ASSIGNED}))?+)"
+)
+#: A run and what lies between it and the run before. Tried once from each end of a match, so linear too.
+PIECE = rf"(?s)\G.*?{VALUE}"
+#: Names before a value, unless they are the start of an address, of bytes in hex digits, or a key.
+NAMED = rf"^(?![0-9A-Fa-f]{{2}}:[0-9A-Fa-f]{{2}}:)(?:{NAME}:(?!//)){{1,9}}+"
+#: The fields of a token before the one whose name stands right before a value.
+OTHERS = r"^.*[,;&?{(|](?=[\"']?[A-Za-z_][A-Za-z0-9_.\-]*[\"']?[=:]\W*$)"
 CREDENTIAL = r"passw|passphrase|pwd|secret|token|api[_\-]?key|access[_\-]?key|auth|credential|private"
 CHECKSUM = r"commit|sha[0-9]*|md5|hash|checksum|digest|revision|uuid|\bid\b|isbn|build"
 EXAMPLE = r"example|sample|dummy|placeholder|test|fake|your"
@@ -59,25 +74,63 @@ def with_candidates(df: DataFrame, into: str, text: str = "text") -> DataFrame:
     words = F.when(F.col(text).rlike(HINT), F.split(F.col(text), BLANKS)).otherwise(F.array().cast("array<string>"))
     words = F.coalesce(words, F.array().cast("array<string>"))
 
-    def detail(x: Column) -> Column:
-        def word(step: int) -> Column:
-            return F.coalesce(F.get(F.col(tokens), x["position"] + step), F.lit(""))
+    def word(x: Column, step: int) -> Column:
+        return F.coalesce(F.get(F.col(tokens), x["position"] + step), F.lit(""))
+
+    def runs(x: Column) -> Column:
+        """The runs of a token, each with what lies before it in the token."""
+        reach = NEAR // 12 + 1  # pieces before, of 12 characters at least
+
+        def run(piece: Column, i: Column) -> Column:
+            first = F.greatest(i - reach, F.lit(0))
+            return F.struct(
+                x["position"].alias("position"),
+                F.regexp_extract(piece, rf"{VALUE}\z", 1).alias("run"),
+                F.concat(
+                    F.array_join(F.slice(x["pieces"], first + 1, i - first), ""),
+                    F.regexp_replace(piece, rf"{VALUE}\z", ""),
+                ).alias("start"),
+                ((i == F.size(x["pieces"]) - 1) & x["ends"]).alias("ends"),
+            )
+
+        return F.transform(x["pieces"], run)
+
+    def trimmed(x: Column) -> Column:
+        value = F.regexp_replace(x["run"], r"(?<![.:\-])[.:\-]++$", "")
+        return F.struct(*[x[c].alias(c) for c in ("position", "start", "ends")], value.alias("value"))
+
+    def unnamed(x: Column) -> Column:
+        rest = F.regexp_replace(x["value"], NAMED, "")
+        return F.struct(
+            *[x[c].alias(c) for c in ("position", "start", "ends", "value")],
+            F.when((F.length(rest) >= 12) & rest.rlike(HINT), rest).otherwise(x["value"]).alias("rest"),
+        )
 
-        value = F.regexp_replace(F.regexp_extract(x["token"], VALUE, 1), r"(?<![.:\-])[.:\-]++$", "")
+    def detail(x: Column) -> Column:
+        name = F.left(x["value"], F.length(x["value"]) - F.length(x["rest"]))
+        start = F.regexp_replace(F.right(F.concat(x["start"], name), F.lit(NEAR)), OTHERS, "")
         return F.struct(
             x["position"].alias("position"),
-            value.alias("value"),
+            x["rest"].alias("value"),
             F.lower(
-                F.right(F.concat_ws(" ", word(-2), word(-1), F.regexp_replace(x["token"], VALUE, "")), F.lit(NEAR))
+                F.right(F.concat_ws(" ", word(x, -2), word(x, -1), start), F.lit(NEAR))
             ).alias("before"),
-            F.lower(F.left(word(1), F.lit(NEAR))).alias("after"),
+            F.when(x["ends"], F.lower(F.left(word(x, 1), F.lit(NEAR)))).otherwise("").alias("after"),
         )
 
     placed = F.transform(F.col(tokens), lambda t, i: F.struct(i.alias("position"), t.alias("token")))
     likely = F.filter(placed, lambda x: (F.length(x["token"]) >= 12) & x["token"].rlike(HINT) & x["token"].rlike(VALUE))
-    found = F.filter(
-        F.transform(likely, detail), lambda x: (F.length(x["value"]) >= 12) & x["value"].rlike(HINT)
+    cut = F.transform(
+        likely,
+        lambda x: F.struct(
+            x["position"].alias("position"),
+            F.regexp_extract_all(x["token"], F.lit(PIECE), F.lit(0)).alias("pieces"),
+            x["token"].rlike(rf"{VALUE}[^A-Za-z0-9]*+\z").alias("ends"),
+        ),
     )
+    values = F.transform(F.flatten(F.transform(cut, runs)), trimmed)
+    values = F.filter(values, lambda x: (F.length(x["value"]) >= 12) & x["value"].rlike(HINT))
+    found = F.transform(F.transform(values, unnamed), detail)
     whole = F.transform(
         found,
         lambda x: F.struct(
