@@ -9,7 +9,9 @@ blocked seeds (most are blocked) against the links, so that it reaches hosts tha
 blocked ones. A host is blocked if its distrust is over ``THRESHOLD`` times its trust. Links are
 the absolute ``href`` values of the pages between different hosts, each pair once; relative links stay on
 their host. Mass is counted in whole units, so results do not depend on the order of sums. Mass of hosts
-without a link to follow goes back to the seeds.
+without a link to follow goes back to the seeds. Rounds end when one moves a millionth of all mass at most
+(``SETTLED``) and reaches no host that had none before; so mass goes along any number of links, until less
+than a unit is left of it.
 
 NULL urls and urls without ``://`` have an empty host and path and are allowed. NULL html has no links. Rows are
 kept, repeated ones too (their links count once).
@@ -33,7 +35,11 @@ RULES = (
     ("net/fr/", "block"),
 )
 UNITS = 10**15
-ROUNDS, DAMPING, THRESHOLD = 10, 85, 1  # damping in hundredths
+#: Rounds of the SQL, which cannot go on until ranks have settled. Without links between hosts they have.
+ROUNDS = 10
+#: Units that the last round may still move, of trust and distrust together.
+SETTLED = UNITS // 10**6
+DAMPING, THRESHOLD = 85, 1  # damping in hundredths
 HREF = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'\s>]+)"""
 
 
@@ -74,8 +80,11 @@ def links(pages: DataFrame) -> DataFrame:
     return rows.where("a <> '' AND a <> b").distinct()
 
 
-def spread(ruled: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING) -> DataFrame:
-    """``host``, ``trust``, ``distrust`` (units of ``UNITS``) of every host that has a page or a link."""
+def spread(ruled: DataFrame, edges: DataFrame, rounds: int | None = None, damping: int = DAMPING) -> DataFrame:
+    """``host``, ``trust``, ``distrust`` (units of ``UNITS``) of every host that has a page or a link.
+
+    After so many rounds, or when the ranks have settled.
+    """
     edges = stored(edges)
     allowed = F.count(F.when(F.col("ruled") == "allow", 1))
     blocked = F.count(F.when(F.col("ruled") == "block", 1))
@@ -93,16 +102,27 @@ def spread(ruled: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: in
     hosts = stored(hosts)
     seeds = hosts.agg(F.count_if("good"), F.count_if("bad")).first()
     share = [UNITS // max(n, 1) for n in seeds]
+    # A round moves at most ``damping`` hundredths of what the last one moved, and a unit more for each number that
+    # is rounded: two for each link, two for each seed. Where that is more, rounds could go on for ever.
+    enough = max(SETTLED, (2 * edges.count() + 2 * sum(seeds)) * 100 // (100 - damping) + 1)
     state = stored(
         hosts.withColumn("trust", F.when(F.col("good"), share[0]).otherwise(0).cast("long")).withColumn(
             "distrust", F.when(F.col("bad"), share[1]).otherwise(0).cast("long")
         )
+        # Whether trust and distrust have ever reached the host, what the last round moved, whom it reached.
+        .withColumns({"known": F.col("good"), "accused": F.col("bad"), "moved": F.lit(0).cast("long"), "fresh": F.lit(False)})
     )
-    for _ in range(rounds):
+    done = 0
+    while rounds is None or done < rounds:
         lost = state.agg(
             F.coalesce(F.sum(F.when(F.col("outs") == 0, F.col("trust"))), F.lit(0)),
             F.coalesce(F.sum(F.when(F.col("ins") == 0, F.col("distrust"))), F.lit(0)),
+            F.coalesce(F.sum("moved"), F.lit(0)),
+            F.count_if("fresh"),
         ).first()
+        if rounds is None and done and lost[2] <= enough and not lost[3]:
+            break
+        done += 1
         kept = [
             share[i] * (100 - damping) // 100 + lost[i] * damping // (100 * max(seeds[i], 1)) for i in (0, 1)
         ]
@@ -113,12 +133,18 @@ def spread(ruled: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: in
             F.col("a").alias("host"), F.lit(0).cast("long").alias("t"), F.expr(f"distrust * {damping} div (100 * ins)").alias("d")
         )
         came = flow.unionAll(back).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
+        trust = F.coalesce("t", F.lit(0)) + F.when(F.col("good"), kept[0]).otherwise(0)
+        distrust = F.coalesce("d", F.lit(0)) + F.when(F.col("bad"), kept[1]).otherwise(0)
         state = stored(
-            state.drop("trust", "distrust")
-            .join(came, "host", "left")
-            .withColumn("trust", F.coalesce("t", F.lit(0)) + F.when(F.col("good"), kept[0]).otherwise(0))
-            .withColumn("distrust", F.coalesce("d", F.lit(0)) + F.when(F.col("bad"), kept[1]).otherwise(0))
-            .drop("t", "d")
+            state.join(came, "host", "left").select(
+                *["host", "outs", "ins", "good", "bad"],
+                trust.alias("trust"),
+                distrust.alias("distrust"),
+                (F.col("known") | (trust > 0)).alias("known"),
+                (F.col("accused") | (distrust > 0)).alias("accused"),
+                (F.abs(trust - F.col("trust")) + F.abs(distrust - F.col("distrust"))).alias("moved"),
+                ((~F.col("known") & (trust > 0)) | (~F.col("accused") & (distrust > 0))).alias("fresh"),
+            )
         )
     return state.select("host", "trust", "distrust")
 

@@ -96,6 +96,24 @@ def test_hosts_without_trust_that_link_to_blocked_ones_are_blocked(spark):
     assert {r.page_id: r.verdict for r in found} == {1: "block", 2: "block", 3: "block", 4: "allow"}
 
 
+def test_ranks_settle_along_a_chain(spark, change):
+    """A blocked host at one end, a trusted one at the other; more hosts between them than the SQL has rounds."""
+    change("spark.sql.shuffle.partitions", "1")  # many rounds over few rows
+    n = 15
+    pages = [(0, "https://h0.net/es/", "")]
+    pages += [(i, f"https://h{i}.org/", f"<a href='//h{i - 1}.{'net' if i == 1 else 'org'}/'>") for i in range(1, n)]
+    pages += [(n, "https://good.com/", "<a href='//far.org/'>"), (n + 1, "https://far.org/", "")]
+    pages = spark.createDataFrame(pages, KIND).coalesce(1)
+    ranks = {r.host: (r.trust, r.distrust) for r in urls.spread(urls.with_rules(pages), urls.links(pages)).collect()}
+    assert {host for host, (trust, distrust) in ranks.items() if distrust > trust} == {"h0.net"} | {f"h{i}.org" for i in range(1, n)}
+    # Mass that reaches the end of the chain goes back to the only seed, so shares are powers of the damping.
+    total = sum(0.85**i for i in range(n))
+    for i in range(n):
+        host = f"h{i}.{'org' if i else 'net'}"
+        assert ranks[host][0] == 0 and abs(ranks[host][1] - urls.UNITS * 0.85**i / total) < urls.UNITS / 10**5
+    assert abs(ranks["far.org"][0] - urls.UNITS * 0.85 / 1.85) < urls.UNITS / 10**5
+
+
 def test_longest_rule_wins(spark):
     rows = [(1, "https://a.www.example.com/en/", ""), (2, "https://b.example.com/en/", ""), (3, "https://b.example.com/fr/", "")]
     found = urls.judge(spark.createDataFrame(rows, KIND)).collect()
