@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, mixing, packing, quality, rules, search, secrets, simhash, toxicity, urls
+from sluice.llm import chat, lines, mixing, packing, quality, rules, search, secrets, simhash, toxicity, urls
 from sluice.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = lines.with_bitmaps(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    bits = F.col("line_bits")
+    return marked.select(
+        "doc_id",
+        bits["n_lines"].alias("n_lines"),
+        bits["n_dropped"].alias("n_dropped"),
+        F.sha2(lines.kept_lines("text", bits["keep"]).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_search": op1_search,
     "op2_urls": op2_urls,
@@ -98,9 +109,11 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_rules": op9_rules,
     "op10_toxicity": op10_toxicity,
+    "op13_lines": op13_lines,
 }
 ORACLE: dict[str, str] = {
     "op1_search": search.SQL,
     "op2_urls": urls.sql(),
     "op5_mixing": mixing.SQL,
+    "op13_lines": lines.SQL,
 }
