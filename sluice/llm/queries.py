@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, lines, mixing, packing, quality, rules, search, secrets, simhash, toxicity, urls
+from sluice.llm import chat, lines, mixing, packing, quality, rules, search, secrets, simhash, spelling, toxicity, urls
 from sluice.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), thinned=spelling.THINNED)
+    return spelling.variants(words)
+
+
 def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = lines.with_bitmaps(table(spark, sf_dir, "documents").select("doc_id", "text"))
     bits = F.col("line_bits")
@@ -109,11 +114,13 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_rules": op9_rules,
     "op10_toxicity": op10_toxicity,
+    "op12_spelling": op12_spelling,
     "op13_lines": op13_lines,
 }
 ORACLE: dict[str, str] = {
     "op1_search": search.SQL,
     "op2_urls": urls.sql(),
     "op5_mixing": mixing.SQL,
+    "op12_spelling": spelling.SQL,
     "op13_lines": lines.SQL,
 }
