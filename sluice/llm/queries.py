@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, lines, mixing, packing, quality, rules, search, secrets, simhash, spelling, toxicity, urls
+from sluice.llm import chat, lines, mixing, packing, phrases, quality, rules, search, secrets, simhash, spelling, toxicity, urls
 from sluice.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling.vocabulary(table(spark, sf_dir, "documents"), thinned=spelling.THINNED)
     return spelling.variants(words)
@@ -114,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_rules": op9_rules,
     "op10_toxicity": op10_toxicity,
+    "op11_phrases": op11_phrases,
     "op12_spelling": op12_spelling,
     "op13_lines": op13_lines,
 }
@@ -121,6 +126,7 @@ ORACLE: dict[str, str] = {
     "op1_search": search.SQL,
     "op2_urls": urls.sql(),
     "op5_mixing": mixing.SQL,
+    "op11_phrases": phrases.SQL,
     "op12_spelling": spelling.SQL,
     "op13_lines": lines.SQL,
 }
