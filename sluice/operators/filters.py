@@ -12,7 +12,15 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DoubleType,
+    FloatType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from sluice.functions.columns import column, require_field
 from sluice.functions.days import to_day
@@ -36,11 +44,14 @@ def incremental_filter(
 def limit_filter(
     df: DataFrame, check_column: str, highest: str | None, zone: str | None = None
 ) -> DataFrame:
-    """Rows up to a mark that was found before; none without one."""
+    """Rows up to a mark that was found before; none without one. NaN is above all marks and none
+    itself, so its rows come always."""
     field = require_field(df, check_column, "check column")
+    check, floating = column(field.name), isinstance(field.dataType, (DoubleType, FloatType))
     if highest is None:
-        return df.limit(0)
-    return df.filter(column(field.name) <= typed_literal(df.sparkSession, highest, field.dataType, zone))
+        return df.filter(F.isnan(check)) if floating else df.limit(0)
+    below = check <= typed_literal(df.sparkSession, highest, field.dataType, zone)
+    return df.filter(below | F.isnan(check) if floating else below)
 
 
 def daily_filter(

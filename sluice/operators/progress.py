@@ -36,7 +36,8 @@ def read_progress(observation: Observation) -> tuple[int, str | None]:
 
 
 def highest_mark(df: DataFrame, check_column: str) -> str | None:
-    """The highest check value right now, found by the source: one row."""
+    """The highest check value of these rows. Spark's JDBC reader has no aggregates handed over: of a
+    database, give the row in which it says its highest value, not the table."""
     return df.agg(_highest(df, check_column).alias("last_value")).first()[0]
 
 

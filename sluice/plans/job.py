@@ -19,7 +19,7 @@ from sluice.functions.days import previous_day, run_day
 from sluice.functions.shared import landed
 from sluice.operators.conform import conform, load_avro_schema
 from sluice.operators.filters import limit_filter
-from sluice.operators.progress import highest_mark, observe_progress, read_progress
+from sluice.operators.progress import observe_progress, read_progress
 from sluice.plans.specs import (
     DAILY,
     INCREMENTALLY,
@@ -31,7 +31,7 @@ from sluice.plans.specs import (
 )
 from sluice.plans.validation import check_partition_keys, validate
 from sluice.sinks.files import spread_rows, write_table
-from sluice.sources import read_table, source_zone
+from sluice.sources import highest_value, read_table, source_zone
 from sluice.sources.files import is_files
 
 log = logging.getLogger(__name__)
@@ -175,7 +175,7 @@ def ingest_table(
     if limited:
         # Ranges are read at different moments. Rows that come meanwhile are left to the next run,
         # also where one range would still see those above others that no range did.
-        limit = highest_mark(rows, check.name)
+        limit = highest_value(spark, source, job, mode, rows)
         rows = limit_filter(rows, check.name, limit, source_zone(spark, source))
     if schema is not None:
         if check:

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import DoubleType, FloatType
 
 from sluice.functions.columns import require_field
 from sluice.functions.days import previous_day
 from sluice.functions.literals import typed_literal
 from sluice.operators.filters import daily_filter, day_literal, incremental_filter
+from sluice.operators.progress import highest_mark
 from sluice.plans.specs import DAILY, INCREMENTALLY, Endpoint, TableJob
 from sluice.sources import files, jdbc
 from sluice.sources.splits import clock_zone
 
-__all__ = ["check_source", "read_source", "read_table", "source_zone"]
+__all__ = ["check_source", "highest_value", "read_source", "read_table", "source_zone"]
 
 
 def check_source(source: Endpoint) -> None:
@@ -70,6 +73,20 @@ def first_value(
     return field.name, day_literal(previous_day(as_of), field.dataType, zone)
 
 
+def highest_value(
+    spark: SparkSession, source: Endpoint, job: TableJob, mode: str, rows: DataFrame
+) -> str | None:
+    """The highest check value among ``rows``, those of an incremental run of a database, found by
+    the database without reading them. None if there are no rows, or only NaN."""
+    check = require_field(rows, job.require("checkColumn").strip(), "check column")
+    found = jdbc.read_highest(spark, source, job, check.name)
+    if isinstance(check.dataType, (DoubleType, FloatType)):
+        top = found.first()[0]
+        if top is not None and math.isnan(top):  # some have NaN above all numbers
+            return highest_mark(rows, check.name)
+    return highest_mark(select_rows(found, source, job, mode), check.name)
+
+
 def read_table(
     spark: SparkSession, source: Endpoint, job: TableJob, mode: str, as_of: date | str | None = None
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from sluice.functions.columns import column, require_field
 from sluice.functions.literals import unquote
 from sluice.plans.specs import SPLIT_OPTIONS, Endpoint, TableJob
 from sluice.sources.credentials import check_credentials, connection_properties
-from sluice.sources.splits import SplitColumn, balanced_ranges, clock_zone, time_cuts
+from sluice.sources.splits import SplitColumn, balanced_ranges, clock_zone, quoted_name, time_cuts
 
 # Fixed values of Oracle connections: the URL form, the formats in which the session reads
 # dates and timestamps given as text (Spark gives partition bounds so), and the driver
@@ -104,20 +104,8 @@ def _execute(statement: str) -> str:
     return "EXECUTE IMMEDIATE '" + statement.replace("'", "''") + "';"
 
 
-def read_jdbc(
-    spark: SparkSession,
-    source: Endpoint,
-    job: TableJob,
-    rows_of_mode: Callable[[DataFrame], DataFrame] = lambda df: df,
-    start_of_mode: Callable[[DataFrame], tuple[str, Column] | None] = lambda df: None,
-) -> DataFrame:
-    """The table, read in parallel ranges of one column where the job asks for it.
-
-    The bounds only set how wide the ranges are: the first and the last one are open, so all
-    rows are read. Without bounds the database is asked for the lowest and highest value. Every
-    range is one task with one connection, and a range with many rows is one long task. ``balanceReads`` needs no bounds and makes ranges of about as many rows
-    each, counting only the rows of the mode.
-    """
+def loader(spark: SparkSession, source: Endpoint, job: TableJob) -> Callable[..., DataFrame]:
+    """Reads the job's table, or a query in its place, with all options but for the split."""
     options = jdbc_options(spark, source, job)
     url, properties = jdbc_url(source), connection_properties(spark, source)
 
@@ -132,6 +120,31 @@ def read_jdbc(
 
         return read_as_text(spark, read)
 
+    return load
+
+
+def read_highest(spark: SparkSession, source: Endpoint, job: TableJob, name: str) -> DataFrame:
+    """The highest value of a column, found by the database: one row, in a column of the same name."""
+    quoted = quoted_name(spark, jdbc_url(source), name)
+    query = f"(SELECT MAX({quoted}) AS {quoted} FROM {job.table_name}) highest"
+    return loader(spark, source, job)(table=query)
+
+
+def read_jdbc(
+    spark: SparkSession,
+    source: Endpoint,
+    job: TableJob,
+    rows_of_mode: Callable[[DataFrame], DataFrame] = lambda df: df,
+    start_of_mode: Callable[[DataFrame], tuple[str, Column] | None] = lambda df: None,
+) -> DataFrame:
+    """The table, read in parallel ranges of one column where the job asks for it.
+
+    The bounds only set how wide the ranges are: the first and the last one are open, so all
+    rows are read. Without bounds the database is asked for the lowest and highest value. Every
+    range is one task with one connection, and a range with many rows is one long task. ``balanceReads`` needs no bounds and makes ranges of about as many rows
+    each, counting only the rows of the mode.
+    """
+    url, load = jdbc_url(source), loader(spark, source, job)
     rows = load()
     balanced = job.flag("balanceReads")
     if not (job.splits_read or balanced):

@@ -46,6 +46,11 @@ def clock_zone(spark: SparkSession) -> str:
     return spark._jvm.java.util.TimeZone.getDefault().getID()
 
 
+def quoted_name(spark: SparkSession, url: str, name: str) -> str:
+    """A column's name as the SQL of the database at a URL has it."""
+    return spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(name)
+
+
 class SplitColumn:
     """A column to split by, in Spark and in the SQL of the database at a URL."""
 
@@ -57,7 +62,7 @@ class SplitColumn:
             )
         self._spark, self._field = spark, field
         self._dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
-        self.name = self._dialect.quoteIdentifier(field.name)
+        self.name = quoted_name(spark, url, field.name)
 
     @property
     def values(self) -> Column:
