@@ -14,9 +14,9 @@ from sluice.functions.columns import column, require_field
 
 
 def observe_progress(
-    df: DataFrame, check_column: str | None = None
+    df: DataFrame, check_column: str | None = None, *more: Column
 ) -> tuple[DataFrame, Observation]:
-    """``df`` with its row count and highest check value being observed.
+    """``df`` with its row count and highest check value being observed, and ``more`` named sums.
 
     Put it right below the write. There it runs in the tasks that write the files, and Spark
     counts each of those once; in a stage before a shuffle, tasks repeated after the loss of
@@ -26,7 +26,7 @@ def observe_progress(
     metrics = [F.count(F.lit(1)).alias("rows")]
     if check_column:
         metrics.append(_highest(df, check_column).alias("last_value"))
-    return df.observe(observation, *metrics), observation
+    return df.observe(observation, *metrics, *more), observation
 
 
 def read_progress(observation: Observation) -> tuple[int, str | None]:

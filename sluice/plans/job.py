@@ -6,20 +6,23 @@ import logging
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from contextlib import ExitStack
-from dataclasses import dataclass
 from datetime import date
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluice.functions.columns import column, find_field
 from sluice.functions.days import previous_day, run_day
+from sluice.functions.literals import unquote
 from sluice.functions.shared import landed
-from sluice.operators.conform import conform, load_avro_schema
+from sluice.operators.conform import REJECTED, conform, conform_apart, load_avro_schema
 from sluice.operators.filters import limit_filter
 from sluice.operators.progress import observe_progress, read_progress
+from sluice.operators.reconcile import checksum, compare
+from sluice.plans.journal import Journal, TableResult
 from sluice.plans.specs import (
     DAILY,
     INCREMENTALLY,
@@ -30,7 +33,8 @@ from sluice.plans.specs import (
     pick_endpoint,
 )
 from sluice.plans.validation import check_partition_keys, validate
-from sluice.sinks.files import spread_rows, write_table
+from sluice.sinks.commits import Batch, Marks, tidy
+from sluice.sinks.files import resolve_format, spread_rows, stages_rows, write_table
 from sluice.sources import highest_value, read_table, source_zone
 from sluice.sources.files import is_files
 
@@ -39,15 +43,8 @@ log = logging.getLogger(__name__)
 # Carries the check column to the write where the schema does not keep it.
 _CHECK = "__check_value"
 
-
-@dataclass(frozen=True)
-class TableResult:
-    """What a table's run wrote, and the ``lastValue`` to continue from."""
-
-    table_name: str
-    rows: int
-    last_value: str | None
-    path: str
+# Rows that do not fit their schema go to a target of the table's name with this behind it.
+REJECTED_TABLE = "__rejected"
 
 
 class RunError(RuntimeError):
@@ -70,6 +67,7 @@ def run(
     as_of: date | str | None = None,
     custom_modes: bool = False,
     tables_at_once: int = 1,
+    resume: str | None = None,
 ) -> DataFrame:
     """Ingest the table jobs of this mode, one after another in their order.
 
@@ -80,23 +78,41 @@ def run(
 
     Tables read by few tasks leave a large cluster idle; with ``tables_at_once`` several are
     in work at a time, but never two with the same target.
+
+    ``resume`` names the run. What it has finished is noted at the sink, and a run of the same name, with
+    the same jobs and settings, goes on behind that, for the same day.
     """
     source, sink = pick_endpoint(endpoints, source_name), pick_endpoint(endpoints, sink_name)
     jobs = validate(list(tables), source, sink, mode, custom_modes)
     schemas = [job_schema(spark, job, schemas_path) for job in jobs]
-    as_of = run_day(as_of)  # the same for all tables, also if midnight passes meanwhile
-
     finished: dict[int, TableResult] = {}
+    journal = Journal(spark, sink, resume) if resume is not None else None
+    if journal is not None:
+        given = run_day(as_of).isoformat() if as_of is not None else None
+        settings = {"mode": mode, "source": source_name, "as_of": given, "jobs": [[j.name, j.options] for j in jobs]}
+        if given is None and not journal.begun:
+            settings["as_of"] = run_day().isoformat()
+        as_of = journal.begin(settings)["as_of"]
+        finished = journal.finished()
+    as_of = run_day(as_of)  # the same for all tables, also if midnight passes meanwhile
 
     def ingest(numbers: list[int]) -> None:
         for i in numbers:
-            finished[i] = ingest_table(spark, jobs[i], source, sink, mode, schemas[i], as_of)
-            log.info("%s", finished[i])
+            if i in finished:
+                log.info("finished before: %s", finished[i])
+                continue
+            result = ingest_table(spark, jobs[i], source, sink, mode, schemas[i], as_of)
+            if journal is not None:
+                journal.add(i, result)
+            finished[i] = result
+            log.info("%s", result)
 
     try:
         _in_turns(spark, ingest, jobs, tables_at_once)
     except Exception as error:
         raise RunError([finished[i] for i in sorted(finished)], error) from error
+    finally:
+        tidy(spark, sink)
     results = [finished[i] for i in sorted(finished)]
     return spark.createDataFrame(
         [(r.table_name, r.rows, r.last_value) for r in results],
@@ -168,6 +184,11 @@ def ingest_table(
     keys before they are written. An incremental run of a database first asks it for the highest
     check value, and copies nothing behind that.
     """
+    marks, number = None, 0
+    if job.flag("keepMarks"):
+        marks = Marks(spark, sink, job)
+        number, mark = marks.last()
+        job = continued(job, mark)
     rows = read_table(spark, source, job, mode, as_of)
     check = find_field(rows.schema, job.get("checkColumn", "").strip())
     observed = check.name if check else None
@@ -177,25 +198,103 @@ def ingest_table(
         # also where one range would still see those above others that no range did.
         limit = highest_value(spark, source, job, mode, rows)
         rows = limit_filter(rows, check.name, limit, source_zone(spark, source))
-    if schema is not None:
-        if check:
-            rows = rows.withColumn(_CHECK, column(check.name))
-            schema = StructType([*schema.fields, rows.schema[_CHECK]])
-            observed = _CHECK
-        rows = conform(rows, schema, "null" if job.flag("lenientCasts") else "fail")
+    day = previous_day(as_of) if mode == DAILY else None
+    rejected, seen = 0, None
     with ExitStack() as until_written:
+        if schema is not None:
+            if check:
+                rows = rows.withColumn(_CHECK, column(check.name))
+                schema = StructType([*schema.fields, rows.schema[_CHECK]])
+                observed = _CHECK
+            if job.flag("quarantine"):
+                rows, rejected, seen = _without_rejected(rows, schema, sink, job, source, mode, day, until_written)
+            else:
+                rows = conform(rows, schema, "null" if job.flag("lenientCasts") else "fail")
         if spreads_rows(job, source):
-            if not is_files(source):
+            if not is_files(source) and seen is None:
                 rows = until_written.enter_context(landed(rows))
             rows = spread_rows(rows, job.partition_keys)
-        rows, observation = observe_progress(rows, observed)
-        day = previous_day(as_of) if mode == DAILY else None
-        path = write_table(rows.drop(_CHECK), sink, job, mode, day)
+        sent = rows.drop(_CHECK)
+        sums = [checksum(sent, job.partition_keys).alias("total")] if job.flag("reconcile") else []
+        rows, observation = observe_progress(rows, observed, *sums)
+
+        def arrived(folder: str) -> None:
+            if job.flag("reconcile"):
+                reader = spark.read.format(resolve_format(sink.require("format"))).schema(sent.schema)
+                count, total = observation.get["rows"], observation.get["total"]
+                compare(reader.load(folder).select(sent.columns), job.partition_keys, count, total, job.table_name)
+
+        def kept() -> dict:
+            count, last_value = read_progress(observation)
+            return {"rows": count, "to": limit if limited else last_value}
+
+        batch = Batch(_identity(job, source, mode, day), kept) if _repeats_safely(job) else None
+        path = write_table(rows.drop(_CHECK), sink, job, mode, day, batch, arrived)
     count, last_value = read_progress(observation)
+    if seen is not None:  # rejected rows count for the mark: they are dealt with, too
+        last_value = read_progress(seen)[1]
     last_value = limit if limited else last_value
     if last_value is None:
         last_value = job.get("lastValue")
-    return TableResult(job.table_name, count, last_value, path)
+    if marks is not None and last_value != job.get("lastValue"):
+        marks.set(number, last_value, check.name)
+    return TableResult(job.table_name, count, last_value, path, rejected)
+
+
+def continued(job: TableJob, mark: str | None) -> TableJob:
+    """The job from a mark on that was kept; the rows at the mark are there already."""
+    if mark is None:
+        return job
+    return TableJob(job.name, job.options | {"lastValue": mark, "inclusive": job.get("inclusive", "false")})
+
+
+def _repeats_safely(job: TableJob) -> bool:
+    return job.flag("repeatSafe") or job.flag("keepMarks")
+
+
+def _identity(job: TableJob, source: Endpoint, mode: str, day: date | None) -> dict:
+    """What two runs must share for one to be a repetition of the other."""
+    shared = {"job": job.name, "source": source.name, "mode": mode, "check": job.get("checkColumn", "").strip()}
+    if mode == INCREMENTALLY:
+        return shared | {"from": unquote(job.require("lastValue"))}
+    return shared | {"day": day.isoformat() if day else None}
+
+
+def _without_rejected(
+    rows: DataFrame,
+    schema: StructType,
+    sink: Endpoint,
+    job: TableJob,
+    source: Endpoint,
+    mode: str,
+    day: date | None,
+    until_written: ExitStack,
+) -> tuple[DataFrame, int, Observation]:
+    """The rows that fit the schema; those that do not are written to a target of their own, as they
+    were, with what did not fit. The source is read once: rows are landed in between.
+
+    Also how many do not fit, and the progress of all.
+    """
+    name = REJECTED
+    while find_field(rows.schema, name) is not None:
+        name += "_"
+    apart = conform_apart(rows, schema, name)
+    bad = F.size(column(name)) > 0
+    observed = None
+    if find_field(rows.schema, _CHECK) is not None:
+        apart, observed = apart.withColumn(_CHECK, F.col("source").getField(_CHECK)), _CHECK
+    count = F.coalesce(F.sum(F.when(bad, 1).otherwise(0)), F.lit(0)).alias("rejected")
+    apart, seen = observe_progress(apart, observed, count)
+    apart = until_written.enter_context(landed(apart))
+    rejected = int(seen.get["rejected"])
+    options = {k: v for k, v in job.options.items() if k not in ("partitionKeys", "replacePartitions", "keepMarks", "reconcile")}
+    if job.flag("replacePartitions") or job.flag("keepMarks"):
+        options["repeatSafe"] = "true"
+    side = TableJob(job.name, options | {"tableName": job.table_name + REJECTED_TABLE})
+    if rejected or stages_rows(sink, side, mode):
+        batch = Batch(_identity(job, source, mode, day)) if _repeats_safely(side) else None
+        write_table(apart.where(bad).select("source.*", column(name)).drop(_CHECK), sink, side, mode, day, batch)
+    return apart.where(~bad).select("conformed.*"), rejected, seen
 
 
 def spreads_rows(job: TableJob, source: Endpoint) -> bool:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.functions.columns import column
+from sluice.functions.folders import Folders, escaped
 from sluice.plans.specs import COMPLETELY, Endpoint, TableJob
+from sluice.sinks.commits import Batch, Commits, Replacement
 
 # Fixed value: Spark's Avro format by its class, which is there with or without the Avro module;
 # the short name is known only with it.
@@ -46,44 +49,75 @@ def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.hint("rebalance", *[column(key) for key in keys])
 
 
-def remove_day(spark: SparkSession, path: str, key: str, day: date) -> None:
-    """Delete the folders of a day, whatever is below them: those of the first partition key with
-    the day as their value, or any time of that day."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return
-    start = f"{key}={day.isoformat()}".lower()
-    for status in files.listStatus(folder):
-        name = status.getPath().getName().lower()
-        if status.isDirectory() and (name == start or name.startswith((f"{start} ", f"{start}t"))):
-            files.delete(status.getPath(), True)
+def folders_of_day(folders: Folders, path: str, key: str, day: date) -> list[str]:
+    """The folders of a day in a target: those of the first partition key with the day as their value,
+    or any time of that day."""
+    letters = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() and c.isascii() else escaped(c) for c in key)
+    start = f"{letters}={day.isoformat()}"
+    return folders.matching(path, start, f"{start} *", f"{start}[tT]*")
+
+
+def stages_rows(sink: Endpoint, job: TableJob, mode: str) -> bool:
+    """Whether rows are written beside the target first and put there when all are written: where old
+    rows give way to them, or where the job has them checked or told from others."""
+    if any(job.flag(option) for option in ("repeatSafe", "keepMarks", "reconcile")):
+        return True
+    replaces = mode == COMPLETELY or job.flag("replacePartitions")
+    return replaces and sink.flag("stagedWrites", True)
 
 
 def write_table(
-    df: DataFrame, sink: Endpoint, job: TableJob, mode: str, day: date | None = None
+    df: DataFrame,
+    sink: Endpoint,
+    job: TableJob,
+    mode: str,
+    day: date | None = None,
+    batch: Batch | None = None,
+    check: Callable[[str], None] | None = None,
 ) -> str:
     """Write the rows and return the target path.
 
     A complete copy replaces the target, anything else is added to it. With
-    ``replacePartitions`` all that the target holds of ``day`` goes first, so that a repeated
-    daily run gives what a single one does, also where rows have moved or are gone.
+    ``replacePartitions`` all that the target holds of ``day`` goes, so that a repeated
+    daily run gives what a single one does, also where rows have moved or are gone. A ``batch``
+    replaces an earlier one with the same identity. What is replaced stays until the new rows are
+    complete and ``check``, given the folder that holds them, has not raised.
     """
-    path = target_path(sink, job)
+    spark, path = df.sparkSession, target_path(sink, job)
+    replaces_day = mode != COMPLETELY and job.flag("replacePartitions")
+    if replaces_day and day is None:
+        raise ValueError("replacePartitions needs the day whose rows are replaced")
     writer = df.write.format(resolve_format(sink.require("format")))
     for option in WRITER_OPTIONS:
         if sink.get(option):
             writer = writer.option(option, sink.get(option))
-    if mode == COMPLETELY:
-        # Whatever the session says: a complete copy leaves no partition of the old one.
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
-    else:
-        if job.flag("replacePartitions"):
-            if day is None:
-                raise ValueError("replacePartitions needs the day whose rows are replaced")
-            remove_day(df.sparkSession, path, job.partition_keys[0], day)
-        writer = writer.mode("append")
     if job.partition_keys:
         writer = writer.partitionBy(*job.partition_keys)
-    writer.save(path)
+
+    if not stages_rows(sink, job, mode):
+        if mode == COMPLETELY:
+            # Whatever the session says: a complete copy leaves no partition of the old one.
+            writer.mode("overwrite").option("partitionOverwriteMode", "static").save(path)
+            return path
+        if replaces_day:
+            folders = Folders(spark)
+            for name in folders_of_day(folders, path, job.partition_keys[0], day):
+                folders.delete(f"{path}/{name}")
+        writer.mode("append").save(path)
+        return path
+
+    commits = Commits(spark, sink, job)
+    commits.recover()
+    staged = commits.staged()
+    try:
+        writer.mode("errorifexists").save(staged)
+        if check is not None:
+            check(staged)
+    except BaseException:
+        commits.drop(staged)
+        raise
+    names = []
+    if replaces_day:
+        names = folders_of_day(commits.folders, path, job.partition_keys[0], day)
+    commits.commit(staged, Replacement(mode == COMPLETELY, names), batch)
     return path
