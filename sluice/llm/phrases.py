@@ -29,9 +29,9 @@ The table is read once for each scan (``shards`` times ``longest`` at most), so
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,73 +55,80 @@ NEVER = 255
 CHUNK, SLICE = 1 << 21, 1 << 16
 SEED = 42
 BREAKS = b".,;:!?\n\x0b\x0c\r"
-CLEAN = bytes(0x0A if i in BREAKS else 0x20 if i == 9 else i + 32 if 65 <= i <= 90 else i for i in range(256))
+#: Stands between pieces: a byte that is in no text, and the number of that word.
+BREAK, NO_WORD = b"\xff", 0
+CLEAN = bytes(0xFF if i in BREAKS else 0x20 if i == 9 else i + 32 if 65 <= i <= 90 else i for i in range(256))
 COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("start", pa.int32()), ("n", pa.int64())])
 
 
-def pieces_of(text: str) -> list[list[bytes]]:
-    return [piece.split() for piece in text.encode().translate(CLEAN).split(b"\n")]
+class Numbers(dict):
+    """Numbers for the words of a language, given by the chunk when they are first asked for."""
+
+    def __init__(self, chunk: Chunk, lang: str):
+        super().__init__({BREAK: NO_WORD})
+        self.chunk, self.lang = chunk, lang
+        self.seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.chunk.words)
+        self.chunk.words.append(word)
+        self.chunk.langs.append(self.lang)
+        self.chunk.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
+        return number
 
 
 class Chunk:
-    """Words of many texts: a number for each word of a language, and the numbers in a row."""
+    """Words of many texts: a number for each word of a language, and the numbers in a row, with
+    ``NO_WORD`` behind every piece."""
 
     def __init__(self):
-        self.numbers: dict[str, dict[bytes, int]] = {}
-        self.words, self.langs = [], []
-        self.hashes: list[int] = []
+        self.numbers: dict[str, Numbers] = {}
+        self.words, self.langs, self.hashes = [b""], [""], array("Q", [0])
         self.ids: list[np.ndarray] = []
-        self.lengths: list[list[int]] = []
         self.size = 0
 
-    def add(self, lang: str, text: str) -> None:
-        known = self.numbers.setdefault(lang, {})
-        pieces = pieces_of(text)
-        flat = list(chain.from_iterable(pieces))
-        seed = None
-        for word in set(flat).difference(known):
-            seed = xxhash.xxh64_intdigest(lang.encode(), SEED) if seed is None else seed
-            known[word] = len(self.words)
-            self.words.append(word)
-            self.langs.append(lang)
-            self.hashes.append(xxhash.xxh64_intdigest(word, seed))
-        self.ids.append(np.fromiter(map(known.__getitem__, flat), np.int64, len(flat)))
-        self.lengths.append([len(piece) for piece in pieces if piece])
-        self.size += len(flat)
+    def add(self, lang: str, text: bytes) -> None:
+        if lang not in self.numbers:
+            self.numbers[lang] = Numbers(self, lang)
+        found = text.translate(CLEAN).replace(BREAK, b" \xff ").split()
+        found.append(BREAK)
+        self.ids.append(np.fromiter(map(self.numbers[lang].__getitem__, found), np.int64, len(found)))
+        self.size += len(found)
 
     def counts(self, born: np.ndarray, scan: int, shards: int, longest: int) -> Iterator[pa.RecordBatch]:
         """The counts of all phrases that are counted in this scan."""
-        ids = np.concatenate(self.ids) if self.ids else np.zeros(0, np.int64)
-        lengths = np.array(list(chain.from_iterable(self.lengths)), np.int64)
-        del self.ids, self.lengths, self.numbers
-        if not len(ids):
+        if not self.ids:
             return
+        ids = np.concatenate(self.ids)
         words, langs = pa.array(self.words, pa.binary()).cast(pa.string()), pa.array(self.langs, pa.string())
-        total = len(self.words)
+        total, hashes = len(self.words), np.frombuffer(self.hashes, np.uint64)
+        del self.ids, self.numbers
         if scan < shards:
             times = np.bincount(ids, minlength=total)
-            yield from handed_over(langs, words, np.zeros(total), times)
+            yield from handed_over(langs[1:], words[1:], np.zeros(total - 1), times[1:])
             # The count of all words of a language goes as that of the phrase of no words.
-            names = langs.dictionary_encode()
-            sums = np.bincount(names.indices.to_numpy(), times, len(names.dictionary)).astype(np.int64)
+            names = langs[1:].dictionary_encode()
+            sums = np.bincount(names.indices.to_numpy(), times[1:], len(names.dictionary)).astype(np.int64)
             nothing = pa.array([""] * len(sums), pa.string())
             yield from handed_over(names.dictionary, nothing, np.zeros(len(sums)), sums)
-        hashes = np.array(self.hashes, np.uint64)[ids]
-        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(ids))  # words until the piece ends
-        starts, codes = born_in(born, hashes), hashes
+        starts = born_in(born, hashes)
+        starts[NO_WORD] = NEVER  # so no phrase goes over the end of a piece
+        starts, hashes = starts[ids], hashes[ids]
+        codes = hashes
         for size in range(2, longest + 1):
             # Of the phrase at each place: when its first and its second part became frequent.
             first, second = starts[:-1], starts[1:]
-            whole = (left[: len(first)] >= size) & (first != NEVER) & (second != NEVER)
-            begin = np.maximum(first, second).astype(np.int32) + 1
-            now = np.flatnonzero(whole & (begin <= scan) & (scan < begin + shards))
+            whole = (first != NEVER) & (second != NEVER)
+            begin = np.maximum(first, second)  # the scan before that in which it starts
+            now = np.flatnonzero(whole & (begin < scan) & (scan <= begin.astype(np.int16) + shards))
             if len(now):
                 places, times = groups(ids, now, size, total)
                 parts = [words.take(pa.array(ids[places + i])) for i in range(size)]
                 joined = pc.binary_join_element_wise(*parts, " ")
-                yield from handed_over(langs.take(pa.array(ids[places])), joined, begin[places], times)
-            codes = mixed(codes[:-1], hashes[size - 1 :])
-            starts = np.where(whole, born_in(born, codes), NEVER)
+                yield from handed_over(langs.take(pa.array(ids[places])), joined, begin[places] + np.int32(1), times)
+            if size < longest:
+                codes = mixed(codes[:-1], hashes[size - 1 :])
+                starts = np.where(whole, born_in(born, codes), np.uint8(NEVER))
 
 
 def groups(ids: np.ndarray, places: np.ndarray, size: int, total: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +191,7 @@ def shard_counts(
     # All columns count for the shard, so that copies with ids of their own are spread.
     mine = df.where(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable(df)]), F.lit(shards)) == scan % shards)
     name = F.coalesce(F.col(lang).cast("string"), F.lit("und"))
-    rows = mine.where(F.col(text) != "").select(name.alias("lang"), F.col(text).alias("text"))
+    rows = mine.where(F.col(text) != "").select(name.alias("lang"), F.col(text).cast("binary").alias("text"))
     return rows.mapInArrow(run, "lang string, phrase string, start int, n long")
 
 
@@ -307,13 +314,13 @@ def collocations(
         found = found.join(around, (found["lang"] == around["in_lang"]) & (found["phrase"] == around["inner"]), "left")
         heavy = 100 * F.col("most").cast("decimal(22,0)") >= share * F.col("a").cast("decimal(22,0)")
         found = found.where(F.col("most").isNull() | ~heavy)
-    sums = phrases.where("phrase = ''").select(F.col("lang").alias("of"), "n")
-    found = found.join(sums, found["lang"] == sums["of"])
     order = "PARTITION BY lang ORDER BY score DESC, a DESC, phrase"
-    ranked = found.select("lang", F.expr(f"row_number() OVER ({order})").alias("rank"), "phrase", "a", "l", "r", "n", "score")
-    if top is not None:
+    ranked = found.withColumn("rank", F.expr(f"row_number() OVER ({order})"))
+    if top is not None:  # before the next join: each task then hands over that many of a language at most
         ranked = ranked.where(F.col("rank") <= top)
-    return ranked.withColumn("rank", F.col("rank").cast("long"))
+    sums = phrases.where("phrase = ''").select(F.col("lang").alias("of"), "n")
+    whole = ranked.join(sums, ranked["lang"] == sums["of"])
+    return whole.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 #: The same rows for phrases of two and three words. HUGEINT has 38 digits.
