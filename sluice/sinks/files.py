@@ -49,9 +49,11 @@ def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.hint("rebalance", *[column(key) for key in keys])
 
 
-def folders_of_day(folders: Folders, path: str, key: str, day: date) -> list[str]:
+def folders_of_day(spark: SparkSession, path: str, key: str, day: date) -> list[str]:
     """The folders of a day in a target: those of the first partition key with the day as their value,
     or any time of that day."""
+    folders = Folders(spark)
+    key = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(key)
     letters = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() and c.isascii() else escaped(c) for c in key)
     start = f"{letters}={day.isoformat()}"
     return folders.matching(path, start, f"{start} *", f"{start}[tT]*")
@@ -100,9 +102,8 @@ def write_table(
             writer.mode("overwrite").option("partitionOverwriteMode", "static").save(path)
             return path
         if replaces_day:
-            folders = Folders(spark)
-            for name in folders_of_day(folders, path, job.partition_keys[0], day):
-                folders.delete(f"{path}/{name}")
+            for name in folders_of_day(spark, path, job.partition_keys[0], day):
+                Folders(spark).delete(f"{path}/{name}")
         writer.mode("append").save(path)
         return path
 
@@ -118,6 +119,6 @@ def write_table(
         raise
     names = []
     if replaces_day:
-        names = folders_of_day(commits.folders, path, job.partition_keys[0], day)
+        names = folders_of_day(spark, path, job.partition_keys[0], day)
     commits.commit(staged, Replacement(mode == COMPLETELY, names), batch)
     return path

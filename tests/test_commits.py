@@ -1,0 +1,404 @@
+from __future__ import annotations
+
+import json
+from collections import Counter
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import data_files, file_sink, table_job
+from sluice import CommitConflict, Endpoint, Mismatch, RunError, ingest_table, run, write_table
+from sluice.functions.folders import Folders, escaped
+from sluice.operators.reconcile import checksum, compare
+from sluice.sinks.commits import Batch, Commits, Marks, Replacement
+
+DAY = date(2024, 1, 2)
+DAILY = {"checkColumn": "d", "partitionKeys": "d", "replacePartitions": "true"}
+
+
+def rows_of(spark, sink, job, schema="k int, d string"):
+    path = f"{sink.get('location')}/{job.table_name}"
+    return sorted(map(tuple, spark.read.schema(schema).parquet(path).collect()))
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame(list(rows), "k int, d string")
+
+
+def failing(df):
+    """Rows of which one cannot be written."""
+    return df.withColumn("k", F.when(F.col("k") < 0, F.raise_error("broken").cast("int")).otherwise(F.col("k")))
+
+
+@pytest.mark.parametrize("mode", ["completely", "daily"])
+def test_a_failing_write_leaves_the_old_rows(spark, tmp_path, mode):
+    sink, job = file_sink(tmp_path), table_job(**DAILY)
+    old = frame(spark, (1, "2024-01-02"), (2, "2024-01-02"))
+    write_table(old, sink, job, mode, DAY)
+    with pytest.raises(Exception, match="broken"):
+        write_table(failing(frame(spark, (3, "2024-01-02"), (-1, "2024-01-02"))), sink, job, mode, DAY)
+    assert rows_of(spark, sink, job) == [(1, "2024-01-02"), (2, "2024-01-02")]
+    assert [p.name for p in tmp_path.iterdir() if p.name != "_sluice"] == ["t"]
+    assert not list((tmp_path / "_sluice").iterdir())
+    write_table(frame(spark, (4, "2024-01-02")), sink, job, mode, DAY)
+    assert rows_of(spark, sink, job) == [(4, "2024-01-02")]
+
+
+def test_without_staging_as_before(spark, tmp_path):
+    sink, job = file_sink(tmp_path, stagedWrites="false"), table_job(**DAILY)
+    for mode in ("completely", "daily"):
+        for k in (1, 2):
+            write_table(frame(spark, (k, "2024-01-02")), sink, job, mode, DAY)
+            assert rows_of(spark, sink, job) == [(k, "2024-01-02")]
+    assert not (tmp_path / "_sluice").exists()
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("mode", ["completely", "daily", "incrementally"])
+def test_a_commit_that_breaks_off_anywhere_is_brought_to_its_end(spark, tmp_path, monkeypatch, mode):
+    """The same commit, broken off at its first, second, … step and found by the next run."""
+    own = {"daily": DAILY, "incrementally": {"repeatSafe": "true", "partitionKeys": "d"}}
+    options = own.get(mode, {"partitionKeys": "d"})
+    steps = 0
+    done = False
+    while not done:
+        sink, job = file_sink(tmp_path / str(steps)), table_job(**options)
+        batch = Batch({"from": 1}) if mode == "incrementally" else None
+        old = frame(spark, (1, "2024-01-02"), (2, "2024-01-02"), (3, "2024-01-03"))
+        write_table(old, sink, job, mode, DAY, batch)
+        left = [steps]
+
+        def counted(plain):
+            def step(self, *args):
+                if left[0] == 0:
+                    raise Crash
+                left[0] -= 1
+                return plain(self, *args)
+
+            return step
+
+        with monkeypatch.context() as broken:
+            for name in ("move", "delete", "create"):
+                broken.setattr(Folders, name, counted(getattr(Folders, name)))
+            broken.setattr("sluice.sinks.commits.MOVERS", 1)
+            try:
+                write_table(frame(spark, (5, "2024-01-02"), (6, "2024-01-02")), sink, job, mode, DAY, batch)
+                done = True
+            except Crash:
+                pass
+        new = [(5, "2024-01-02"), (6, "2024-01-02")]
+        other = [] if mode != "daily" else [(3, "2024-01-03")]
+        before = [(1, "2024-01-02"), (2, "2024-01-02"), (3, "2024-01-03")]
+        Commits(spark, sink, job).recover()
+        found = rows_of(spark, sink, job)
+        assert found in (sorted(new + other), before)
+        assert not done or found == sorted(new + other)
+        state = tmp_path / str(steps) / "_sluice" / "t"
+        assert not state.exists() or {p.name for p in state.iterdir()} <= {"batches"}
+        # Whatever happened, the run that is repeated gives what a single one gives.
+        write_table(frame(spark, (5, "2024-01-02"), (6, "2024-01-02")), sink, job, mode, DAY, batch)
+        assert rows_of(spark, sink, job) == sorted(new + other)
+        steps += 1
+    assert steps > 5
+
+
+def test_a_plan_of_another_run_is_a_conflict(spark, tmp_path, monkeypatch):
+    sink, job = file_sink(tmp_path), table_job()
+    write_table(frame(spark, (1, "a")), sink, job, "completely")
+    commits = Commits(spark, sink, job)
+    staged = commits.staged()
+    frame(spark, (2, "b")).write.parquet(staged)
+    assert commits.folders.create(f"{commits.state}/plan.json", {"of": "another"})
+    with pytest.raises(CommitConflict, match="another run"):
+        commits.commit(staged, Replacement(whole=True))
+    assert rows_of(spark, sink, job) == [(1, "a")]
+
+
+def test_a_plan_that_broke_off_while_being_written_is_none(spark, tmp_path):
+    sink, job = file_sink(tmp_path), table_job()
+    write_table(frame(spark, (1, "a")), sink, job, "completely")
+    state = tmp_path / "_sluice" / "t"
+    state.mkdir(parents=True)
+    (state / "plan.json").write_text('{"id": "x", "who')
+    write_table(frame(spark, (2, "a")), sink, job, "completely")
+    assert rows_of(spark, sink, job) == [(2, "a")]
+
+
+def test_names_that_look_like_patterns(spark, tmp_path):
+    sink = file_sink(tmp_path / "a[b]{c,d}*")
+    job = table_job("t?", checkColumn="x[y]", partitionKeys="x[y]", replacePartitions="true")
+    rows = spark.createDataFrame([(1, "2024-01-02"), (2, "2024-01-03")], "k int, `x[y]` string")
+    for _ in range(2):
+        write_table(rows.where("k = 1"), sink, job, "daily", DAY)
+        write_table(rows.where("k = 2"), sink, job, "daily", date(2024, 1, 3))
+    files = data_files(tmp_path / "a[b]{c,d}*" / "t?")
+    assert len(files) == 2 and escaped("a[b]") == "a\\[b\\]"
+
+
+# Batches
+
+
+def numbers(spark, tmp_path, low, high):
+    folder = tmp_path / "in"
+    rows = spark.range(low, high).withColumn("v", F.col("id") * 2)
+    rows.write.mode("overwrite").parquet(f"{folder}/t")
+    return Endpoint("in", {"format": "parquet", "location": str(folder)})
+
+
+def ids(spark, sink):
+    return Counter(r.id for r in spark.read.parquet(f"{sink.get('location')}/t").collect())
+
+
+def test_a_repeated_batch_is_replaced(spark, tmp_path):
+    sink, other = file_sink(tmp_path / "out"), {"checkColumn": "id", "repeatSafe": "true"}
+    job = table_job(mode="incrementally", lastValue="5", **other)
+    ingest_table(spark, job, numbers(spark, tmp_path, 0, 8), sink, "incrementally")
+    ingest_table(spark, job, numbers(spark, tmp_path, 0, 8), sink, "incrementally")
+    assert ids(spark, sink) == Counter(range(5, 8))
+    # More rows have come since.
+    ingest_table(spark, job, numbers(spark, tmp_path, 0, 10), sink, "incrementally")
+    assert ids(spark, sink) == Counter(range(5, 10))
+    # From another mark on it is another batch, also of a job with another name.
+    later = table_job(mode="incrementally", lastValue="'9'", **other)
+    ingest_table(spark, later, numbers(spark, tmp_path, 0, 12), sink, "incrementally")
+    assert ids(spark, sink) == Counter([5, 6, 7, 8, 9, 9, 10, 11])
+    records = [json.loads(p.read_text()) for p in (tmp_path / "out/_sluice/t/batches").glob("*.json")]
+    assert sorted((r["from"], r["to"], r["rows"]) for r in records) == [("5", "9", 5), ("9", "11", 3)]
+
+
+def test_files_of_a_batch_that_are_gone_are_told(spark, tmp_path):
+    sink = file_sink(tmp_path / "out")
+    job = table_job(mode="incrementally", lastValue="5", checkColumn="id", repeatSafe="true")
+    source = numbers(spark, tmp_path, 0, 8)
+    ingest_table(spark, job, source, sink, "incrementally")
+    for name in data_files(tmp_path / "out/t"):
+        (tmp_path / "out/t" / name).unlink()
+    with pytest.warns(UserWarning, match="not in"):
+        ingest_table(spark, job, source, sink, "incrementally")
+    assert ids(spark, sink) == Counter(range(5, 8))
+
+
+def test_a_repeated_day_is_replaced_wherever_its_rows_are(spark, tmp_path):
+    folder, sink = tmp_path / "in", file_sink(tmp_path / "out")
+    source = Endpoint("in", {"format": "parquet", "location": str(folder)})
+    job = table_job(mode="daily", checkColumn="d", repeatSafe="true", partitionKeys="k")
+    for keys in ([1, 2], [2, 3]):
+        frame(spark, *[(k, "2024-01-02") for k in keys]).write.mode("overwrite").parquet(f"{folder}/t")
+        ingest_table(spark, job, source, sink, "daily", as_of="2024-01-03")
+    assert rows_of(spark, sink, job, "d string, k int") == [("2024-01-02", 2), ("2024-01-02", 3)]
+
+
+# Marks
+
+
+def test_kept_marks_continue_without_edits(spark, tmp_path):
+    sink = file_sink(tmp_path / "out")
+    job = table_job(mode="incrementally", lastValue="0", checkColumn="id", keepMarks="true")
+    results = [
+        ingest_table(spark, job, numbers(spark, tmp_path, 0, high), sink, "incrementally") for high in (5, 5, 9)
+    ]
+    assert [(r.rows, r.last_value) for r in results] == [(5, "4"), (0, "4"), (4, "8")]
+    assert ids(spark, sink) == Counter(range(9))
+    assert Marks(spark, sink, job).last() == (2, "8")
+    again = table_job(mode="incrementally", lastValue="0", checkColumn="id", keepMarks="true", inclusive="true")
+    ingest_table(spark, again, numbers(spark, tmp_path, 0, 10), sink, "incrementally")
+    assert ids(spark, sink) == Counter([*range(10), 8])
+
+
+def test_a_run_that_ends_before_its_mark_is_repeated_safely(spark, tmp_path, monkeypatch):
+    sink = file_sink(tmp_path / "out")
+    job = table_job(mode="incrementally", lastValue="0", checkColumn="id", keepMarks="true")
+
+    def crash(*_):
+        raise Crash
+
+    with monkeypatch.context() as broken:
+        broken.setattr(Marks, "set", crash)
+        with pytest.raises(Crash):
+            ingest_table(spark, job, numbers(spark, tmp_path, 0, 5), sink, "incrementally")
+    assert ids(spark, sink) == Counter(range(5))
+    ingest_table(spark, job, numbers(spark, tmp_path, 0, 7), sink, "incrementally")
+    assert ids(spark, sink) == Counter(range(7))
+
+
+def test_of_two_marks_one_is_set(spark, tmp_path):
+    marks = Marks(spark, file_sink(tmp_path), table_job("t", "incrementally"))
+    assert marks.last() == (0, None)
+    marks.set(0, "1", "id")
+    with pytest.raises(CommitConflict, match="meanwhile"):
+        marks.set(0, "2", "id")
+    for n in range(1, 5):
+        marks.set(n, str(n * 10), "id")
+    assert marks.last() == (5, "40")
+    (tmp_path / "_sluice/t/marks/t-incrementally/0000000006.json").write_text("{")
+    assert marks.last() == (5, "40")
+
+
+# Resumed runs
+
+
+def test_a_resumed_run_goes_on_behind_what_is_finished(spark, tmp_path):
+    folder, sink = tmp_path / "in", file_sink(tmp_path / "out")
+    for name in ("a", "c"):
+        spark.range(3).write.parquet(f"{folder}/{name}")
+    endpoints = {"in": Endpoint("in", {"format": "parquet", "location": str(folder)}), "out": sink}
+    jobs = [table_job(name, "later", n="1") for name in ("a", "b", "c")]
+
+    def go(**more):
+        return run(spark, endpoints, jobs, "in", "out", "later", custom_modes=True, **more)
+
+    with pytest.raises(RunError, match="a: 3 rows"):
+        go(resume="night/1", as_of="2024-01-02")
+    spark.range(5).write.parquet(f"{folder}/b")
+    with pytest.raises(ValueError, match="another as_of"):
+        go(resume="night/1", as_of="2024-01-03")
+    result = go(resume="night/1", as_of="2024-01-02")
+    assert [tuple(r)[:2] for r in result.collect()] == [("a", 3), ("b", 5), ("c", 3)]
+    counts = [spark.read.parquet(f"{tmp_path}/out/{name}").count() for name in ("a", "b", "c")]
+    assert counts == [3, 5, 3]  # appended once each
+    go(resume="night/1")
+    assert spark.read.parquet(f"{tmp_path}/out/a").count() == 3
+    go(resume="night/2")
+    assert spark.read.parquet(f"{tmp_path}/out/a").count() == 6
+    jobs.pop()
+    with pytest.raises(ValueError, match="another jobs"):
+        go(resume="night/1")
+    with pytest.raises(ValueError, match="needs a name"):
+        go(resume=" ")
+
+
+# Reconciliation
+
+
+ALL_KINDS = """
+    SELECT id, cast(id AS string) AS s, if(id % 3 = 0, NULL, id / 7.0D) AS f, timestamp_seconds(id) AS t,
+           timestamp_ntz'2024-01-02 03:04:05' AS n, cast(id AS decimal(20, 3)) AS dec, array(id, NULL) AS a,
+           map('x', id, 'b', 2 * id) AS m, named_struct('p', map(cast(id AS string), array(1)), 'q', id) AS r,
+           cast('a' AS binary) AS bin, id % 2 = 0 AS flag, if(id % 2 = 0, '', 'k') AS k
+    FROM range(50)
+"""
+
+
+@pytest.mark.parametrize("format", ["parquet", "orc", "avro"])
+def test_all_kinds_arrive(spark, tmp_path, format):
+    folder, sink = tmp_path / "in", file_sink(tmp_path / "out", format)
+    spark.sql(ALL_KINDS).write.parquet(f"{folder}/t")
+    source = Endpoint("in", {"format": "parquet", "location": str(folder)})
+    job = table_job(reconcile="true", partitionKeys="k")
+    assert ingest_table(spark, job, source, sink, "completely").rows == 50
+
+
+def test_order_does_not_matter_but_rows_do(spark):
+    df = spark.sql(ALL_KINDS)
+
+    def total(rows):
+        return rows.agg(checksum(rows, []).alias("c")).first()[0]
+
+    assert total(df) == total(df.repartition(7).orderBy(F.desc("id")))
+    assert total(df) != total(df.where("id > 0")) and total(df) != total(df.withColumn("f", F.col("f") + 1e-9))
+    assert total(df.where("false")) == 0
+    with pytest.raises(Mismatch, match="changed"):
+        compare(df.withColumn("id", F.col("id") + 1), [], 50, total(df), "t")
+
+
+@pytest.mark.parametrize("mode", ["completely", "incrementally"])
+def test_a_lost_file_is_caught_before_it_counts(spark, tmp_path, monkeypatch, mode):
+    sink = file_sink(tmp_path / "out")
+    options = {"checkColumn": "id", "lastValue": "0"} if mode == "incrementally" else {}
+    job = table_job(mode=mode, reconcile="true", **options)
+    ingest_table(spark, job, numbers(spark, tmp_path, 0, 3), sink, mode)
+
+    def lossy(df, sink, job, mode, day, batch, check):
+        def after_a_loss(folder):
+            files = Folders(spark)
+            files.delete(f"{folder}/{next(files.data_files(folder))}")
+            check(folder)
+
+        return write_table(df, sink, job, mode, day, batch, after_a_loss)
+
+    monkeypatch.setattr("sluice.plans.job.write_table", lossy)
+    with pytest.raises(Mismatch, match="have arrived"):
+        ingest_table(spark, job, numbers(spark, tmp_path, 0, 60), sink, mode)
+    assert ids(spark, sink) == Counter(range(3))
+
+
+# Rows that do not fit
+
+
+AVRO = {
+    "type": "record",
+    "name": "t",
+    "fields": [
+        {"name": "id", "type": "int"},
+        {"name": "r", "type": {"type": "record", "name": "r", "fields": [{"name": "x", "type": "int"}]}},
+        {"name": "a", "type": {"type": "array", "items": "double"}},
+        {"name": "m", "type": {"type": "map", "values": "int"}},
+    ],
+}
+
+
+def test_rows_that_do_not_fit_go_aside(spark, tmp_path):
+    folder, sink = tmp_path / "in", file_sink(tmp_path / "out")
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s/t.avsc").write_text(json.dumps(AVRO))
+    spark.sql("""
+        SELECT * FROM VALUES
+          (1L, '1', named_struct('x', '7'), array('1.5', NULL), map('k', '2')),
+          (2L, '9999999999', named_struct('x', 'seven'), array('1', 'one', 'uno'), map('k', 'two')),
+          (3L, NULL, NULL, NULL, NULL),
+          (4L, '4', named_struct('x', ' 8 '), array(), map())
+        AS t(rejected, id, r, a, m)""").write.parquet(f"{folder}/t")
+    source = Endpoint("in", {"format": "parquet", "location": str(folder)})
+    job = table_job("t", "incrementally", schema="t.avsc", quarantine="true", checkColumn="rejected", lastValue="0")
+    endpoints = {"in": source, "out": sink}
+    result = run(spark, endpoints, [job], "in", "out", "incrementally", schemas_path=str(tmp_path / "s"))
+    assert [tuple(r) for r in result.collect()] == [("t", 3, "4")]
+    good = spark.read.parquet(f"{tmp_path}/out/t")
+    assert sorted(r.id or 0 for r in good.collect()) == [0, 1, 4]
+    assert good.columns == ["id", "r", "a", "m"]
+    bad = spark.read.parquet(f"{tmp_path}/out/t__rejected").collect()
+    assert [r.id for r in bad] == ["9999999999"] and bad[0].rejected == 2
+    assert [tuple(x) for x in bad[0].rejected_] == [
+        ("id", "9999999999"), ("r.x", "seven"), ("a[]", "one"), ("a[]", "uno"), ("m{}", "two")
+    ]
+
+
+def test_rejected_rows_of_a_repeated_batch_come_once(spark, tmp_path):
+    folder, sink = tmp_path / "in", file_sink(tmp_path / "out")
+    source = Endpoint("in", {"format": "parquet", "location": str(folder)})
+    from pyspark.sql.types import StructType
+
+    schema, options = StructType.fromDDL("v int"), {"checkColumn": "id", "lastValue": "0"}
+    job = table_job("t", "incrementally", schema="s", quarantine="true", repeatSafe="true", **options)
+    for texts in (["1", "x", "3"], ["1", "x", "y", "4"], ["1", "2", "3", "4"]):
+        spark.createDataFrame(list(enumerate(texts)), "id long, v string").write.mode("overwrite").parquet(f"{folder}/t")
+        result = ingest_table(spark, job, source, sink, "incrementally", schema)
+        bad = [t for t in texts if not t.isdecimal()]
+        assert (result.rows, result.rejected) == (len(texts) - len(bad), len(bad))
+        assert result.last_value == str(len(texts) - 1)
+        found = spark.read.schema("v string").parquet(f"{tmp_path}/out/t__rejected").collect()
+        assert sorted(r.v for r in found) == bad
+        assert spark.read.parquet(f"{tmp_path}/out/t").count() == result.rows
+
+
+@pytest.mark.parametrize(
+    "mode, options, message",
+    [
+        ("completely", {"quarantine": "true"}, "schema"),
+        ("completely", {"quarantine": "true", "schema": "s", "lenientCasts": "true"}, "either"),
+        ("completely", {"keepMarks": "true"}, "keepMarks needs"),
+        ("completely", {"repeatSafe": "true"}, "repeatSafe needs"),
+        ("completely", {"reconcile": "maybe"}, "true or false"),
+    ],
+)
+def test_options_that_do_not_go_together(spark, tmp_path, mode, options, message):
+    endpoints = {"in": Endpoint("in", {"format": "parquet", "location": "x"}), "out": file_sink(tmp_path)}
+    with pytest.raises(ValueError, match=message):
+        run(spark, endpoints, [table_job(mode=mode, **options)], "in", "out", mode)
+    endpoints["out"] = file_sink(tmp_path, "csv")
+    with pytest.raises(ValueError, match="values come back"):
+        run(spark, endpoints, [table_job(reconcile="true")], "in", "out", "completely")
