@@ -9,8 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from sluice_checks.oracle import ORACLE
-from sluice_checks.queries import QUERIES
+from sluice_checks.registry import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
