@@ -29,7 +29,6 @@ The table is read once for each scan (``shards`` times ``longest`` at most), so
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from functools import reduce
 
@@ -51,81 +50,78 @@ SHARDS = 2
 CELLS = 1 << 24
 #: A cell of which no phrase is frequent so far. So there may be 254 scans.
 NEVER = 255
-#: Words that a task counts at once (or those of one text, if more), and rows it hands over at once.
-CHUNK, SLICE = 1 << 21, 1 << 16
+#: Bytes of text that a task counts at once (or one text, if that is longer), and rows it hands over at once.
+CHUNK, SLICE = 1 << 24, 1 << 16
 SEED = 42
 BREAKS = b".,;:!?\n\x0b\x0c\r"
-#: Stands between pieces: a byte that is in no text, and the number of that word.
-BREAK, NO_WORD = b"\xff", 0
-CLEAN = bytes(0xFF if i in BREAKS else 0x20 if i == 9 else i + 32 if 65 <= i <= 90 else i for i in range(256))
-COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("start", pa.int32()), ("n", pa.int64())])
-
-
-class Numbers(dict):
-    """Numbers for the words of a language, given by the chunk when they are first asked for."""
-
-    def __init__(self, chunk: Chunk, lang: str):
-        super().__init__({BREAK: NO_WORD})
-        self.chunk, self.lang = chunk, lang
-        self.seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self.chunk.words)
-        self.chunk.words.append(word)
-        self.chunk.langs.append(self.lang)
-        self.chunk.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
-        return number
+#: Stands between pieces: itself a break, so no word.
+BREAK = b"."
+CLEAN = bytes(BREAK[0] if i in BREAKS else 0x20 if i == 9 else i + 32 if 65 <= i <= 90 else i for i in range(256))
+#: A phrase in one text: the scan it starts with, as the character of that number and one, its language, a line
+#: feed (in no phrase), its words.
+COUNTS = pa.schema([("key", pa.string()), ("n", pa.int64())])
 
 
 class Chunk:
-    """Words of many texts: a number for each word of a language, and the numbers in a row, with
-    ``NO_WORD`` behind every piece."""
+    """The texts that are counted at once."""
 
     def __init__(self):
-        self.numbers: dict[str, Numbers] = {}
-        self.words, self.langs, self.hashes = [b""], [""], array("Q", [0])
-        self.ids: list[np.ndarray] = []
+        self.texts: dict[str, list[bytes]] = {}
         self.size = 0
 
     def add(self, lang: str, text: bytes) -> None:
-        if lang not in self.numbers:
-            self.numbers[lang] = Numbers(self, lang)
-        found = text.translate(CLEAN).replace(BREAK, b" \xff ").split()
-        found.append(BREAK)
-        self.ids.append(np.fromiter(map(self.numbers[lang].__getitem__, found), np.int64, len(found)))
-        self.size += len(found)
+        clean = text.translate(CLEAN).replace(BREAK, b" . ") + b" ."
+        self.texts.setdefault(lang, []).append(clean)
+        self.size += len(clean)
+
+    def numbered(self) -> tuple[np.ndarray, pa.Array, pa.Array, np.ndarray, np.ndarray]:
+        """All words in a row, by the numbers of their forms; of each form the word, the language, the
+        hash, and whether it stands between pieces."""
+        ids, words, langs, hashes, base = [], [], [], [], 0
+        for lang, texts in self.texts.items():
+            # Blanks at the ends of a text give empty words, which count as breaks.
+            parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+            coded = parts.flatten().dictionary_encode()
+            ids.append(coded.indices.to_numpy().astype(np.int64) + base)
+            base += len(coded.dictionary)
+            words.append(coded.dictionary.cast(pa.string()))
+            langs.append(pa.repeat(pa.scalar(lang, pa.string()), len(coded.dictionary)))
+            seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
+            forms = coded.dictionary.cast(pa.large_binary()).to_pylist()
+            hashes.append(np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in forms), np.uint64, len(forms)))
+        words = pa.concat_arrays(words)
+        between = pc.is_in(words, pa.array(["", BREAK.decode()])).to_numpy(zero_copy_only=False)
+        return np.concatenate(ids), words, pa.concat_arrays(langs), np.concatenate(hashes), between
 
     def counts(self, born: np.ndarray, scan: int, shards: int, longest: int) -> Iterator[pa.RecordBatch]:
         """The counts of all phrases that are counted in this scan."""
-        if not self.ids:
+        if not self.texts:
             return
-        ids = np.concatenate(self.ids)
-        words, langs = pa.array(self.words, pa.binary()).cast(pa.string()), pa.array(self.langs, pa.string())
-        total, hashes = len(self.words), np.frombuffer(self.hashes, np.uint64)
-        del self.ids, self.numbers
+        ids, words, langs, hashes, between = self.numbered()
+        self.texts, total = {}, len(words)
         if scan < shards:
-            times = np.bincount(ids, minlength=total)
-            yield from handed_over(langs[1:], words[1:], np.zeros(total - 1), times[1:])
+            real = pa.array(np.flatnonzero(~between))
+            times, names = np.bincount(ids, minlength=total)[~between], langs.take(real).dictionary_encode()
+            yield from handed_over(0, langs.take(real), words.take(real), times)
             # The count of all words of a language goes as that of the phrase of no words.
-            names = langs[1:].dictionary_encode()
-            sums = np.bincount(names.indices.to_numpy(), times[1:], len(names.dictionary)).astype(np.int64)
-            nothing = pa.array([""] * len(sums), pa.string())
-            yield from handed_over(names.dictionary, nothing, np.zeros(len(sums)), sums)
+            sums = np.bincount(names.indices.to_numpy(), times, len(names.dictionary))
+            yield from handed_over(0, names.dictionary, pa.array([""] * len(sums), pa.string()), sums)
         starts = born_in(born, hashes)
-        starts[NO_WORD] = NEVER  # so no phrase goes over the end of a piece
+        starts[between] = NEVER  # so no phrase goes over the end of a piece
         starts, hashes = starts[ids], hashes[ids]
         codes = hashes
         for size in range(2, longest + 1):
             # Of the phrase at each place: when its first and its second part became frequent.
             first, second = starts[:-1], starts[1:]
             whole = (first != NEVER) & (second != NEVER)
-            begin = np.maximum(first, second)  # the scan before that in which it starts
-            now = np.flatnonzero(whole & (begin < scan) & (scan <= begin.astype(np.int16) + shards))
-            if len(now):
-                places, times = groups(ids, now, size, total)
-                parts = [words.take(pa.array(ids[places + i])) for i in range(size)]
-                joined = pc.binary_join_element_wise(*parts, " ")
-                yield from handed_over(langs.take(pa.array(ids[places])), joined, begin[places] + np.int32(1), times)
+            before = np.maximum(first, second)  # the scan before that in which it starts
+            for start in range(max(scan - shards + 1, 1), scan + 1):
+                now = np.flatnonzero(whole & (before == start - 1))
+                if len(now):
+                    places, times = groups(ids, now, size, total)
+                    parts = [words.take(pa.array(ids[places + i])) for i in range(size)]
+                    joined = pc.binary_join_element_wise(*parts, " ")
+                    yield from handed_over(start, langs.take(pa.array(ids[places])), joined, times)
             if size < longest:
                 codes = mixed(codes[:-1], hashes[size - 1 :])
                 starts = np.where(whole, born_in(born, codes), np.uint8(NEVER))
@@ -151,11 +147,18 @@ def born_in(born: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return born[(codes & np.uint64(len(born) - 1)).astype(np.int64)]
 
 
-def handed_over(langs: pa.Array, phrases: pa.Array, starts: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
-    columns = [langs, phrases, pa.array(starts.astype(np.int32)), pa.array(times.astype(np.int64))]
-    whole = pa.RecordBatch.from_arrays(columns, schema=COUNTS)
-    for start in range(0, whole.num_rows, SLICE):
-        yield whole.slice(start, SLICE)
+def handed_over(start: int, langs: pa.Array, phrases: pa.Array, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+    keys = pc.binary_join_element_wise(pc.binary_join_element_wise(chr(start + 1), langs, ""), phrases, "\n")
+    whole = pa.RecordBatch.from_arrays([keys, pa.array(times.astype(np.int64))], schema=COUNTS)
+    for first in range(0, whole.num_rows, SLICE):
+        yield whole.slice(first, SLICE)
+
+
+def of_keys(state: DataFrame) -> DataFrame:
+    """``lang``, ``phrase``, ``n`` for ``key``, ``n``."""
+    named = state.withColumn("phrase", F.substring_index("key", "\n", -1))
+    lang = F.substring(F.col("key"), F.lit(2), F.length("key") - F.length("phrase") - 2)
+    return named.select(lang.alias("lang"), "phrase", "n")
 
 
 def cell_of(lang: Column, phrase: Column, longest: int, cells: int = CELLS) -> Column:
@@ -176,7 +179,7 @@ def cell_of(lang: Column, phrase: Column, longest: int, cells: int = CELLS) -> C
 def shard_counts(
     df: DataFrame, text: str, lang: str, shards: int, born: Broadcast, scan: int, longest: int, at_once: int
 ) -> DataFrame:
-    """``lang``, ``phrase``, ``start``, ``n`` of the phrases counted in a scan; several rows of a phrase."""
+    """``key``, ``n`` of the phrases counted in a scan; several rows of a phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, chunk = born.value, Chunk()
@@ -192,7 +195,7 @@ def shard_counts(
     mine = df.where(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable(df)]), F.lit(shards)) == scan % shards)
     name = F.coalesce(F.col(lang).cast("string"), F.lit("und"))
     rows = mine.where(F.col(text) != "").select(name.alias("lang"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "lang string, phrase string, start int, n long")
+    return rows.mapInArrow(run, "key string, n long")
 
 
 def hashable(df: DataFrame) -> list[str]:
@@ -204,7 +207,8 @@ def newly_frequent(state: DataFrame, born: np.ndarray, scan: int, least: int, lo
 
     They come as bitmaps of 4 KB, 512 at most.
     """
-    frequent = state.where((F.col("n") >= least) & (F.col("phrase") != "") & (F.size(F.split("phrase", " ")) < longest))
+    frequent = of_keys(state.where(F.col("n") >= least))
+    frequent = frequent.where((F.col("phrase") != "") & (F.size(F.split("phrase", " ")) < longest))
     found = frequent.select(cell_of(F.col("lang"), F.col("phrase"), longest, len(born)).alias("cell"))
     maps = (
         found.groupBy(F.shiftright("cell", 15).alias("part"))
@@ -243,13 +247,13 @@ def counted(
         counts = shard_counts(df, text, lang, shards, sent, scan, longest, at_once)
         if waiting is not None:
             counts = counts.unionByName(waiting)
-        state = counts.groupBy("lang", "phrase").agg(F.max("start").alias("start"), F.sum("n").alias("n"))
-        over = F.col("start") + (shards - 1) == scan
-        often = (F.col("n") >= least) | (F.col("phrase") == "")
+        state = counts.groupBy("key").agg(F.sum("n").alias("n"))
+        over = F.ascii("key") - 1 + (shards - 1) == scan
+        often = (F.col("n") >= least) | F.col("key").endswith("\n")
         state = stored(state.where(often | ~over))
         if newly_frequent(state, born, scan, least, longest):
             last = scan + shards  # the cycle of what starts with the next scan
-        complete.append(state.where(over & often).select("lang", "phrase", "n"))
+        complete.append(of_keys(state.where(over & often)))
         waiting = state.where(~over)
         sent.unpersist()
         scan += 1
