@@ -17,7 +17,14 @@ from sluice.functions.columns import column, require_field
 from sluice.functions.literals import unquote
 from sluice.plans.specs import SPLIT_OPTIONS, Endpoint, TableJob
 from sluice.sources.credentials import check_credentials, connection_properties
-from sluice.sources.splits import SplitColumn, balanced_ranges, clock_zone, quoted_name, time_cuts
+from sluice.sources.splits import (
+    AT_ONCE,
+    SplitColumn,
+    balanced_ranges,
+    clock_zone,
+    quoted_name,
+    time_cuts,
+)
 
 # Fixed values of Oracle connections: the URL form, the formats in which the session reads
 # dates and timestamps given as text (Spark gives partition bounds so), and the driver
@@ -130,6 +137,19 @@ def read_highest(spark: SparkSession, source: Endpoint, job: TableJob, name: str
     return loader(spark, source, job)(table=query)
 
 
+def check_order(text: SplitColumn, table: str, load: Callable[..., DataFrame]) -> None:
+    """Refuses a text column that the database sorts otherwise than Spark does: a row could then be
+    in two of its ranges, or in none. The database says so itself, for the cuts that were made."""
+    cuts = sorted(text.used)
+    for first in range(0, len(cuts) - 1, AT_ONCE):
+        found = load(table=text.disorder_of(table, cuts[first : first + AT_ONCE + 1])).first()
+        if found[0]:
+            raise ValueError(
+                f"the database does not sort the partitionColumn {text.name} as Spark does, by code"
+                " points; split by a number, date or timestamp instead"
+            )
+
+
 def read_jdbc(
     spark: SparkSession,
     source: Endpoint,
@@ -142,7 +162,7 @@ def read_jdbc(
     The bounds only set how wide the ranges are: the first and the last one are open, so all
     rows are read. Without bounds the database is asked for the lowest and highest value. Every
     range is one task with one connection, and a range with many rows is one long task. ``balanceReads`` needs no bounds and makes ranges of about as many rows
-    each, counting only the rows of the mode.
+    each, counting only the rows of the mode; it splits by text, too, if the database sorts that as Spark does.
     """
     url, load = jdbc_url(source), loader(spark, source, job)
     rows = load()
@@ -154,7 +174,7 @@ def read_jdbc(
     # A balanced read may name a second column, to split single values with many rows.
     names = job.require("partitionColumn").split(",", maxsplit=1 if balanced else 0)
     fields = [require_field(rows, name.strip(), "partitionColumn") for name in names]
-    columns = [SplitColumn(spark, url, field) for field in fields]
+    columns = [SplitColumn(spark, url, field, text=balanced) for field in fields]
     name, start = start_of_mode(rows) or (None, None)
     if balanced:
         last = columns[-1]
@@ -163,7 +183,24 @@ def read_jdbc(
         if name == fields[-1].name:
             low = F.greatest(low, start)
         bounds = found.select(last.on_clock(low), last.on_clock(high)).first()
-        return load(balanced_ranges(columns, parts, lambda some: rows_of_mode(load(some)), bounds))
+        for one in columns:
+            if one.is_text:
+                one.between(*(bounds if one is last else load(table=one.bounds_of(job.table_name)).first()))
+
+        def count(strides: list[tuple]) -> list[int]:
+            """Rows of the table in each stride, counted by the database."""
+            found = [0] * len(strides)
+            for first in range(0, len(strides), AT_ONCE):
+                query = last.histogram_of(job.table_name, strides[first : first + AT_ONCE])
+                for part, n in load(table=query).collect():  # a row for each stride at most
+                    found[first + int(part)] = int(n)
+            return found
+
+        ranges = balanced_ranges(columns, parts, lambda some: rows_of_mode(load(some)), bounds, count)
+        for one in columns:
+            if one.is_text:
+                check_order(one, job.table_name, load)
+        return load(ranges)
 
     if job.get("lowerBound") is None:
         found = load(table=columns[0].bounds_of(job.table_name))

@@ -7,6 +7,7 @@ decide how even the parts become. Spark reads each condition in a task of its ow
 from __future__ import annotations
 
 import math
+import os
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterable
@@ -22,6 +23,7 @@ from pyspark.sql.types import (
     DoubleType,
     FloatType,
     NumericType,
+    StringType,
     StructField,
     TimestampNTZType,
     TimestampType,
@@ -33,6 +35,18 @@ from sluice.functions.columns import column
 # kilobytes each, right to less than a thousandth of the rows.
 SKETCH = 4096
 
+# Strides that the database counts at once where it does so, and into how many a heavy one is cut.
+STRIDES, FINER = 64, 16
+
+# How often heavy strides are cut and counted again.
+ROUNDS = 8
+
+# Conditions that are put into one question to the database.
+AT_ONCE = 200
+
+# Bytes of a text behind what all texts share, of which a whole number is made.
+TEXT_BYTES = 7
+
 # Cuts taken from one sketch of all rows, about the finest that it can tell. Finer ones come from a
 # sketch for each range between these.
 COARSE = 64
@@ -54,13 +68,16 @@ def quoted_name(spark: SparkSession, url: str, name: str) -> str:
 class SplitColumn:
     """A column to split by, in Spark and in the SQL of the database at a URL."""
 
-    def __init__(self, spark: SparkSession, url: str, field: StructField):
-        if not isinstance(field.dataType, (NumericType, DateType, TimestampType, TimestampNTZType)):
+    def __init__(self, spark: SparkSession, url: str, field: StructField, text: bool = False):
+        kinds = (NumericType, DateType, TimestampType, TimestampNTZType) + (StringType,) * text
+        if not isinstance(field.dataType, kinds):
+            hint = "; text needs balanceReads" if isinstance(field.dataType, StringType) else ""
             raise ValueError(
                 f"partitionColumn '{field.name}' should be a number, date or timestamp,"
-                f" not {field.dataType.simpleString()}"
+                f" not {field.dataType.simpleString()}{hint}"
             )
-        self._spark, self._field = spark, field
+        self._spark, self._field, self._shared = spark, field, b""
+        self.used: set = set()  # all cuts of its ranges
         self._dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
         self.name = quoted_name(spark, url, field.name)
 
@@ -74,6 +91,7 @@ class SplitColumn:
 
     def ranges(self, cuts: list, nulls_apart: bool = False) -> list[str] | None:
         """One condition per range between the cuts; NULLs belong to the first or get their own."""
+        self.used.update(cuts)
         if not cuts:
             return [self.is_null, f"{self.name} IS NOT NULL"] if nulls_apart else None
         limits = [self._literal(cut) for cut in cuts]
@@ -83,6 +101,55 @@ class SplitColumn:
             return [self.is_null, first, *inner, last]
         return [f"{first} OR {self.is_null}", *inner, last]
 
+    @property
+    def is_text(self) -> bool:
+        return isinstance(self._field.dataType, StringType)
+
+    def between(self, low: str | None, high: str | None) -> None:
+        """Says where the texts of a column lie: what these two share at the front tells none apart."""
+        self._shared = os.path.commonprefix([(low or "").encode(), (high or "").encode()])
+
+    def cuts_between(self, low, high, parts: int) -> list:
+        """The inner limits of ``parts`` ranges of equal width."""
+        if not self.is_text:
+            return even_cuts(low, high, parts)
+        numbers = [self._number_of(text) for text in (low, high)]
+        return sorted(set(map(self._text_of, even_cuts(*numbers, parts))))
+
+    def known(self, cuts: Iterable | None) -> list:
+        """Cuts that Spark has found, as values of the column."""
+        found = _finite(cuts)
+        return [self._text_of(number) for number in found] if self.is_text else found
+
+    def _number_of(self, text: str) -> int:
+        rest = text.encode()[len(self._shared) :][:TEXT_BYTES]
+        return int.from_bytes(rest.ljust(TEXT_BYTES, b"\0"))
+
+    def _text_of(self, number: int) -> str:
+        raw = (self._shared + number.to_bytes(TEXT_BYTES)).rstrip(b"\0")
+        return raw.decode(errors="ignore")  # a letter may be cut
+
+    def histogram_of(self, table: str, strides: list[tuple]) -> str:
+        """A query by which the database counts the rows in each of some strides, from the first value
+        of each to before the second: a row for each that has rows."""
+        cases, wanted = [], []
+        for number, (low, high) in enumerate(strides):
+            inside = f"{self.name} >= {self._literal(low)}"
+            if high is not None:
+                inside += f" AND {self.name} < {self._literal(high)}"
+            cases.append(f"WHEN {inside} THEN {number}")
+            wanted.append(f"({inside})")
+        part = f"CASE {' '.join(cases)} END AS part"
+        rows = f"SELECT {part} FROM {table} WHERE {' OR '.join(wanted)}"
+        return f"(SELECT part, COUNT(*) AS n FROM ({rows}) strides GROUP BY part) counted"
+
+    def disorder_of(self, table: str, cuts: list) -> str:
+        """A query by which the database counts the rows that are before a cut and behind a later one:
+        none, if it sorts as the cuts are sorted."""
+        limits = [self._literal(cut) for cut in cuts]
+        wrong = [f"({self.name} < {a} AND {self.name} >= {b})" for a, b in pairwise(limits)]
+        return f"(SELECT COUNT(*) AS n FROM {table} WHERE {' OR '.join(wrong)}) disorder"
+
     def bounds_of(self, table: str) -> str:
         """A query by which the database finds the lowest and highest value: one row."""
         return f"(SELECT MIN({self.name}) AS low, MAX({self.name}) AS high FROM {table}) bounds"
@@ -135,6 +202,10 @@ class SplitColumn:
     def _as_number(self) -> Column:
         """The value as a whole number or a double: days for dates, microseconds for times."""
         dtype, value = self._field.dataType, self.values
+        if self.is_text:
+            part = F.substring(value.cast("binary"), len(self._shared) + 1, TEXT_BYTES)
+            padded = F.rpad(part, TEXT_BYTES, F.lit(b"\0"))
+            return F.conv(F.hex(padded), 16, 10).cast("bigint")
         if isinstance(dtype, DateType):
             return F.unix_date(value).cast("bigint")
         if isinstance(dtype, TimestampType):
@@ -147,6 +218,8 @@ class SplitColumn:
 
     def _from_number(self, number: Column) -> Column:
         dtype = self._field.dataType
+        if self.is_text:  # ``known`` does it
+            return number
         if isinstance(dtype, DateType):
             return F.date_from_unix_date(number.cast("int"))
         if isinstance(dtype, TimestampType):
@@ -212,14 +285,15 @@ def balanced_ranges(
     parts: int,
     load: Callable[[list[str] | None], DataFrame],
     bounds: tuple,
+    count: Callable[[list[tuple]], list[int]] | None = None,
 ) -> list[str] | None:
     """Ranges of the first column with about as many rows in each.
 
     A value that alone fills several ranges, NULL included, is split further by the second
     column, if there is one. ``load`` reads the rows that meet each of some conditions, one
     partition per condition. What is read is just the column in question, in even strides
-    between the ``bounds`` of the last column, and summarised within each partition by a sketch
-    of bounded size. All sketches meet for a few coarse cuts; finer ones take a second pass, in
+    between the ``bounds`` of the last column, or in strides of about as many rows where ``count``
+    has the database count those, and summarised within each partition by a sketch of bounded size. All sketches meet for a few coarse cuts; finer ones take a second pass, in
     strides between the coarse cuts, whose sketches meet by range. What reaches the driver is
     about one cut per range.
     """
@@ -227,9 +301,12 @@ def balanced_ranges(
         return None
     first, last = columns[0], columns[-1]
     known = _finite(bounds)
+    counted = counted_strides(last, *known, parts, count) if count and len(known) == 2 else None
 
     def strides(number: int) -> list[str] | None:
-        return last.ranges(even_cuts(*known, number)) if len(known) == 2 else None
+        if counted is not None:
+            return last.ranges(even_groups(counted, number))
+        return last.ranges(last.cuts_between(*known, number)) if len(known) == 2 else None
 
     coarse = min(parts, COARSE)
     seen = (
@@ -242,7 +319,7 @@ def balanced_ranges(
         .select(first.quantiles("sketch", coarse).alias("cuts"), "rows", "known")
         .first()
     )
-    cuts = Counter(_finite(seen.cuts))
+    cuts = Counter(first.known(seen.cuts))
     if parts > coarse and cuts:
         cuts = _finer(first, cuts, -(-parts // coarse), load)
     null_shares = (seen.rows - seen.known) * parts // max(seen.rows, 1)
@@ -275,7 +352,7 @@ def balanced_ranges(
         )
         .collect()
     )
-    inner = {row.range: sorted(set(_finite(row.cuts))) for row in found}
+    inner = {row.range: sorted(set(last.known(row.cuts))) for row in found}
     split = [both([condition], last.ranges(inner.get(i, []))) for i, condition in enumerate(ranges)]
     return list(chain(*split))
 
@@ -284,7 +361,7 @@ def _finer(first: SplitColumn, coarse: Counter, pieces: int, load: Callable) ->
     """Cuts of ``pieces`` parts in each range between coarse cuts, those included."""
     limits = sorted(coarse)
     steps = [low_high for low_high in pairwise(limits)]
-    reading = sorted({*limits, *chain(*[even_cuts(low, high, pieces) for low, high in steps])})
+    reading = sorted({*limits, *chain(*[first.cuts_between(low, high, pieces) for low, high in steps])})
     # The range between limits in which each partition lies; the first partition is below all.
     owners = [0, *[bisect_right(limits, cut) for cut in reading]]
     found = (
@@ -294,13 +371,56 @@ def _finer(first: SplitColumn, coarse: Counter, pieces: int, load: Callable) ->
         .select(first.quantiles("sketch", pieces).alias("cuts"))
         .collect()
     )
-    cuts = Counter(chain(*[_finite(row.cuts) for row in found]))
+    cuts = Counter(chain(*[first.known(row.cuts) for row in found]))
     for cut, times in coarse.items():
         # A value that is several coarse cuts fills the ranges between them.
         cuts[cut] += 1 + (times - 1) * pieces
     return cuts
 
 
+def counted_strides(
+    column: SplitColumn, low, high, parts: int, count: Callable[[list[tuple]], list[int]]
+) -> list[tuple]:
+    """Strides from ``low`` on as (start, rows), none with over a ``parts``-th of the rows unless it
+    cannot be cut any further. The last one is open.
+
+    Even strides are counted, and the heavy ones among them cut and counted again, so a few short answers tell
+    how the rows lie.
+    """
+    starts = [low, *[cut for cut in column.cuts_between(low, high, STRIDES) if cut > low]]
+    strides = list(zip(starts, [*starts[1:], None]))
+    rows = dict(zip(strides, count(strides)))
+    most = max(1, sum(rows.values()) // parts)
+    whole: set[tuple] = set()  # strides that cannot be cut
+    for _ in range(ROUNDS):
+        finer = []
+        for start, end in [stride for stride, n in rows.items() if n > most and stride not in whole]:
+            inner = [c for c in column.cuts_between(start, end or high, FINER) if c > start and (end is None or c < end)]
+            if not inner:
+                whole.add((start, end))
+                continue
+            del rows[start, end]
+            limits = [start, *inner, end]
+            finer += list(pairwise(limits))
+        if not finer:
+            break
+        rows |= dict(zip(finer, count(finer)))
+    return sorted((start, n) for (start, _), n in rows.items())
+
+
+def even_groups(strides: list[tuple], parts: int) -> list:
+    """Cuts that put strides together into at most ``parts`` ranges with about as many rows."""
+    share = sum(n for _, n in strides) / parts
+    before, target, cuts = 0, share, []
+    for start, n in strides:
+        # A share that ends within a stride ends at its nearer end.
+        if before and before + n / 2 >= target and len(cuts) < parts - 1:
+            cuts.append(start)
+            target = share * (math.floor((before + n / 2) / share) + 1)
+        before += n
+    return cuts
+
+
 def both(conditions: list[str], others: list[str] | None) -> list[str]:
     """Each of the conditions together with each of the others, if there are any."""
     if not others:

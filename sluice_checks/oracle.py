@@ -73,6 +73,9 @@ ORACLE: dict[str, str] = {
     "ingest_partitioned_incremental": NEW_ORDERS,
     "ingest_partitioned_balanced": NEW_ORDERS,
     "ingest_partitioned_hot": ALL_LINEITEM,
+    "ingest_partitioned_text": "SELECT * FROM customer",
+    "ingest_partitioned_names": "SELECT * FROM customer",
+    "ingest_partitioned_skewed": "SELECT o_orderkey, o_custkey FROM orders",
     "conform_schema": CONFORMED_ORDERS,
     "conform_schema_lenient": (
         "SELECT o_orderkey, TRY_CAST(o_totalprice AS DECIMAL(7, 2)) AS o_totalprice FROM orders"

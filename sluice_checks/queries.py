@@ -148,6 +148,17 @@ def ingest_partitioned_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, source, job(table, **split), COMPLETELY)
 
 
+def ingest_partitioned_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by a value that grows exponentially with their place."""
+    source, table = derby.endpoint(spark, sf_dir), "skewed_orders"
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    largest = orders.count() - 1
+    skew = F.exp(F.col("o_orderkey") * (40.0 / max(largest, 1))).cast("bigint")
+    derby.fill(spark, source, table, orders.select("o_orderkey", "o_custkey", skew.alias("skew")))
+    split = {"partitionColumn": "skew", "numPartitions": "8", "balanceReads": "true"}
+    return read_table(spark, source, job(table, **split), COMPLETELY).select("o_orderkey", "o_custkey")
+
+
 def ingest_daily_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, table = dated_orders(spark, sf_dir)
     daily = job(table, DAILY, checkColumn="o_orderdate")
@@ -507,6 +518,16 @@ QUERIES: dict[str, Query] = {
         numPartitions="16",
         balanceReads="true",
     ),
+    # A few values that many rows share, split by a number.
+    "ingest_partitioned_text": from_database(
+        "customer", COMPLETELY, partitionColumn="c_mktsegment,c_custkey", numPartitions="16", balanceReads="true"
+    ),
+    # A text key with a long head that all share.
+    "ingest_partitioned_names": from_database(
+        "customer", COMPLETELY, partitionColumn="c_name", numPartitions="8", balanceReads="true"
+    ),
+    # Most rows lie in a small part of the values.
+    "ingest_partitioned_skewed": ingest_partitioned_skewed,
     "conform_schema": conform_schema,
     "conform_schema_lenient": conform_schema_lenient,
     "conform_types": conform_types,

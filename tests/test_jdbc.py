@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -9,14 +10,25 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from helpers import database, file_sink, plan_of, table_job
 from sluice import Endpoint, conform, ingest_table, read_table
 from sluice.functions.chars import _unpadded
+from sluice.operators.filters import limit_filter
+from sluice.operators.progress import highest_mark
+from sluice.sources import highest_value
 from sluice.sources.credentials import connection_properties
 from sluice.sources.jdbc import check_endpoint, jdbc_options, jdbc_url
-from sluice.sources.splits import SplitColumn, balanced_ranges, both, even_cuts, time_cuts
+from sluice.sources.splits import (
+    SplitColumn,
+    balanced_ranges,
+    both,
+    counted_strides,
+    even_cuts,
+    even_groups,
+    time_cuts,
+)
 from sluice_checks import derby
 
 ORACLE = Endpoint(
@@ -267,14 +279,14 @@ def test_incomplete_split_reads_in_one_partition(spark):
 
 
 def test_unusable_splits(spark):
-    columns = "k int, s string, t timestamp_ntz"
-    source, table = database(spark, [(1, "x", datetime(2024, 1, 1))], columns)
+    columns = "k int, s string, t timestamp_ntz, b boolean"
+    source, table = database(spark, [(1, "x", datetime(2024, 1, 1), True)], columns)
     with pytest.raises(Exception, match="(?i)lower bound"):
         rows_of(spark, source, tableName=table, **SPLIT | {"lowerBound": "30"})
-    with pytest.raises(ValueError, match="'s' should be a number, date or timestamp, not string"):
+    with pytest.raises(ValueError, match="'s' should be a number, date or timestamp, not string; text needs"):
         rows_of(spark, source, tableName=table, **SPLIT | {"partitionColumn": "s"})
-    for names in ("s", "k,s", "s,k"):
-        with pytest.raises(ValueError, match="'s' should be a number"):
+    for names in ("b", "k,b", "b,k"):
+        with pytest.raises(ValueError, match="'b' should be a number"):
             balanced = {"numPartitions": "4", "balanceReads": "true", "partitionColumn": names}
             rows_of(spark, source, tableName=table, **balanced)
     with pytest.raises(ValueError, match="'nope' is not a column"):
@@ -491,9 +503,9 @@ def test_balanced_reads_look_at_one_column_in_parallel(spark, monkeypatch):
     source, table = database(spark, [(i, i % 3, "x") for i in range(90)], "id int, k int, s string")
     looked = []
 
-    def spy(columns, parts, load, bounds):
+    def spy(columns, parts, load, bounds, count):
         looked.append(tuple(bounds))
-        return balanced_ranges(columns, parts, lambda c: looked.append(c) or load(c), bounds)
+        return balanced_ranges(columns, parts, lambda c: looked.append(c) or load(c), bounds, count)
 
     monkeypatch.setattr("sluice.sources.jdbc.balanced_ranges", spy)
     options = {"tableName": table, "numPartitions": "6", "balanceReads": "true"}
@@ -532,9 +544,9 @@ def test_balanced_reads_start_where_the_mode_does(
     source, table = database(spark, rows, columns, preferTimestampNTZ=keep_clock)
     looked = []
 
-    def spy(columns, parts, load, bounds):
+    def spy(columns, parts, load, bounds, count):
         looked.append(tuple(bounds))
-        return balanced_ranges(columns, parts, load, bounds)
+        return balanced_ranges(columns, parts, load, bounds, count)
 
     monkeypatch.setattr("sluice.sources.jdbc.balanced_ranges", spy)
     options = {"tableName": table, "numPartitions": "4", "balanceReads": "true"}
@@ -598,3 +610,127 @@ def test_the_embedded_database_is_refused_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="one process only"):
         derby.require_local(Cluster)
+
+
+# Strides counted by the database
+
+
+SKEWED = {
+    "double": lambda x: x,
+    "bigint": lambda x: int(x),
+    "decimal(20,3)": lambda x: Decimal(f"{x:.3f}"),
+    "timestamp_ntz": lambda x: datetime(2000, 1, 1) + timedelta(seconds=x),
+    "date": lambda x: date(1900, 1, 1) + timedelta(days=min(int(x), 40_000)),
+}
+
+
+@pytest.mark.parametrize("type_name", SKEWED)
+def test_the_first_pass_is_even_on_a_skewed_column(spark, monkeypatch, type_name):
+    rng = random.Random(7)
+    values = [SKEWED[type_name](rng.lognormvariate(6, 2.5)) for _ in range(4000)] + [None] * 3
+    source, table = database(spark, list(enumerate(values)), f"id int, v {type_name}")
+    passes = []
+
+    def spy(columns, parts, load, bounds, count):
+        def seen(conditions):
+            passes.append(rows_per_partition(load(conditions)))
+            return load(conditions)
+
+        return balanced_ranges(columns, parts, seen, bounds, count)
+
+    monkeypatch.setattr("sluice.sources.jdbc.balanced_ranges", spy)
+    options = {"tableName": table, "numPartitions": "16", "balanceReads": "true"}
+    df = rows_of(spark, source, partitionColumn="v", **options)
+    hottest = max(Counter(v for v in values if v is not None).values())
+    assert max(passes[0]) <= max(2 * 4003 / 16, hottest) + 3 and len(passes[0]) <= 16
+    assert sorted(r.id for r in df.collect()) == list(range(4003))
+    assert max(rows_per_partition(df)) <= max(1.3 * 4003 / 16, hottest + 4003 / 16)
+
+
+@given(st.lists(st.integers(0, 50), min_size=1, max_size=60), st.integers(1, 12))
+def test_even_groups(counts, parts):
+    strides = [(i, n) for i, n in enumerate(counts)]
+    if not sum(counts):
+        return
+    cuts = even_groups(strides, parts)
+    assert len(cuts) < parts
+    assert cuts == sorted(set(cuts)) and 0 not in cuts
+    edges = [0, *cuts, len(counts)]
+    share = sum(counts) / parts
+    assert all(sum(counts[a:b]) <= share + max(counts) for a, b in zip(edges, edges[1:]))
+
+
+def test_strides_are_cut_until_they_are_even_or_cannot_be(spark):
+    values = sorted([0] * 50 + [int(1.3**i) for i in range(60)])
+    column = SplitColumn(spark, "jdbc:derby:memory:x", StructField("v", LongType()))
+    asked = []
+
+    def count(strides):
+        asked.append(len(strides))
+        return [sum(a <= v and (b is None or v < b) for v in values) for a, b in strides]
+
+    found = counted_strides(column, values[0], values[-1], 10, count)
+    assert sum(n for _, n in found) == len(values) and found[0] == (0, 50)
+    assert all(n <= 11 for start, n in found[1:])
+    assert len(asked) < 10 and max(asked) <= 64 + 160
+
+
+# Text
+
+
+NAMES = ["", "'", "a", "A", "aa", "b'c", "é", "z", "Z", "漢字", "a b", "ab\u0301", "ÿ"]
+
+
+@pytest.mark.parametrize("names", ["k", "k,id", "n,k"])
+@pytest.mark.parametrize("shared", ["", "customer#", "größe"])
+def test_balanced_reads_of_text(spark, shared, names):
+    rng = random.Random(3)
+    texts = [shared + rng.choice(NAMES) + str(rng.randint(0, 999)) for _ in range(600)]
+    texts += [f"{shared}hot"] * 300
+    rows = [(i, t, i % 2) for i, t in enumerate(texts)]
+    source, table = database(spark, rows, "id int, k string, n int")
+    options = {"tableName": table, "numPartitions": "6", "balanceReads": "true", "partitionColumn": names}
+    df = rows_of(spark, source, **options)
+    assert sorted(r.id for r in df.collect()) == list(range(len(rows)))
+    assert 4 <= len(rows_per_partition(df)) <= 14
+    most = {"k": 300 + 300, "k,id": 300, "n,k": 300 + 2 * len(rows) / 6}[names]
+    assert max(rows_per_partition(df)) <= most
+
+
+def test_text_in_another_order_is_refused(spark):
+    """A database that sorts letters as a dictionary does."""
+    source = derby.endpoint(spark, "dictionary")
+    url = source.require("url") + ";territory=de_DE;collation=TERRITORY_BASED"
+    source = Endpoint("dictionary", source.options | {"url": url})
+    words = [f"{w}{i}" for i in range(40) for w in ("apfel", "Apfel", "Birne", "birne", "Ähre", "Zebra", "zebra")]
+    derby.fill(spark, source, "words", spark.createDataFrame(list(enumerate(words)), "id int, w string"))
+    options = {"tableName": "words", "numPartitions": "6", "balanceReads": "true"}
+    with pytest.raises(ValueError, match="does not sort"):
+        rows_of(spark, source, partitionColumn="w", **options)
+    df = rows_of(spark, source, partitionColumn="id", **options)
+    assert df.count() == len(words)
+
+
+# Marks of a database
+
+
+def test_a_database_says_its_highest_mark_itself(spark, monkeypatch):
+    source, table = database(spark, [(i, f"k{i}") for i in range(50)], "id int, s string")
+    job = table_job(table, "incrementally", checkColumn="ID", lastValue="20")
+    rows = read_table(spark, source, job, "incrementally")
+    read = []
+    monkeypatch.setattr("sluice.sources.highest_mark", lambda df, check: read.append(df) or highest_mark(df, check))
+    assert highest_value(spark, source, job, "incrementally", rows) == "49"
+    assert "MAX" in plan_of(read[0]) and read[0].count() == 1
+    later = table_job(table, "incrementally", checkColumn="ID", lastValue="49", inclusive="false")
+    assert highest_value(spark, source, later, "incrementally", rows) is None
+    text = table_job(table, "incrementally", checkColumn="s", lastValue="''")
+    assert highest_value(spark, source, text, "incrementally", rows) == "'k9'"
+
+
+def test_rows_with_nan_are_copied_by_each_run(spark):
+    nan = float("nan")
+    for values, limit, kept in [([1.0, nan, 3.0], "3.0", 3), ([1.0, nan, 3.0], "1.0", 2), ([nan, nan], None, 2)]:
+        for kind in ("double", "float"):
+            df = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+            assert limit_filter(df, "v", limit).count() == kept
