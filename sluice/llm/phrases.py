@@ -46,12 +46,14 @@ LEAST = 10
 LONGEST = 3
 SHARE = 50
 TOP = 2000
+#: Parts of a language that are ranked by themselves before all are.
+PARTS = 64
 SHARDS = 2
 CELLS = 1 << 24
 #: A cell of which no phrase is frequent so far. So there may be 254 scans.
 NEVER = 255
 #: Bytes of text that a task counts at once (or one text, if that is longer), and rows it hands over at once.
-CHUNK, SLICE = 1 << 24, 1 << 16
+CHUNK, SLICE = 1 << 23, 1 << 16
 SEED = 42
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: Stands between pieces: itself a break, so no word.
@@ -318,9 +320,12 @@ def collocations(
         found = found.join(around, (found["lang"] == around["in_lang"]) & (found["phrase"] == around["inner"]), "left")
         heavy = 100 * F.col("most").cast("decimal(22,0)") >= share * F.col("a").cast("decimal(22,0)")
         found = found.where(F.col("most").isNull() | ~heavy)
-    order = "PARTITION BY lang ORDER BY score DESC, a DESC, phrase"
-    ranked = found.withColumn("rank", F.expr(f"row_number() OVER ({order})"))
-    if top is not None:  # before the next join: each task then hands over that many of a language at most
+    order = "ORDER BY score DESC, a DESC, phrase"
+    if top is not None:  # first in parts: the last task of a language then reads that many of each at most
+        part = f"PARTITION BY lang, pmod(xxhash64(phrase), {PARTS}) {order}"
+        found = found.withColumn("rank", F.expr(f"row_number() OVER ({part})")).where(F.col("rank") <= top)
+    ranked = found.withColumn("rank", F.expr(f"row_number() OVER (PARTITION BY lang {order})"))
+    if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
     sums = phrases.where("phrase = ''").select(F.col("lang").alias("of"), "n")
     whole = ranked.join(sums, ranked["lang"] == sums["of"])
