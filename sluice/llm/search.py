@@ -14,7 +14,8 @@ are dealt to groups of row blocks; no group needs all vectors.
 Components become floor(scale * x). Vectors that are NULL or hold a NULL, NaN or infinite component, and rows with a NULL id,
 take no part. A shorter vector counts as padded with zeros. A query's own id is never among its rows, even
 if several rows have it. Repeated rows are candidates each; two queries with one id are answered
-both. Scores of 2 ** 62 and more are taken as 2 ** 62.
+both. A score of 2 ** 62 or more, either way, ends the search by an error, as does a component that is no finite
+number once it is scaled: such scores would be no longs, and ids would decide among them.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ SCALE = 64
 #: Vectors in a block.
 QUERIES, ROWS = 512, 2048
 BITS = 10
+#: No score reaches it: the difference of any two is still a long.
 LIMIT = 1 << 62
 BLOCK = "block long, ids binary, values binary, dims int, most double, norm double, low long, high long"
 
@@ -59,8 +61,12 @@ def packed(size: int, scale: int):
 
         for batch in batches:
             for vec_id, vector in zip(batch["vec_id"], batch["vector"]):
-                vector = np.floor(np.asarray(vector, np.float64) * scale)
+                vector = np.asarray(vector, np.float64)
                 if np.isfinite(vector).all():
+                    with np.errstate(over="ignore"):
+                        vector = np.floor(vector * scale)
+                    if not np.isfinite(vector).all():
+                        raise ValueError(f"vector {vec_id} has a component too large to be scaled")
                     ids.append(int(vec_id))
                     rows.append(vector)
                     if len(rows) == size:
@@ -95,7 +101,9 @@ def scores(queries: np.ndarray, rows: np.ndarray, most: float) -> np.ndarray:
         return np.array([[int(x) for x in row] for row in matrix], object).reshape(matrix.shape)
 
     found = whole(queries) @ whole(rows).T
-    return np.array([[max(-LIMIT, min(LIMIT, x)) for x in row] for row in found], np.int64).reshape(found.shape)
+    if found.size and max(abs(found.min()), abs(found.max())) >= LIMIT:
+        raise ValueError("a score of 2 ** 62 or more: scale the vectors down")
+    return found.astype(np.int64)
 
 
 def each_pair(work):
@@ -185,7 +193,8 @@ def top_k(
     longest = queries.agg(F.max("norm")).first()[0]
     if limits[0] is None or longest is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    bound = min(math.ceil(limits[0] * longest * (1 + 1e-9)) + 1, LIMIT)  # the norms are rounded
+    product = min(limits[0] * longest * (1 + 1e-9), float(LIMIT))  # the norms are rounded
+    bound = min(math.ceil(product) + 1, LIMIT - 1)
     asked = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("block", "ids", "values", "dims", "most")])
     asked = asked.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
 
