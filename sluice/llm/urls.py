@@ -8,13 +8,15 @@ trusted seeds (hosts most of whose ruled pages are allowed) along the links; dis
 blocked seeds (most are blocked) against the links, so that it reaches hosts that link to
 blocked ones. A host is blocked if its distrust is over ``THRESHOLD`` times its trust. Links are
 the absolute ``href`` values of the pages between different hosts, each pair once; relative links stay on
-their host. Mass is counted in whole units, so results do not depend on the order of sums. Mass of hosts
+their host. Mass is counted in whole units, 10 ** 30 in all, so results do not depend on the order of sums and
+little is lost by rounding, however many seeds and links share it. Mass of hosts
 without a link to follow goes back to the seeds. Rounds end when one moves a millionth of all mass at most
 (``SETTLED``) and reaches no host that had none before; so mass goes along any number of links, until less
 than a unit is left of it.
 
-NULL urls and urls without ``://`` have an empty host and path and are allowed. NULL html has no links. Rows are
-kept, repeated ones too (their links count once).
+NULL urls and urls without ``://`` have an empty host and path and are allowed. NULL html has no links; long html is
+searched whole. Rows are kept, repeated ones too (their links count once). Of equal ranks trust wins. An empty table
+gives no rows; other columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -34,9 +36,8 @@ RULES = (
     ("net/es/", "block"),
     ("net/fr/", "block"),
 )
-UNITS = 10**15
-#: Rounds of the SQL, which cannot go on until ranks have settled. Without links between hosts they have.
-ROUNDS = 10
+UNITS = 10**30
+WHOLE = "decimal(38,0)"
 #: Units that the last round may still move, of trust and distrust together.
 SETTLED = UNITS // 10**6
 DAMPING, THRESHOLD = 85, 1  # damping in hundredths
@@ -80,6 +81,17 @@ def links(pages: DataFrame) -> DataFrame:
     return rows.where("a <> '' AND a <> b").distinct()
 
 
+def whole(units: int) -> Column:
+    return F.lit(str(units)).cast(WHOLE)
+
+
+def shared(mass: str, over: str, damping: int) -> Column:
+    """``damping`` hundredths of the mass for each of so many, rounded down."""
+    part = (F.col(mass) * whole(damping)).cast(WHOLE)
+    parts = (F.col(over) * 100).cast("decimal(20,0)")
+    return ((part - part % parts) / parts).cast(WHOLE)
+
+
 def spread(ruled: DataFrame, edges: DataFrame, rounds: int | None = None, damping: int = DAMPING) -> DataFrame:
     """``host``, ``trust``, ``distrust`` (units of ``UNITS``) of every host that has a page or a link.
 
@@ -101,40 +113,38 @@ def spread(ruled: DataFrame, edges: DataFrame, rounds: int | None = None, dampin
     )
     hosts = stored(hosts)
     seeds = hosts.agg(F.count_if("good"), F.count_if("bad")).first()
-    share = [UNITS // max(n, 1) for n in seeds]
-    # A round moves at most ``damping`` hundredths of what the last one moved, and a unit more for each number that
-    # is rounded: two for each link, two for each seed. Where that is more, rounds could go on for ever.
-    enough = max(SETTLED, (2 * edges.count() + 2 * sum(seeds)) * 100 // (100 - damping) + 1)
+    share, none = [UNITS // max(n, 1) for n in seeds], whole(0)
     state = stored(
-        hosts.withColumn("trust", F.when(F.col("good"), share[0]).otherwise(0).cast("long")).withColumn(
-            "distrust", F.when(F.col("bad"), share[1]).otherwise(0).cast("long")
+        hosts.withColumn("trust", F.when(F.col("good"), whole(share[0])).otherwise(none)).withColumn(
+            "distrust", F.when(F.col("bad"), whole(share[1])).otherwise(none)
         )
         # Whether trust and distrust have ever reached the host, what the last round moved, whom it reached.
-        .withColumns({"known": F.col("good"), "accused": F.col("bad"), "moved": F.lit(0).cast("long"), "fresh": F.lit(False)})
+        .withColumns({"known": F.col("good"), "accused": F.col("bad"), "moved": none, "fresh": F.lit(False)})
     )
     done = 0
     while rounds is None or done < rounds:
         lost = state.agg(
-            F.coalesce(F.sum(F.when(F.col("outs") == 0, F.col("trust"))), F.lit(0)),
-            F.coalesce(F.sum(F.when(F.col("ins") == 0, F.col("distrust"))), F.lit(0)),
-            F.coalesce(F.sum("moved"), F.lit(0)),
+            F.coalesce(F.sum(F.when(F.col("outs") == 0, F.col("trust"))), none),
+            F.coalesce(F.sum(F.when(F.col("ins") == 0, F.col("distrust"))), none),
+            F.coalesce(F.sum("moved"), none),
             F.count_if("fresh"),
         ).first()
-        if rounds is None and done and lost[2] <= enough and not lost[3]:
+        if rounds is None and done and lost[2] <= SETTLED and not lost[3]:
             break
         done += 1
         kept = [
-            share[i] * (100 - damping) // 100 + lost[i] * damping // (100 * max(seeds[i], 1)) for i in (0, 1)
+            whole(share[i] * (100 - damping) // 100 + int(lost[i]) * damping // (100 * max(seeds[i], 1))) for i in (0, 1)
         ]
         flow = edges.join(state, edges["a"] == state["host"]).select(
-            F.col("b").alias("host"), F.expr(f"trust * {damping} div (100 * outs)").alias("t"), F.lit(0).cast("long").alias("d")
+            F.col("b").alias("host"), shared("trust", "outs", damping).alias("t"), none.alias("d")
         )
         back = edges.join(state, edges["b"] == state["host"]).select(
-            F.col("a").alias("host"), F.lit(0).cast("long").alias("t"), F.expr(f"distrust * {damping} div (100 * ins)").alias("d")
+            F.col("a").alias("host"), none.alias("t"), shared("distrust", "ins", damping).alias("d")
         )
         came = flow.unionAll(back).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        trust = F.coalesce("t", F.lit(0)) + F.when(F.col("good"), kept[0]).otherwise(0)
-        distrust = F.coalesce("d", F.lit(0)) + F.when(F.col("bad"), kept[1]).otherwise(0)
+        trust = (F.coalesce("t", none) + F.when(F.col("good"), kept[0]).otherwise(none)).cast(WHOLE)
+        distrust = (F.coalesce("d", none) + F.when(F.col("bad"), kept[1]).otherwise(none)).cast(WHOLE)
+        moved = F.abs(trust - F.col("trust")) + F.abs(distrust - F.col("distrust"))
         state = stored(
             state.join(came, "host", "left").select(
                 *["host", "outs", "ins", "good", "bad"],
@@ -142,7 +152,7 @@ def spread(ruled: DataFrame, edges: DataFrame, rounds: int | None = None, dampin
                 distrust.alias("distrust"),
                 (F.col("known") | (trust > 0)).alias("known"),
                 (F.col("accused") | (distrust > 0)).alias("accused"),
-                (F.abs(trust - F.col("trust")) + F.abs(distrust - F.col("distrust"))).alias("moved"),
+                moved.cast(WHOLE).alias("moved"),
                 ((~F.col("known") & (trust > 0)) | (~F.col("accused") & (distrust > 0))).alias("fresh"),
             )
         )
@@ -159,7 +169,8 @@ def judge(pages: DataFrame, rules=RULES, threshold: int = THRESHOLD) -> DataFram
     return rows.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
 
 
-def sql(rounds: int = ROUNDS) -> str:
+def sql() -> str:
+    """The same rows. Each round of the recursion is one of the ranks; it ends when they have settled."""
     rest = "CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END"
     az = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
     rule = verdict = "NULL"
@@ -169,33 +180,13 @@ def sql(rounds: int = ROUNDS) -> str:
         rule = f"CASE WHEN {fits} THEN '{text}' ELSE {rule} END"
         verdict = f"CASE WHEN {fits} THEN '{says}' ELSE {verdict} END"
     href = HREF.replace("'", "''")
-    steps = [
-        f"""
-s0 AS MATERIALIZED (
-    SELECT h.*, CASE WHEN good THEN {UNITS} // n.g ELSE 0 END AS trust, CASE WHEN bad THEN {UNITS} // n.b ELSE 0 END AS distrust
-    FROM h, n
-)"""
-    ]
-    for i in range(rounds):
-        steps.append(
-            f"""
-c{i} AS MATERIALIZED (
-    SELECT host, sum(t) AS t, sum(d) AS d FROM (
-        SELECT e.b AS host, trust * {DAMPING} // (100 * outs) AS t, 0 AS d FROM e JOIN s{i} AS s ON e.a = s.host
-        UNION ALL
-        SELECT e.a, 0, distrust * {DAMPING} // (100 * ins) FROM e JOIN s{i} AS s ON e.b = s.host
-    ) GROUP BY host
-), l{i} AS MATERIALIZED (
-    SELECT coalesce(sum(trust) FILTER (outs = 0), 0) AS t, coalesce(sum(distrust) FILTER (ins = 0), 0) AS d FROM s{i}
-), s{i + 1} AS MATERIALIZED (
-    SELECT s.host, outs, ins, good, bad,
-           coalesce(c.t, 0) + CASE WHEN good THEN {UNITS} // n.g * {100 - DAMPING} // 100 + l.t * {DAMPING} // (100 * n.g) ELSE 0 END AS trust,
-           coalesce(c.d, 0) + CASE WHEN bad THEN {UNITS} // n.b * {100 - DAMPING} // 100 + l.d * {DAMPING} // (100 * n.b) ELSE 0 END AS distrust
-    FROM s{i} AS s LEFT JOIN c{i} AS c ON s.host = c.host, l{i} AS l, n
-)"""
-        )
+    units = f"{UNITS}::HUGEINT"
+
+    def kept(seeds: str, lost: str) -> str:
+        return f"{units} // n.{seeds} * {100 - DAMPING} // 100 + {lost} * {DAMPING} // (100 * n.{seeds})"
+
     return f"""
-WITH u AS MATERIALIZED (
+WITH RECURSIVE u AS MATERIALIZED (
     SELECT page_id, html, coalesce(translate(regexp_extract({rest}, '^([^/?#]*)', 1), {az}), '') AS host,
            coalesce(regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1), '') AS path
     FROM pages
@@ -213,8 +204,38 @@ WITH u AS MATERIALIZED (
     ) GROUP BY host
 ), n AS MATERIALIZED (
     SELECT greatest(count(*) FILTER (good), 1) AS g, greatest(count(*) FILTER (bad), 1) AS b FROM h
-),{",".join(steps)}
+), s AS (
+    SELECT h.*, CASE WHEN good THEN {units} // n.g ELSE 0::HUGEINT END AS trust,
+           CASE WHEN bad THEN {units} // n.b ELSE 0::HUGEINT END AS distrust,
+           good AS known, bad AS accused, FALSE AS settled, 0 AS round
+    FROM h, n
+    UNION ALL
+    SELECT host, outs, ins, good, bad, trust, distrust, known OR trust > 0, accused OR distrust > 0,
+           sum(moved) OVER () <= {SETTLED}::HUGEINT AND count(*) FILTER (
+               (NOT known AND trust > 0) OR (NOT accused AND distrust > 0)) OVER () = 0,
+           round + 1
+    FROM (
+        SELECT host, outs, ins, good, bad, known, accused, round, t AS trust, d AS distrust,
+               abs(t - trust) + abs(d - distrust) AS moved
+        FROM (
+            SELECT s.*, coalesce(c.t, 0) + CASE WHEN good THEN {kept("g", "l.t")} ELSE 0 END AS t,
+                   coalesce(c.d, 0) + CASE WHEN bad THEN {kept("b", "l.d")} ELSE 0 END AS d
+            FROM s LEFT JOIN (
+                SELECT host, sum(t) AS t, sum(d) AS d FROM (
+                    SELECT e.b AS host, trust * {DAMPING} // (100 * outs) AS t, 0::HUGEINT AS d FROM e JOIN s ON e.a = s.host
+                    UNION ALL
+                    SELECT e.a, 0, distrust * {DAMPING} // (100 * ins) FROM e JOIN s ON e.b = s.host
+                ) GROUP BY host
+            ) AS c ON s.host = c.host, (
+                SELECT coalesce(sum(trust) FILTER (outs = 0), 0) AS t, coalesce(sum(distrust) FILTER (ins = 0), 0) AS d FROM s
+            ) AS l, n
+            WHERE NOT settled
+        )
+    )
+), last AS (
+    SELECT * FROM s WHERE round = (SELECT max(round) FROM s)
+)
 SELECT page_id, p.host, path, rule,
-       coalesce(ruled, CASE WHEN s.distrust > s.trust * {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
-FROM p LEFT JOIN s{rounds} AS s ON p.host = s.host
+       coalesce(ruled, CASE WHEN last.distrust > last.trust * {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN last ON p.host = last.host
 """
