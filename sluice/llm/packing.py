@@ -6,8 +6,9 @@
    should be used is the non-negative least-squares solution against the histogram of all
    remainders (at most ``window - 1`` numbers, which is all that reaches the driver).
 3. Every task realises its share of the solution on its own documents, ``CHUNK`` tokens at a time: the
-   counts are scaled to the chunk and rounded along their running sum, and a combination is used as
-   long as the chunk has its lengths.
+   counts are scaled to the chunk and rounded along their running sum, which starts at another fraction in
+   each chunk, so that over many chunks every combination comes as often as the solution has it, also
+   those of less than one use a chunk. A combination is used as long as the chunk has its lengths.
 4. The residual is packed greedily: the longest piece that fits, and if none fits the longest one is cut
    to fill the window. What is left open goes on to the next chunk; at the end of a partition it is
    cut into sequences whose lengths are powers of two, which are not padded.
@@ -157,18 +158,21 @@ class Packer:
         order = np.argsort(-share[keep], kind="stable")
         self.combos, self.share = combos[keep][order], share[keep][order]
         self.window, self.open, self.room = window, [], window
+        self.reached = np.zeros(len(self.share), np.int64)  # how often each combination was used
 
-    def pack(self, pieces: list) -> Iterator[list]:
-        """Full sequences of the given pieces and of what was left open."""
+    def pack(self, pieces: list, start: float = 0.5) -> Iterator[list]:
+        """Full sequences of the given pieces and of what was left open. Counts are rounded from the
+        fraction ``start`` on."""
         by_length: dict[int, list] = {}
         for piece in pieces:
             by_length.setdefault(len(piece[2]), []).append(piece)
-        uses = np.diff(np.floor(np.cumsum(self.share * len(pieces)) + 0.5), prepend=0).astype(int)
+        uses = np.diff(np.floor(np.cumsum(self.share * len(pieces)) + start), prepend=0).astype(int)
         for place in np.flatnonzero(uses).tolist():
             combo = [int(n) for n in self.combos[place] if n]
             for _ in range(int(uses[place])):
                 if any(len(by_length.get(n, ())) < combo.count(n) for n in combo):
                     break
+                self.reached[place] += 1
                 yield [by_length[n].pop() for n in combo]
         yield from self.greedy(by_length)
 
@@ -222,13 +226,13 @@ def pack(tokens: DataFrame, window: int = WINDOW, chunk: int = CHUNK) -> DataFra
         histogram[row["rest"]] = row["count"]
     combos = combinations(np.flatnonzero(histogram), window)
     share = solve(combos, histogram) / max(histogram.sum(), 1)
-    # Below one use in a million remainders a combination cannot matter to a chunk.
-    combos, share = combos[share > 1e-6].astype(np.int16), share[share > 1e-6]
+    combos, share = combos[share > 0], share[share > 0]
     shared = tokens.sparkSession.sparkContext.broadcast((combos, share))  # as many as there are combinations
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packer = Packer(*shared.value, window)
         number = TaskContext.get().partitionId() << 32
+        chance = np.random.default_rng(TaskContext.get().partitionId())  # the same in a rerun
         rows: list[tuple] = []
 
         def put(sequence: list) -> None:
@@ -257,12 +261,12 @@ def pack(tokens: DataFrame, window: int = WINDOW, chunk: int = CHUNK) -> DataFra
                     waiting.append((doc_id, whole, ids[whole:].copy(), total))
                     held += total - whole
                 if held >= chunk:
-                    for sequence in packer.pack(waiting):
+                    for sequence in packer.pack(waiting, chance.random()):
                         put(sequence)
                     waiting, held = [], 0
                 if len(rows) >= 10_000:
                     yield out()
-        for sequence in packer.pack(waiting):
+        for sequence in packer.pack(waiting, chance.random()):
             put(sequence)
         for sequence in packer.rest():
             put(sequence)

@@ -89,3 +89,49 @@ def test_combinations_are_used():
     sequences = [[len(p[2]) for p in s] for s in packer.pack(pieces)]
     assert sequences[:3] == [[4, 6]] * 3 and sequences[3] == [2, 2, 6]
     assert [sum(len(p[2]) for p in s) for s in packer.rest()] == [8, 1]
+
+
+def lognormal_pieces(seed, count):
+    rng = np.random.default_rng(seed)
+    sizes = np.maximum(rng.lognormal(5.5, 1.1, count).astype(int) % 1024, 1)
+    return [(i, 0, np.zeros(n, np.uint16), n) for i, n in enumerate(sizes.tolist())]
+
+
+def test_over_many_chunks_counts_reach_the_solution():
+    """Combinations of less than one use a chunk come as often as the solution has them."""
+    chunks = [lognormal_pieces(seed, 4000) for seed in range(40)]
+    histogram = np.bincount([p[3] for chunk in chunks for p in chunk], minlength=1025).astype(float)
+    combos = packing.combinations(np.flatnonzero(histogram), 1024)
+    share = packing.solve(combos, histogram) / histogram.sum()
+    assert (share[share > 0] * 4000 < 1).mean() > 0.9
+
+    def asked(starts):
+        wanted = np.zeros(len(share))
+        for chunk, start in zip(chunks, starts):
+            wanted += np.diff(np.floor(np.cumsum(share * len(chunk)) + start), prepend=0)
+        return wanted
+
+    goal = share * sum(map(len, chunks))
+    same, spread = asked([0.5] * 40), asked(np.random.default_rng(1).random(40))
+    # One start for all chunks favours the combinations at which its running sum happens to cross.
+    assert np.abs(spread - goal).sum() < 0.7 * np.abs(same - goal).sum()
+
+
+def test_combinations_cut_few_documents_more_than_the_greedy_step_alone():
+    """The least-squares step fills sequences whole; what it leaves is harder to fill, so cuts are no fewer."""
+    chunks = [lognormal_pieces(100 + seed, 4000) for seed in range(8)]
+    histogram = np.bincount([p[3] for chunk in chunks for p in chunk], minlength=1025).astype(float)
+    combos = packing.combinations(np.flatnonzero(histogram), 1024)
+    share = packing.solve(combos, histogram) / histogram.sum()
+
+    def cut(share):
+        packer, chance = packing.Packer(combos, share, 1024), np.random.default_rng(3)
+        pieces = Counter()
+        for number, chunk in enumerate(chunks):
+            for sequence in packer.pack(list(chunk), chance.random()):
+                pieces.update((number, p[0]) for p in sequence)
+        return sum(n - 1 for n in pieces.values()), int(packer.reached.sum())
+
+    least_squares, greedy = cut(share), cut(share * 0)
+    assert greedy[1] == 0 and least_squares[1] > 5000
+    assert least_squares[0] < 1.3 * greedy[0] and least_squares[0] < 0.05 * sum(map(len, chunks))
