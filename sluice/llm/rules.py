@@ -7,13 +7,15 @@ The method compares two histograms of a document, character classes and common w
 each language by the Jensen-Shannon distance (square root of the divergence, base 2). References
 are the counts of all documents of the corpus with that ``lang`` that pass the base rules and are not rejected
 by the references made without this last condition, so that junk does not shape them. A
-document is held against the language it is closest to, whatever its own ``lang``. It is rejected if a
+document is held against the language it is closest to, which need not be its own ``lang``. It is rejected if a
 distance is over its limit; documents with fewer than ``LEAST_CHARS`` characters, or ``LEAST_COMMON``
 words for the words, are too short for a histogram and are not held against it.
 
 Counts are made in one pass and stored; references have one row per language with a word list.
 
-NULL and empty texts have no words and fail. Without a reference the base rules decide. Rows are kept, repeated ones
+NULL and empty texts have no words and fail. Where there is no reference for a document's ``lang`` (NULL, or a language
+without a word list), the base rules alone decide: against other languages' references clean text
+would look like junk. Its distances are given all the same. Long texts are counted whole. Rows are kept, repeated ones
 too.
 """
 
@@ -178,7 +180,7 @@ def judged(rows: DataFrame, known: dict[str, tuple[np.ndarray, np.ndarray]]) ->
                     out["char_distance"] = np.where(near, by_char, out["char_distance"])
                     out["word_distance"] = np.where(near, by_word, out["word_distance"])
                     out["closest"] = np.where(near, lang, out["closest"])
-                over = best > 1
+                over = (best > 1) & out["lang"].isin(known).to_numpy()
             out["kept"] = ~out["base_failed"].astype(bool) & ~over
             yield out
 
