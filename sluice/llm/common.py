@@ -75,7 +75,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """At most ``per_class`` documents of each label, as ``doc_id``, ``text``, ``label`` (0 or 1).
 
     Chosen by a hash of the id, so reruns agree. Held-out rows, NULL ids and ids whose labels
-    contradict each other are left out; of documents that share an id one counts. So that no
+    contradict each other are left out; of documents that share an id that with the last text counts. So that no
     wording counts because it was copied, of documents with one label whose least hash of five words
     is the same one counts, too.
     """
@@ -95,7 +95,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         chosen = part if chosen is None else chosen.unionAll(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # Two times per_class ids at most.
-    found = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text"))
     words = F.split(F.lower("text"), r"[\x20\x09-\x0D]+")
     least = F.array_min(
         F.transform(

@@ -6,8 +6,8 @@
    smoothed by a Dirichlet prior whose mean is the rate of its first five letters, which is
    smoothed by that of the first four, and that by the overall rate: forms of a word that were
    never seen get the rate of their stem. A token scores its log-odds against the overall rate,
-   less one standard error and a drift, so that ordinary text scores below zero on average. A token
-   that repeats the one before it only scores the drift.
+   less one standard error and a drift, so that ordinary text scores below zero on average. A token that
+   follows itself is less news each time: its n-th score in a row, if above zero, is divided by n.
 2. Search. One scan finds all maximal scoring segments of a document (Ruzzo and Tompa). Tokens
    that score below zero only count through the sums between the others.
 3. Calibration. A segment of score S among n tokens has the expected number of chance segments
@@ -73,7 +73,11 @@ def score_of(token: str, toxic: np.ndarray, clean: np.ndarray, base: float) -> f
 
 def scored(tokens: list[str], known: Lexicon) -> np.ndarray:
     numbers, (scores,) = known.look_up(tokens)
-    scores[1:][numbers[1:] == numbers[:-1]] = -DRIFT
+    if len(numbers):
+        fresh = np.append(True, numbers[1:] != numbers[:-1])
+        place = np.arange(len(numbers))
+        turn = place - np.maximum.accumulate(np.where(fresh, place, 0)) + 1
+        scores = np.where(scores > 0, scores / turn, scores)
     return scores
 
 

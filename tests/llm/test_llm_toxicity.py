@@ -100,3 +100,12 @@ def test_without_labels_nothing_is_toxic(spark, edge, tables):
     assert toxicity.fit(edge, one) is None
     assert toxicity.without_toxic(edge, None).count() == edge.count()
     assert {r.toxicity.score for r in toxicity.judge(edge, None).collect()} == {0.0}
+
+
+def test_a_word_again_never_counts_for_less():
+    """Its n-th time in a row counts an n-th; ordinary words count as ever."""
+    known = toxicity.Lexicon(lambda token: ({"bad": 3.0}.get(token, -0.5),), "d")
+    assert toxicity.scored("a bad bad bad b b bad".split(), known).tolist() == [-0.5, 3.0, 1.5, 1.0, -0.5, -0.5, 3.0]
+    assert toxicity.scored([], known).tolist() == []
+    best = [sum(x[0] for x in toxicity.segments(toxicity.scored(["a"] * 9 + ["bad"] * n + ["a"] * 9, known))) for n in (1, 2, 100)]
+    assert best == sorted(best) and best[0] < best[1] < best[2]
