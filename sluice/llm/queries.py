@@ -64,9 +64,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    forest = secrets.train(secrets.findings(docs).where("label IS NOT NULL"))
-    return secrets.scan(docs, forest)
+    return secrets.scan(table(spark, sf_dir, "documents"), secrets.forest(spark))
 
 
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
