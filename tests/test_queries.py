@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 from collections import Counter
 from pathlib import Path
 
@@ -39,3 +41,18 @@ def test_entry(spark):
     result = driver.entry(spark)
     assert result.count() == 750
     assert result.columns[0] == "o_orderkey"
+
+
+@pytest.mark.parametrize("missing", ["xxhash", "sluice.llm", "corpus_pipeline"])
+def test_the_entry_does_without_the_other_queries(missing):
+    """In a process of its own in which a module cannot be imported."""
+    lines = [
+        "import sys, warnings",
+        f"sys.modules[{missing!r}] = None",
+        "warnings.simplefilter('ignore')",
+        "import __spark_entry__ as driver",
+        "from sluice_checks.registry import ORACLE, QUERIES",
+        "assert driver.queries() == QUERIES and driver.oracle_sql() == ORACLE",
+    ]
+    folder = Path(driver.__file__).resolve().parent
+    subprocess.run([sys.executable, "-c", "\n".join(lines)], cwd=folder, check=True)
