@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.folders import Folders
 from sluice.functions.shared import fresh_folder
 
 #: One word: characters other than blank, tab, line feed, vertical tab, form feed, carriage return.
@@ -43,16 +46,38 @@ class Lexicon(dict):
         return numbers, [np.frombuffer(column, column.typecode)[numbers] for column in self.columns]
 
 
+#: Where the folders of stored tables are noted, in a block that removes them.
+_noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder (``spark.checkpoint.dir``) and read from there.
 
     Cuts the lineage: what is computed behind it reads the same rows again after an executor is lost.
     """
     folder = fresh_folder(df.sparkSession)
+    if _noted.get() is not None:
+        _noted.get().append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What is stored within the block, by any operator in it, is removed at its end.
+
+    Results that read from it must have been written elsewhere by then.
+    """
+    folders: list[str] = []
+    token = _noted.set(folders)
+    try:
+        yield
+    finally:
+        _noted.reset(token)
+        for folder in folders:
+            Folders(spark).delete(folder)
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """Stored rows with a number of their own, which tells even repeated rows apart."""
     return stored(df.withColumn(name, F.monotonically_increasing_id()))

@@ -13,9 +13,9 @@ import corpus_pipeline
 from sluice.llm.queries import ORACLE, QUERIES
 
 
-def test_ten_queries_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = driver.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(ORACLE) <= set(QUERIES)
 
 
@@ -77,3 +77,14 @@ def test_empty_and_odd_documents(spark, edge, nothing, sf_dir):
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.stored(stage(spark, docs, sf_dir))
         assert "sequence_id" in docs.columns
+
+
+def test_nothing_but_the_result_is_left(spark, sf_dir, tmp_path, change):
+    import os
+
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+        assert rows.count() > 0 and len(os.listdir(tmp_path)) == 1
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
