@@ -38,6 +38,7 @@ def main() -> None:
         default=1,
         help="how many tables are in work at a time",
     )
+    parser.add_argument("--resume", help="the run's name; what a run of this name has finished is left out")
     arguments = vars(parser.parse_args())
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     spark = SparkSession.builder.appName("sluice").getOrCreate()

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sluice import avro_to_struct, conform, load_avro_schema
+from sluice import avro_to_struct, conform, conform_apart, load_avro_schema
 
 RECORD = {"type": "record", "name": "inner", "fields": [{"name": "x", "type": "int"}]}
 
@@ -133,3 +133,68 @@ def test_lenient_casts_equal_plain_ones_at_the_borders(spark, source, target):
     found = conform(df, StructType.fromDDL(f"c {target}"), "null").select(F.hash("c"), "c")
     plain = df.select(F.col("c").try_cast(target).alias("c")).select(F.hash("c"), "c")
     assert str(found.collect()) == str(plain.collect())
+
+
+# Records within records
+
+
+def nested(spark):
+    return spark.sql("""
+        SELECT * FROM VALUES
+          (1, named_struct('b', 'x', 'A', '1'), array(named_struct('q', '2', 'p', 'y'), NULL), map('k', named_struct('v', array('3', 'z')))),
+          (2, NULL, NULL, NULL),
+          (3, named_struct('b', NULL, 'A', 'one'), array(), map())
+        AS t(id, r, a, m)""")
+
+
+NESTED = "r struct<a:int,B:string>, a array<struct<p:string,q:long>>, m map<string,struct<v:array<int>>>"
+
+
+def test_fields_of_records_are_found_by_name(spark):
+    found = conform(nested(spark), StructType.fromDDL(NESTED), "null")
+    assert found.schema.simpleString() == f"struct<{NESTED.replace(' ', ':', 1).replace(', a ', ',a:').replace(', m ', ',m:').replace('long', 'bigint')}>"
+    rows = [r.asDict(recursive=True) for r in found.collect()]
+    assert rows[0] == {"r": {"a": 1, "B": "x"}, "a": [{"p": "y", "q": 2}, None], "m": {"k": {"v": [3, None]}}}
+    assert rows[1] == {"r": None, "a": None, "m": None}
+    assert rows[2] == {"r": {"a": None, "B": None}, "a": [], "m": {}}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        conform(nested(spark), StructType.fromDDL(NESTED)).collect()
+
+
+@pytest.mark.parametrize(
+    "target, path",
+    [
+        ("r struct<a:int,c:int>", "'r.c'"),
+        ("a array<struct<z:int>>", r"'a\[\].z'"),
+        ("m map<string,struct<w:int>>", r"'m\{\}.w'"),
+    ],
+)
+def test_a_missing_field_of_a_record_is_refused(spark, target, path):
+    with pytest.raises(ValueError, match=f"{path} is not in the source"):
+        conform(nested(spark), StructType.fromDDL(target))
+
+
+def test_records_that_fit_are_left_alone(spark):
+    df = spark.sql("SELECT named_struct('a', 1, 'b', array(map('k', 2L))) AS r")
+    assert "transform" not in conform(df, df.schema)._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("source, member", [("1", 0), ("1L", 0), ("'x'", 1), ("true", 1), ("1.5D", 2), ("NULL", None)])
+def test_plain_values_go_to_their_member_of_a_union(spark, source, member):
+    union = StructType.fromDDL("u struct<member0:int,member1:string,member2:double>")
+    value = conform(spark.sql(f"SELECT {source} AS u"), union).first().u
+    assert (value is None and member is None) or [i for i, v in enumerate(value) if v is not None] == [member]
+
+
+def test_keys_of_maps_are_cast(spark):
+    found = conform(spark.sql("SELECT map(1, '2') AS m"), StructType.fromDDL("m map<string,int>")).first()
+    assert found.m == {"1": 2}
+
+
+def test_what_does_not_fit_is_listed_by_place(spark):
+    apart = conform_apart(nested(spark), StructType.fromDDL(NESTED))
+    assert apart.columns == ["source", "conformed", "rejected"]
+    rows = {r.source.id: [tuple(x) for x in r.rejected] for r in apart.collect()}
+    assert rows == {1: [("m{}.v[]", "z")], 2: [], 3: [("r.a", "one")]}
+    same = spark.range(2)
+    assert [r.rejected for r in conform_apart(same, same.schema).collect()] == [[], []]
