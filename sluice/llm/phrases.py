@@ -201,7 +201,8 @@ def shard_counts(
 
 
 def hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+    """Columns without maps or variants, which have no hash."""
+    return [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
 
 
 def newly_frequent(state: DataFrame, born: np.ndarray, scan: int, least: int, longest: int) -> int:

@@ -112,7 +112,7 @@ def test_edge_documents(spark, edge, clashing, nothing):
     assert Counter(map(tuple, found)) == Counter(brute(rows, 2)) and found
     assert phrases.collocations(nothing).collect() == []
     assert phrases.collocations(edge.where("text IS NULL OR text = ''"), least=1).collect() == []
-    kinds = df.withColumn("m", F.create_map(F.lit("k"), F.lit(1))).withColumn("s", F.struct("text"))
+    kinds = df.withColumn("m", F.create_map(F.lit("k"), F.lit(1))).withColumn("s", F.struct("text", "m"))
     assert phrases.collocations(kinds, least=2).count() == len(found)
     with pytest.raises(ValueError, match="below 255"):
         phrases.counted(df, shards=100)
