@@ -10,10 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.functions.folders import Folders
+from sluice.functions.shared import fresh_folder
 from sluice.llm import mixing, secrets, simhash, toxicity
-from sluice.llm.common import stored
+from sluice.llm.common import passing, stored
 from sluice.llm.queries import pack_documents
 
+__all__ = ["ORACLE_SQL", "STAGES", "run", "stored"]
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -54,7 +58,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Every stage's result is written once; what it stored on the way, and the result before, then go."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+        folder = fresh_folder(spark)
+        with passing(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(folder)
+        if before is not None:
+            Folders(spark).delete(before)
+        docs, before = spark.read.schema(rows.schema).parquet(folder), folder
     return docs
