@@ -14,7 +14,8 @@ piece on, and from the last one back, which gives the same way as in one piece.
 Turns are in the order of ``turn`` (NULL last), then of a hash of role and text. Roles are compared in
 lower case without blanks around; other roles and NULL are unknown and must get one. NULL texts are empty.
 A row without ``conv_id`` is a conversation of its own. Repeated rows are turns each. Markers in
-texts are broken by a blank, so that they cannot open or end a turn.
+texts are broken by a blank, so that they cannot open or end a turn. Texts are rendered whole, of any length. An
+empty table gives no rows; other columns, whatever their names, are left out.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ documents in the source, of documents of the same size in earlier hash buckets,
 the bucket; so neither a hot source nor many documents of one size meet in one task.
 
 NULL texts have size 0; NULL sources are one source. Documents of size 0 count as documents. Repeated
-rows are documents of their own. In an empty source (all sizes 0) nothing is taken.
+rows are documents of their own; of documents with the same id and size it is not said which one is taken first.
+In an empty source (all sizes 0) nothing is taken, from an empty table neither. Texts are counted whole, of any
+length. ``mix`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@
    cut into sequences whose lengths are powers of two, which are not padded.
 
 So no sequence has padding, and nothing is shuffled. NULL and empty texts are one piece with
-the end id alone. Repeated rows are packed each for itself. An empty table gives no pieces.
+the end id alone. Repeated rows are packed each for itself; of pieces of one length the last read is taken first. Long texts
+are cut into whole windows. An empty table gives no pieces; other columns, whatever their names, are left out.
 
 The ids are those of the ``tokenizers`` file, special tokens in a text included. The same vocabulary is
 read by ``tiktoken`` where a file of ranks is given, which is four times as fast; ``tokenizers`` takes

@@ -10,6 +10,7 @@ ratio of their cell between the classes (add-one smoothed) and each document to
 hinge-loss model is fitted by dual coordinate descent (Hsieh et al. 2008) until the duality gap is
 ``GAP`` of the loss, in one task, since the sample is bounded. The score is a logistic curve of the distance from the separating plane.
 
+Texts are scored whole, of any length: they only say which cells are marked. An empty table gives no rows.
 NULL and empty texts have no n-gram and get the score of the bias alone. Without both labels to learn from every
 score is 0.5. All rows are kept, repeated ones included.
 """

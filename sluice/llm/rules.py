@@ -15,7 +15,8 @@ Counts are made in one pass and stored; references have one row per language wit
 
 NULL and empty texts have no words and fail. Where there is no reference for a document's ``lang`` (NULL, or a language
 without a word list), the base rules alone decide: against other languages' references clean text
-would look like junk. Its distances are given all the same. Long texts are counted whole. Rows are kept, repeated ones
+would look like junk. Its distances are given all the same. Long texts are counted whole. A document equally far from two
+languages is closest to the first by name. An empty table gives no rows; other columns do not matter. Rows are kept, repeated ones
 too.
 """
 

@@ -13,7 +13,8 @@ are dealt to groups of row blocks; no group needs all vectors.
 
 Components become floor(scale * x). Vectors that are NULL or hold a NULL, NaN or infinite component, and rows with a NULL id,
 take no part. A shorter vector counts as padded with zeros. A query's own id is never among its rows, even
-if several rows have it. Repeated rows are candidates each; two queries with one id are answered
+if several rows have it. Ties go to the smaller id. An empty table gives no rows; other columns, whatever their names, are
+left out. Repeated rows are candidates each; two queries with one id are answered
 both. A score of 2 ** 62 or more, either way, ends the search by an error, as does a component that is no finite
 number once it is scaled: such scores would be no longs, and ids would decide among them.
 """

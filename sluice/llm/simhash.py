@@ -18,7 +18,9 @@ by the five pieces of the other segment, of which linked fingerprints share one
 four pieces at most), which spreads them over tasks and loses no link.
 
 Components come from the links by star contraction (``graph``). All rows are kept, repeated rows
-and NULL ids too; ``component_id`` is the least id in the component (NULL if it has none).
+and NULL ids too; ``component_id`` is the least id in the component (NULL if it has none). Bits set in just half of the
+hashes are not set. Texts are hashed whole, of any length. An empty table gives no rows; ``one_of_each`` keeps all
+columns, whatever their names.
 """
 
 from __future__ import annotations
