@@ -408,7 +408,10 @@ def made_up(spark: SparkSession, forms=FORMS, per_form: int = PER_FORM) -> DataF
     in each run."""
     listed = F.array(*[F.lit(form) for _, form in forms])
     rows = spark.range(per_form, numPartitions=1).select("id", F.explode(listed).alias("form"))
-    kinds = slots(F.concat(F.col("id").cast("string"), F.lit(" "), F.col("form")))
+    made = slots(F.concat(F.col("id").cast("string"), F.lit(" "), F.col("form")))
+    # Stored, so that the forms name columns instead of holding how these are made.
+    rows = stored(rows.select("form", *[value.alias(f"slot_{i}") for i, value in enumerate(made.values())]))
+    kinds = {name: F.col(f"slot_{i}") for i, name in enumerate(made)}
     text = secret = F.lit(None).cast("string")
     for label, form in forms:
         here = F.col("form") == form

@@ -72,8 +72,12 @@ def test_equals_brute_force(spark, shards, longest, cells, at_once):
     found = phrases.collocations(df, least=4, longest=longest, top=None, **scans).collect()
     wanted = brute([r[1:] for r in rows], 4, longest, top=None)
     assert Counter(map(tuple, found)) == Counter(wanted) and wanted
-    few = phrases.collocations(df, least=4, longest=longest, share=101, top=3, **scans).collect()
-    assert Counter(map(tuple, few)) == Counter(brute([r[1:] for r in rows], 4, longest, 101, 3))
+
+
+def test_the_first_of_each_language_with_another_share(spark):
+    rows = corpus(9)
+    found = phrases.collocations(spark.createDataFrame(rows, DOCS), least=4, share=101, top=3).collect()
+    assert Counter(map(tuple, found)) == Counter(brute([r[1:] for r in rows], 4, 3, 101, 3))
 
 
 def test_a_phrase_is_counted_one_cycle_from_when_its_parts_are_frequent(spark):
