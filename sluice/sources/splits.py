@@ -35,8 +35,8 @@ from sluice.functions.columns import column
 # kilobytes each, right to less than a thousandth of the rows.
 SKETCH = 4096
 
-# Strides that the database counts at once where it does so, and into how many a heavy one is cut.
-STRIDES, FINER = 64, 16
+# Strides that the database counts first, for each range wanted and at most, and into how many a heavy one is cut.
+STRIDES, MOST_STRIDES, FINER = 4, 64, 16
 
 # How often heavy strides are cut and counted again.
 ROUNDS = 8
@@ -387,7 +387,7 @@ def counted_strides(
     Even strides are counted, and the heavy ones among them cut and counted again, so a few short answers tell
     how the rows lie.
     """
-    starts = [low, *[cut for cut in column.cuts_between(low, high, STRIDES) if cut > low]]
+    starts = [low, *[cut for cut in column.cuts_between(low, high, min(STRIDES * parts, MOST_STRIDES)) if cut > low]]
     strides = list(zip(starts, [*starts[1:], None]))
     rows = dict(zip(strides, count(strides)))
     most = max(1, sum(rows.values()) // parts)
