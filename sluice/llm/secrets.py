@@ -269,8 +269,9 @@ def presumed(value: Column, before: Column) -> Column:
 
 def findings(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All candidates of all documents, one row each, with their presumed label."""
+    # Not a plain explode: Spark would look for empty arrays by making all candidates, and splitting texts, again.
     rows = with_candidates(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "found")
-    rows = rows.select("doc_id", F.explode("found").alias("x")).select("doc_id", "x.*")
+    rows = rows.select("doc_id", F.explode_outer("found").alias("x")).where("x IS NOT NULL").select("doc_id", "x.*")
     return rows.withColumn("label", presumed(F.col("value"), F.col("before")))
 
 
@@ -424,7 +425,7 @@ def made_up(spark: SparkSession, forms=FORMS, per_form: int = PER_FORM) -> DataF
 def exemplars(spark: SparkSession, per_form: int = PER_FORM) -> DataFrame:
     """The labelled findings of ``FORMS``: candidates that are the secret, and all of sentences without one."""
     found = with_candidates(stored(made_up(spark, FORMS, per_form)), "found")
-    found = found.select("secret", F.explode("found").alias("x"))
+    found = found.select("secret", F.explode_outer("found").alias("x")).where("x IS NOT NULL")
     label = F.when(F.col("secret").isNull(), 0).when(F.col("x.value") == F.col("secret"), 1).cast("int")
     found = found.select(label.alias("label"), "x.features", "x.value", "x.before")
     return found.where("label IS NOT NULL")
@@ -481,7 +482,7 @@ def judged(df: DataFrame, forest: list[str], into: str, text: str = "text") -> D
 def scan(df: DataFrame, forest: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``position`` (token, from 0), ``value``, ``score``, ``is_secret`` of every candidate."""
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = judged(rows, forest, "found").select("doc_id", F.explode("found").alias("x"))
+    rows = judged(rows, forest, "found").select("doc_id", F.explode_outer("found").alias("x")).where("x IS NOT NULL")
     return rows.select("doc_id", "x.*", (F.col("x.score") >= CUT).alias("is_secret"))
 
 
