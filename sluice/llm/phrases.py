@@ -10,8 +10,9 @@ counted from the first scan on. A longer phrase is counted from the scan after t
 once. So all lengths are counted in the same scans, and a candidate is always counted whole: its parts are as frequent as itself.
 
 Which phrases have reached ``least``, and in which scan, is kept in a table of ``CELLS`` bytes by hash, 16 MB however
-large the corpus is. Phrases that share a cell share the earliest scan, which never changes again. So a
-phrase may start too early, never too late and never twice: a full cycle is counted all the same, and what does
+large the corpus is. Phrases that share a cell share the earliest scan, which never changes again; but none
+counts as frequent from an earlier scan than its own parts do. So a phrase may start too early, never in a scan that
+is over, never too late and never twice: a full cycle is counted all the same, and what does
 not reach ``least`` is dropped at its end. A fuller table costs time, not results.
 
 A scan counts each task's rows in pieces of bounded size before anything is shuffled; the counts of a shard
@@ -126,7 +127,9 @@ class Chunk:
                     yield from handed_over(start, langs.take(pa.array(ids[places])), joined, times)
             if size < longest:
                 codes = mixed(codes[:-1], hashes[size - 1 :])
-                starts = np.where(whole, born_in(born, codes), np.uint8(NEVER))
+                # It cannot be frequent before it is counted; a cell it shares may say so, and what holds the
+                # phrase would start in a scan that is over. NEVER stays, as the largest.
+                starts = np.maximum(born_in(born, codes), before)
 
 
 def groups(ids: np.ndarray, places: np.ndarray, size: int, total: int) -> tuple[np.ndarray, np.ndarray]:

@@ -88,6 +88,18 @@ def test_a_phrase_is_counted_one_cycle_from_when_its_parts_are_frequent(spark):
     assert found == {"": 1200} | {p: 400 for p in ("x", "y", "z", "x y", "y z", "x y z")}
 
 
+@pytest.mark.parametrize("cells, shards", [(256, 3), (1024, 3), (256, 2)])
+def test_a_shared_cell_loses_no_scan_of_a_phrase_of_late_words(spark, cells, shards):
+    """Rare words become frequent after the first scan, when the cells of their phrases may be taken."""
+    rng, rows = random.Random(1), []
+    for p in range(80):
+        for _ in range(rng.randint(10, 16)):
+            rest = rng.choices(["the", "of", "and", "is"], k=5)
+            rows.append((len(rows), "en", f"x{p} y{p} z{p} the. {' '.join(rest)}"))
+    found = phrases.collocations(spark.createDataFrame(rows, DOCS), cells=cells, shards=shards).collect()
+    assert Counter(map(tuple, found)) == Counter(brute([r[1:] for r in rows]))
+
+
 def test_cells_are_the_same_in_python_and_in_spark(spark):
     chunk = phrases.Chunk()
     chunk.add("en", "ä b ä c".encode())
