@@ -22,7 +22,7 @@ from sluice import (
     run,
     run_from_files,
 )
-from sluice.functions.chars import CHAR_MARK
+from sluice.functions.chars import CHAR_MARK, with_settings
 from sluice.functions.shared import fresh_folder
 from sluice.plans.job import ingest_table, spreads_rows
 from sluice.sinks.files import spread_rows, write_table
@@ -261,6 +261,25 @@ def test_rows_of_files_are_spread_by_many_keys(spark, tmp_path, format, keys):
     assert written[None] == written["true"]
 
 
+def test_many_keys_of_few_rows_are_written_by_all_cores(spark, tmp_path):
+    source = Endpoint("files", {"format": "parquet", "location": f"{tmp_path}/in"})
+    spark.range(0, 200, 1, 4).withColumnRenamed("id", "k").selectExpr("k", "k AS v").write.parquet(f"{tmp_path}/in/t")
+    size = spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    ingest_table(spark, table_job(partitionKeys="k"), source, file_sink(tmp_path), "completely")
+    names = data_files(tmp_path / "t")
+    assert len(names) == 200
+    assert len({name.split("part-")[1][:5] for name in names}) == 4  # tasks
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize") == size
+
+
+def test_hadoop_settings_of_a_session_are_kept(spark):
+    spark.conf.set("parquet.block.size", "1234567")
+    try:
+        assert with_settings(spark, {}).conf.get("parquet.block.size") == "1234567"
+    finally:
+        spark.conf.unset("parquet.block.size")
+
+
 def test_when_rows_are_spread():
     files = Endpoint("files", {"format": "parquet", "location": "/in"})
     base = Endpoint("db", {"url": "jdbc:x:y", "driver": "d"})
