@@ -10,7 +10,7 @@ from sluice.plans.journal import TableResult
 from sluice.plans.specs import Endpoint, TableJob, load_endpoints, load_tables
 from sluice.plans.validation import validate
 from sluice.sinks.commits import CommitConflict
-from sluice.sinks.files import resolve_format, target_path, write_table
+from sluice.sinks.files import read_target, resolve_format, target_path, write_table
 from sluice.sources import read_source, read_table
 
 __all__ = [
@@ -34,6 +34,7 @@ __all__ = [
     "read_progress",
     "read_source",
     "read_table",
+    "read_target",
     "resolve_format",
     "run",
     "run_from_files",

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from collections import Counter
 from datetime import date
 
@@ -8,8 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from helpers import data_files, file_sink, table_job
-from sluice import observe_progress, read_progress, resolve_format, write_table
+from sluice import observe_progress, read_progress, read_target, resolve_format, write_table
 from sluice.sinks.files import spread_rows
+from sluice_checks.queries import read_back
 
 
 def keyed(spark, *pairs):
@@ -160,6 +162,64 @@ def test_keys_of_any_name(spark, tmp_path):
     assert data_files(path)[0].startswith("a.b=1/c d=x/")
 
 
+KEYS = [
+    ("string", ["a b", "a+b", "%41", "x=1/2", "ä€", "\u00a0", "__x", "7", "007", " ", "a:b", "[*]{?}", "#", "\\", "\n", "", None]),
+    ("timestamp_ntz", ["2024-01-10 00:00:00", "2024-01-10 23:59:59.999999", "2024-01-10 01:02:03.5", None]),
+    ("timestamp", ["2024-03-31 01:30:00", "2024-10-27 00:30:00.000001", None]),
+    ("date", ["2024-01-10", "0001-01-01", None]),
+    ("double", ["NaN", "Infinity", "1e300", "-0.1", None]),
+    ("decimal(12,3)", ["1.5", "-999999999.999", None]),
+    ("bigint", ["-9223372036854775808", "0", None]),
+    ("boolean", ["true", "false", None]),
+]
+
+
+@pytest.mark.parametrize("format", ["parquet", "orc", "avro", "json", "csv"])
+@pytest.mark.parametrize("kind, values", KEYS, ids=[kind for kind, _ in KEYS])
+def test_keys_come_back_from_their_folders(spark, tmp_path, monkeypatch, kind, values, format):
+    monkeypatch.setattr("sluice.sinks.files.FOUND_BY_SPARK", 0)
+    rows = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "k string, v int")
+    rows = rows.select("v", F.col("k").cast(kind).alias("a.k = %"), F.lit("x y").alias("Other"))
+    job = table_job(partitionKeys="A.K = %,other")
+    path = write_table(rows, file_sink(f"{tmp_path}/to %20", format), job, "daily")
+    back = read_target(spark, path, format, rows.schema, job.partition_keys)
+    assert back.dtypes == rows.dtypes
+    wanted = [(v, None if key == "" else key, other) for v, key, other in rows.collect()]  # Spark's layout
+    assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, wanted))
+    found = spark.read.format(resolve_format(format)).schema(rows.schema).load(path).select("v", "`a.k = %`", "Other")
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, found.collect()))
+
+
+@pytest.mark.parametrize("found", [-1, 20_000])
+def test_a_target_without_rows(spark, tmp_path, monkeypatch, found):
+    monkeypatch.setattr("sluice.sinks.files.FOUND_BY_SPARK", found)
+    job = table_job(partitionKeys="k")
+    path = write_table(keyed(spark, ("a", 1)).limit(0), file_sink(tmp_path), job, "daily")
+    assert read_target(spark, path, "parquet", keyed(spark, ("a", 1)).schema, job.partition_keys).collect() == []
+
+
+@pytest.mark.parametrize("found", [299, 20_000])
+def test_many_folders_are_opened_by_few_tasks(spark, tmp_path, monkeypatch, found):
+    """With more than ``found`` files Spark's own list of partitions is left out: it takes steps that grow with
+    their square."""
+    monkeypatch.setattr("sluice.sinks.files.FOUND_BY_SPARK", found, raising=False)
+    rows, sink, job = spark.range(300).selectExpr("id AS k", "id AS v"), file_sink(tmp_path), table_job(partitionKeys="k")
+    write_table(spread_rows(rows, ["k"]), sink, job, "completely")
+    context = spark.sparkContext
+    context.setJobGroup(f"opening {found}", "")
+    try:
+        back = read_back(spark, sink, job, rows)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for one in tracker.getJobIdsForGroup(f"opening {found}") for s in tracker.getJobInfo(one).stageIds]
+    assert max(tracker.getStageInfo(stage).numTasks for stage in stages) <= 256
+    assert back.rdd.getNumPartitions() <= 4
+    relation = re.search(r"Relation \[(.*)\]", back._jdf.queryExecution().analyzed().toString())[1]
+    assert ("k#" in relation) == (found == 20_000)
+    assert back.where("k = v").count() == 300
+
+
 def test_rebalancing_needs_adaptive_execution(spark, change):
     change("spark.sql.adaptive.enabled", "false")
     with pytest.raises(ValueError, match="adaptive"):
